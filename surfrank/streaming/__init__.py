@@ -1,0 +1,8 @@
+"""Streaming.
+
+The ranking this package reproduces is a batch computation over a whole
+edge list: it has no stream source, watermark, windowed aggregation or
+state to carry.  There is therefore no streaming operator here; a stream
+of edges can be ranked by writing it to a table and calling
+``surfrank.rank`` on that table.
+"""
