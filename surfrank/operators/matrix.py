@@ -50,15 +50,20 @@ def initial_vector(verts: DataFrame, n: int | None = None) -> DataFrame:
     return verts.select("id", F.lit(1.0 / n).alias("rank"))
 
 
-def multiply(matrix: DataFrame, vec: DataFrame, value: str = "rank", hot: DataFrame | None = None) -> DataFrame:
+def multiply(matrix: DataFrame, vec: DataFrame, value: str = "rank", hot: DataFrame | str | None = "auto") -> DataFrame:
     """``y = M v`` as ``(id, y)``, one row per id of ``vec``.
 
     Each matrix entry meets its source's vector entry (equi-join on the
     source), the products are summed per target (partial sums before the
     shuffle), and the vector's own ids are added with 0 so that a vertex
     without in-links still gets its row.  ``hot``: bounded set of hub
-    sources whose entries join a broadcast copy of their vector entries.
+    sources whose entries join a broadcast copy of their vector entries;
+    ``"auto"`` finds them from the matrix (one scalar action), ``None``
+    turns the split off.
     """
+    if isinstance(hot, str):
+        entries = matrix.groupBy("src").agg(F.count(F.lit(1)).alias("_entries"))
+        hot = degree_hot_keys(entries, "src", "_entries", DEFAULT_MAX_HOT, min_rows=10_000)
     src_vals = vec.select(F.col("id").alias("src"), F.col(value).alias("_x"))
     contrib = split_join(matrix.select("src", "dst", "w"), src_vals, "src", hot).select(
         F.col("dst").alias("id"), (F.col("w") * F.col("_x")).alias("_c")
@@ -104,7 +109,9 @@ def l1_distance(a: DataFrame, b: DataFrame, value: str = "rank") -> DataFrame:
     return abs_difference(a, b, value).agg(F.sum("abs_diff").alias("l1"))
 
 
-def rank_step(matrix: DataFrame, vec: DataFrame, teleport: float, n: int, hot: DataFrame | None = None) -> DataFrame:
+def rank_step(
+    matrix: DataFrame, vec: DataFrame, teleport: float, n: int, hot: DataFrame | str | None = "auto"
+) -> DataFrame:
     """One full step: multiply, damp, redistribute (V7).  Returns ``(id, rank)``.
 
     Runs one scalar action (the sum of the damped vector).

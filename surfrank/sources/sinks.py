@@ -10,6 +10,7 @@ task and is meant for small results only.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 FORMATS = ("text", "parquet")
 
@@ -29,26 +30,20 @@ def write_ranks(
         out = out.orderBy("id")
     if single_file:
         out = out.coalesce(1)
-    writer = out.write.mode(mode)
     if fmt == "parquet":
-        writer.parquet(path)
+        out.write.mode(mode).parquet(path)
     else:
-        _text_writer(writer).csv(path)
+        _lines(out, "id", "rank").write.mode(mode).text(path)
 
 
 def write_edges(edges: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Edge list as the reader expects it: ``src<TAB>dst`` lines."""
-    _text_writer(edges.select("src", "dst").write.mode(mode)).csv(path)
-
-
-def _text_writer(writer):
-    return (
-        writer.option("sep", "\t")
-        .option("header", "false")
-        .option("quote", "")
-        .option("escape", "")
-        .option("nullValue", "")
-        .option("emptyValue", "")
-        .option("ignoreLeadingWhiteSpace", "false")
-        .option("ignoreTrailingWhiteSpace", "false")
+    """Edge list as the reader expects it: ``src<TAB>dst`` lines, written verbatim."""
+    _lines(edges, "src", "dst").write.mode(mode).text(path)
+
+
+def _lines(df: DataFrame, first: str, second: str) -> DataFrame:
+    # plain text lines: no quoting or escaping, so a value is written as is
+    # (a CSV writer would guard a leading comment character)
+    return df.select(
+        F.concat_ws("\t", F.col(first).cast("string"), F.col(second).cast("string")).alias("value")
     )
