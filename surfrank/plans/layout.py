@@ -13,13 +13,16 @@
   receives a hub's whole row set;
 * scalars: vertex and sink counts, edge rows, matrix entries.
 
-Strategy ``broadcast`` ships the whole vector to every task instead and
-is only chosen when its estimated size is within the session's broadcast
-threshold (``spark.sql.autoBroadcastJoinThreshold``).
+Strategy ``broadcast`` ships the whole vector to every task instead.  It
+is never picked by ``auto`` and, when asked for, only used while the
+estimated vector size is within the session's broadcast threshold
+(``spark.sql.autoBroadcastJoinThreshold``); beyond it the partitioned
+layout is used.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -49,6 +52,7 @@ class LinkMatrix:
     strategy: str
     id_type: T.DataType
     _cached: list = field(default_factory=list, repr=False)
+    _views: dict = field(default_factory=dict, repr=False)
 
     @classmethod
     def build(
@@ -102,9 +106,13 @@ class LinkMatrix:
                 r["id"] for r in verts.filter(F.col("entries") >= threshold).select("id").collect()
             ]
 
-        if strategy == "auto":
-            vec_bytes = n * (float(row["id_bytes"] or 8.0) + _ROW_OVERHEAD)
-            strategy = "broadcast" if vec_bytes <= broadcast_budget(spark) else "partitioned"
+        # "auto" keeps the vector where it is: the matrix is laid out by source in
+        # the same hash partitions as the vector, so the per-step join moves
+        # nothing.  "broadcast" ships the whole vector to every task each step
+        # and is only honoured while the vector fits the broadcast budget.
+        vec_bytes = n * (float(row["id_bytes"] or 8.0) + _ROW_OVERHEAD)
+        if strategy == "auto" or (strategy == "broadcast" and vec_bytes > broadcast_budget(spark)):
+            strategy = "partitioned"
 
         src_is_hot = F.col("src").isin(hot_ids) if hot_ids else F.lit(False)
         by_src = Window.partitionBy("src")
@@ -154,19 +162,65 @@ class LinkMatrix:
         """All entries ``(src, dst, w)``."""
         return self.cold if self.hot is None else self.cold.unionByName(self.hot)
 
-    def contributions(self, vec: DataFrame, value: str = "rank") -> DataFrame:
-        """``(id, c)``: one product ``w * vec[src]`` per matrix entry, keyed by target."""
-        src_vals = vec.select(F.col("id").alias("src"), F.col(value).alias("_x"))
+    def register(self) -> dict[str, str]:
+        """Temp views of the cached parts for the per-step SQL; names are unique per matrix."""
+        if not self._views:
+            tag = uuid.uuid4().hex[:12]
+            self._views = {"cold": f"_surfrank_cold_{tag}", "prev": f"_surfrank_prev_{tag}"}
+            self.cold.createOrReplaceTempView(self._views["cold"])
+            if self.hot is not None:
+                self._views["hot"] = f"_surfrank_hot_{tag}"
+                self._views["hubs"] = f"_surfrank_hubs_{tag}"
+                self.hot.createOrReplaceTempView(self._views["hot"])
+                self.vertices.filter(F.col("id").isin(self.hot_ids)).select("id").createOrReplaceTempView(
+                    self._views["hubs"]
+                )
+        return self._views
+
+    def contribution_sql(self, prev: str) -> str:
+        """SQL of ``(id, c)``: one product ``w * prev.rank`` per matrix entry, keyed by target.
+
+        ``prev`` names a view ``(id, rank, ...)``.  Partitioned: ordinary
+        sources join the previous vector inside each partition (both sides
+        hash-partitioned alike), hubs join a broadcast copy of their own
+        (bounded) vector entries.  Broadcast: every entry meets a broadcast
+        copy of the whole vector.
+        """
+        v = self.register()
         if self.strategy == "broadcast":
-            joined = self.matrix().join(F.broadcast(src_vals), "src")
-        else:
-            joined = self.cold.join(src_vals.hint("shuffle_hash"), "src")
+            parts = [
+                f"select /*+ BROADCAST(p) */ m.dst as id, m.w * p.rank as c "
+                f"from {v['cold']} m join {prev} p on m.src = p.id"
+            ]
             if self.hot is not None:
-                hub_vals = src_vals.filter(F.col("src").isin(self.hot_ids))
-                joined = joined.unionByName(self.hot.join(F.broadcast(hub_vals), "src"))
-        return joined.select(F.col("dst").alias("id"), (F.col("w") * F.col("_x")).alias("c"))
+                parts.append(
+                    f"select /*+ BROADCAST(p) */ m.dst as id, m.w * p.rank as c "
+                    f"from {v['hot']} m join {prev} p on m.src = p.id"
+                )
+            return " union all ".join(parts)
+        parts = [
+            f"select /*+ SHUFFLE_HASH(p) */ m.dst as id, m.w * p.rank as c "
+            f"from {v['cold']} m join {prev} p on m.src = p.id"
+        ]
+        if self.hot is not None:
+            parts.append(
+                f"select /*+ BROADCAST(h) */ m.dst as id, m.w * h.rank as c from {v['hot']} m join "
+                f"(select /*+ BROADCAST(u) */ p.id, p.rank from {prev} p left semi join {v['hubs']} u "
+                f"on p.id = u.id) h on m.src = h.id"
+            )
+        return " union all ".join(parts)
+
+    def contributions(self, vec: DataFrame, value: str = "rank") -> DataFrame:
+        """DataFrame form of ``contribution_sql`` for a vector ``(id, <value>)``."""
+        v = self.register()
+        vec.select("id", F.col(value).alias("rank")).createOrReplaceTempView(v["prev"])
+        return self.cold.sparkSession.sql(self.contribution_sql(v["prev"]))
 
     def unpersist(self) -> None:
+        spark = self.cold.sparkSession
+        for name in self._views.values():
+            spark.catalog.dropTempView(name)
+        self._views = {}
         for df in self._cached:
             df.unpersist()
         self._cached = []

@@ -144,19 +144,24 @@ def start_vector(lm: LinkMatrix, initial: DataFrame | None) -> DataFrame:
 
 
 def next_vector(lm: LinkMatrix, prev: DataFrame, teleport: float, shift: float) -> DataFrame:
-    """``(id, rank, prev, sink)`` of the next step; ``shift`` = ``(1 - sum(y)) / n``."""
-    contrib = lm.contributions(prev, "rank").select(
-        "id", "c", F.lit(None).cast("double").alias("p"), F.lit(None).cast("boolean").alias("s")
-    )
-    own = prev.select("id", F.lit(0.0).alias("c"), F.col("rank").alias("p"), F.col("sink").alias("s"))
-    summed = contrib.unionByName(own).groupBy("id").agg(
-        F.sum("c").alias("_m"), F.max("p").alias("prev"), F.max("s").alias("sink")
-    )
-    return summed.select(
-        "id",
-        (F.lit(1.0 - teleport) * F.col("_m") + F.lit(shift)).alias("rank"),
-        "prev",
-        "sink",
+    """``(id, rank, prev, sink)`` of the next step; ``shift`` = ``(1 - sum(y)) / n``.
+
+    ``prev`` is ``(id, rank, sink)``.  Built as one SQL statement so that a
+    step costs one analysis pass on the driver.
+    """
+    views = lm.register()
+    prev.createOrReplaceTempView(views["prev"])
+    return lm.cold.sparkSession.sql(step_sql(lm, views["prev"], teleport, shift))
+
+
+def step_sql(lm: LinkMatrix, prev: str, teleport: float, shift: float) -> str:
+    return (
+        f"select id, {1.0 - teleport!r} * sum(c) + {shift!r} as rank, "
+        "max(p) as prev, max(k) as sink from ("
+        "select id, c, cast(null as double) as p, cast(null as boolean) as k from ("
+        f"{lm.contribution_sql(prev)}) "
+        f"union all select id, 0.0 as c, rank as p, sink as k from {prev}"
+        ") group by id"
     )
 
 
