@@ -56,7 +56,7 @@ def main() -> None:
 
     # warm-up (not timed): JIT and codegen caches, parquet footers; the first
     # steps of a fresh JVM run about twice as slow as later ones
-    sr.rank(tables.raw_part_supp(spark, SF_DIR), epsilon=0.0, max_iter=12).ranks.count()
+    sr.rank(tables.raw_part_supp(spark, SF_DIR), epsilon=0.0, max_iter=25).ranks.count()
 
     times, details = {}, {}
     for name, (graph, kwargs) in CASES.items():

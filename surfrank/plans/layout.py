@@ -22,6 +22,7 @@ layout is used.
 
 from __future__ import annotations
 
+import math
 import uuid
 from dataclasses import dataclass, field
 
@@ -31,11 +32,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.skew import hot_threshold
-from ..session import broadcast_budget, shuffle_partitions
+from ..session import broadcast_budget, scoped_conf, shuffle_partitions
 
 STRATEGIES = ("auto", "broadcast", "partitioned")
 # estimated bytes per broadcast vector row besides the id: rank double + row overhead
 _ROW_OVERHEAD = 8 + 24
+# matrix entries per partition below which the loop uses fewer partitions than the session's setting
+ROWS_PER_PARTITION = 131_072
+
+
+def _written(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint, then cached; materialized by the first step."""
+    return df.checkpoint(eager=True).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 @dataclass
@@ -62,13 +70,17 @@ class LinkMatrix:
         strategy: str = "auto",
         max_hot: int | None = None,
         hot_min_rows: int = 10_000,
+        rows_per_partition: int = ROWS_PER_PARTITION,
     ) -> "LinkMatrix":
+        """Build and cache the layout.  ``num_partitions`` defaults to the session's
+        ``spark.sql.shuffle.partitions``, lowered for small matrices to one
+        partition per ``rows_per_partition`` entries (fewer, fuller tasks)."""
         if strategy not in STRATEGIES:
             raise ValueError(f"strategy must be one of {STRATEGIES}")
         spark = edges.sparkSession
-        parts = int(num_partitions or shuffle_partitions(spark))
+        cap = int(num_partitions or shuffle_partitions(spark))
         if max_hot is None:
-            max_hot = max(1024, 2 * parts)
+            max_hot = max(1024, 2 * cap)
         edges = edges.select("src", "dst")
         id_type = edges.schema["src"].dataType
 
@@ -98,6 +110,7 @@ class LinkMatrix:
         ).collect()[0]
         n = int(row["n"])
         entries = int(row["entries"] or 0)
+        parts = cap if num_partitions else max(1, min(cap, math.ceil(entries / rows_per_partition)))
         threshold = hot_threshold(entries, max_hot, hot_min_rows)
         hot_ids: list = []
         if (row["max_entries"] or 0) >= threshold:
@@ -124,7 +137,6 @@ class LinkMatrix:
                 "dst",
                 (F.col("copies") / F.sum("copies").over(by_src)).cast("double").alias("w"),
             )
-            .persist(StorageLevel.MEMORY_AND_DISK)
         )
         hot = None
         if hot_ids:
@@ -135,12 +147,16 @@ class LinkMatrix:
                 pairs.filter(src_is_hot)
                 .join(F.broadcast(hub_degree), "src")
                 .select("src", "dst", (F.col("copies") / F.col("out_degree")).cast("double").alias("w"))
-                .persist(StorageLevel.MEMORY_AND_DISK)
             )
-        # materialize the matrix once, then drop the pair table
-        cold.count()
-        if hot is not None:
-            hot.count()
+        # The matrix is written once to the checkpoint folder and cached from
+        # there: steps plan against a flat relation (not the build lineage), and
+        # a lost executor re-reads its blocks instead of rebuilding them from
+        # the edge source.  The checkpoint keeps the hash partitioning by src.
+        # Planned without AQE so the written matrix reports HashPartitioning(src, parts);
+        # the pair table is cached already, so the edge source is not re-run here.
+        with scoped_conf(spark, {"spark.sql.adaptive.enabled": "false"}):
+            cold = _written(cold)
+            hot = _written(hot) if hot is not None else None
         pairs.unpersist()
         cached = [verts, cold] + ([hot] if hot is not None else [])
         return cls(

@@ -28,7 +28,7 @@ def _nodes(df) -> list[str]:
 @pytest.mark.parametrize("hot_min_rows", [10_000, 1])
 def test_one_shuffle_per_step_and_constant_plan(spark, hot_min_rows):
     edges = tables.cust_part(spark, SF)
-    lm = LinkMatrix.build(edges, strategy="partitioned", hot_min_rows=hot_min_rows, max_hot=1000)
+    lm = LinkMatrix.build(edges, num_partitions=4, strategy="partitioned", hot_min_rows=hot_min_rows, max_hot=1000)
     assert (lm.hot is not None) == (hot_min_rows == 1)
     try:
         with scoped_conf(spark, {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": str(lm.num_partitions)}):
