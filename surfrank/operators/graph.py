@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.skew import DEFAULT_MAX_HOT, hot_keys, hot_threshold, split_join
-from ..session import shuffle_partitions
+from ..session import checkpoint_dir, shuffle_partitions
 
 
 def vertices(edges: DataFrame) -> DataFrame:
@@ -59,8 +59,6 @@ def vertex_index(edges: DataFrame, num_partitions: int | None = None, from_verti
     all ids into one task.
     """
     spark = edges.sparkSession
-    from ..session import checkpoint_dir
-
     checkpoint_dir(spark)
     parts = num_partitions or shuffle_partitions(spark)
     ids = edges.select("id") if from_vertices else vertices(edges)
@@ -95,10 +93,21 @@ def out_degree(edges: DataFrame) -> DataFrame:
 
 def degree_hot_keys(
     counts: DataFrame, key: str, count_col: str, max_hot: int = DEFAULT_MAX_HOT, min_rows: int = 1
-) -> DataFrame:
-    """Hot keys of a count table (bounded by ``max_hot``); one scalar action for the total."""
-    total = counts.agg(F.sum(count_col)).collect()[0][0] or 0
-    return hot_keys(counts, key, count_col, hot_threshold(int(total), max_hot, min_rows))
+) -> DataFrame | None:
+    """Hot keys of a count table, or ``None`` when there is none.
+
+    One scalar action reads the total and the largest count; only if some
+    key reaches the threshold are the keys collected, and at most
+    ``max_hot`` keys can reach it, so the collect and the small DataFrame
+    built from it are bounded.
+    """
+    row = counts.agg(F.sum(count_col).alias("total"), F.max(count_col).alias("top")).collect()[0]
+    threshold = hot_threshold(int(row["total"] or 0), max_hot, min_rows)
+    if (row["top"] or 0) < threshold:
+        return None
+    hot = hot_keys(counts, key, count_col, threshold)
+    keys = [(r[0],) for r in hot.collect()]
+    return counts.sparkSession.createDataFrame(keys, hot.schema)
 
 
 def with_out_degree(edges: DataFrame, max_hot: int = DEFAULT_MAX_HOT) -> DataFrame:
