@@ -55,10 +55,6 @@ GRAPH_SQL = dict(
 
 
 # ---------------------------------------------------------------- spark side
-def _g(name: str):
-    return lambda spark, sf: GRAPHS[name](spark, sf)
-
-
 def q_vertices(spark, sf):
     return sr.vertices(GRAPHS["page_links"](spark, sf))
 
@@ -210,6 +206,12 @@ def q_rank_hubs(spark, sf):
     return _ranks(res)
 
 
+def q_rank_encoded(spark, sf):
+    """Loop on bigint ids (dictionary-encoded text ids), decoded at the end."""
+    res = sr.rank(GRAPHS["page_links"](spark, sf), preset="notebook", encode_ids=True, hot_min_rows=1)
+    return _ranks(res)
+
+
 def q_rank_history(spark, sf):
     res = sr.rank(GRAPHS["part_supp"](spark, sf), preset="script")
     return res.history.select("iteration", _r("vector_sum"), _r("l1_delta"))
@@ -265,6 +267,7 @@ _QUERIES = {
     "rank_notebook": q_rank_notebook,
     "rank_partitioned": q_rank_partitioned,
     "rank_hubs": q_rank_hubs,
+    "rank_encoded": q_rank_encoded,
     "rank_history": q_rank_history,
     "event_flow_edges": q_event_flow_edges,
     "read_write_roundtrip": q_read_write_roundtrip,
@@ -414,6 +417,7 @@ def _oracles() -> dict[str, str]:
         "rank_notebook": _preset_walk("event_flow", "notebook"),
         "rank_partitioned": _preset_walk("cust_part", "script"),
         "rank_hubs": _preset_walk("type_user", "script"),
+        "rank_encoded": _preset_walk("page_links", "notebook"),
         "rank_history": _walk(
             "part_supp",
             0.2,

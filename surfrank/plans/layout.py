@@ -31,16 +31,66 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.skew import hot_threshold
+from ..functions.skew import hot_threshold, split_join
 from ..session import broadcast_budget, scoped_conf, shuffle_partitions
 
 STRATEGIES = ("auto", "broadcast", "partitioned")
 # estimated bytes per broadcast vector row besides the id: rank double + row overhead
 _ROW_OVERHEAD = 8 + 24
+# average text id length (bytes) from which "auto" runs the loop on bigint ids
+ENCODE_MIN_BYTES = 16
 # matrix entries per partition below which the loop uses fewer partitions than the session's setting
 ROWS_PER_PARTITION = 131_072
 
 
+def _encode(pairs: DataFrame, verts: DataFrame, hot_ids: list, threshold: int, max_in: int):
+    """Re-key the pair and vertex tables with a unique bigint per vertex.
+
+    The vertex table is written as a reliable checkpoint first, so that
+    ``monotonically_increasing_id`` (partition index and row position) gives
+    the same number to a vertex whenever the plan is recomputed.  Pairs are
+    re-keyed by two joins on the text id; hub sources and hub targets (at
+    most ``max_hot`` each, by the entry-count threshold) join a broadcast
+    copy of their dictionary rows, so no task gets a hub's whole row set.
+    Returns pairs, vertices, the ``(id, vid)`` dictionary and hub ids as vids.
+    """
+    spark = pairs.sparkSession
+    fixed = verts.checkpoint(eager=True)
+    numbered = fixed.select(
+        F.monotonically_increasing_id().alias("vid"), "id", "out_degree", "entries", "in_entries"
+    ).persist(StorageLevel.MEMORY_AND_DISK)
+    dictionary = numbered.select("id", "vid")
+    hot_src = None
+    if hot_ids:
+        hot_src = spark.createDataFrame([(k,) for k in hot_ids], T.StructType([fixed.schema["id"]])).select(
+            F.col("id").alias("src")
+        )
+    hot_dst = None
+    if max_in >= threshold:
+        # bounded like the hub sources: at most max_hot targets reach the threshold
+        keys = [(r["id"],) for r in fixed.filter(F.col("in_entries") >= threshold).select("id").collect()]
+        hot_dst = spark.createDataFrame(keys, T.StructType([fixed.schema["id"]])).select(F.col("id").alias("dst"))
+    by_src = split_join(
+        pairs, dictionary.select(F.col("id").alias("src"), F.col("vid").alias("src_vid")), "src", hot_src
+    )
+    both = split_join(
+        by_src, dictionary.select(F.col("id").alias("dst"), F.col("vid").alias("dst_vid")), "dst", hot_dst
+    )
+    encoded = both.select(F.col("src_vid").alias("src"), F.col("dst_vid").alias("dst"), "copies").persist(
+        StorageLevel.MEMORY_AND_DISK
+    )
+    new_verts = numbered.select(F.col("vid").alias("id"), "out_degree", "entries", "in_entries").persist(
+        StorageLevel.MEMORY_AND_DISK
+    )
+    hot_vids = []
+    if hot_ids:
+        hot_vids = [r["vid"] for r in numbered.filter(F.col("id").isin(hot_ids)).select("vid").collect()]
+    encoded.count()  # fill the cache before the text-keyed pairs are dropped
+    pairs.unpersist()
+    verts.unpersist()
+    return encoded, new_verts, numbered, hot_vids
+
+
 def _written(df: DataFrame) -> DataFrame:
     """Reliable checkpoint, then cached; materialized by the first step."""
     return df.checkpoint(eager=True).persist(StorageLevel.MEMORY_AND_DISK)
@@ -59,6 +109,7 @@ class LinkMatrix:
     num_partitions: int
     strategy: str
     id_type: T.DataType
+    dictionary: DataFrame | None = None
     _cached: list = field(default_factory=list, repr=False)
     _views: dict = field(default_factory=dict, repr=False)
 
@@ -71,10 +122,13 @@ class LinkMatrix:
         max_hot: int | None = None,
         hot_min_rows: int = 10_000,
         rows_per_partition: int = ROWS_PER_PARTITION,
+        encode_ids: bool | str = "auto",
     ) -> "LinkMatrix":
         """Build and cache the layout.  ``num_partitions`` defaults to the session's
         ``spark.sql.shuffle.partitions``, lowered for small matrices to one
-        partition per ``rows_per_partition`` entries (fewer, fuller tasks)."""
+        partition per ``rows_per_partition`` entries (fewer, fuller tasks).
+        ``encode_ids``: run the loop on bigint ids (True / False / "auto": text
+        ids longer than 16 bytes on average)."""
         if strategy not in STRATEGIES:
             raise ValueError(f"strategy must be one of {STRATEGIES}")
         spark = edges.sparkSession
@@ -87,12 +141,13 @@ class LinkMatrix:
         # duplicates merged before anything else; partial aggregation per task
         pairs = edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("copies"))
         pairs = pairs.persist(StorageLevel.MEMORY_AND_DISK)
+        one, zero = F.lit(1).cast("long"), F.lit(0).cast("long")
         tagged = pairs.select(
-            F.col("src").alias("id"), F.col("copies").alias("o"), F.lit(1).cast("long").alias("e")
-        ).union(pairs.select(F.col("dst").alias("id"), F.lit(0).cast("long"), F.lit(0).cast("long")))
+            F.col("src").alias("id"), F.col("copies").alias("o"), one.alias("e"), zero.alias("i")
+        ).union(pairs.select(F.col("dst").alias("id"), zero, zero, one))
         verts = (
             tagged.groupBy("id")
-            .agg(F.sum("o").alias("out_degree"), F.sum("e").alias("entries"))
+            .agg(F.sum("o").alias("out_degree"), F.sum("e").alias("entries"), F.sum("i").alias("in_entries"))
             .persist(StorageLevel.MEMORY_AND_DISK)
         )
         id_bytes = (
@@ -106,6 +161,7 @@ class LinkMatrix:
             F.sum("out_degree").alias("edge_rows"),
             F.sum("entries").alias("entries"),
             F.max("entries").alias("max_entries"),
+            F.max("in_entries").alias("max_in_entries"),
             id_bytes.alias("id_bytes"),
         ).collect()[0]
         n = int(row["n"])
@@ -119,11 +175,22 @@ class LinkMatrix:
                 r["id"] for r in verts.filter(F.col("entries") >= threshold).select("id").collect()
             ]
 
+        dictionary = None
+        if encode_ids == "auto":
+            encode_ids = isinstance(id_type, T.StringType) and float(row["id_bytes"] or 0) > ENCODE_MIN_BYTES
+        if encode_ids and n:
+            pairs, verts, dictionary, hot_ids = _encode(
+                pairs, verts, hot_ids, threshold, int(row["max_in_entries"] or 0)
+            )
+            cached_extra = [dictionary]
+        else:
+            cached_extra = []
+
         # "auto" keeps the vector where it is: the matrix is laid out by source in
         # the same hash partitions as the vector, so the per-step join moves
         # nothing.  "broadcast" ships the whole vector to every task each step
         # and is only honoured while the vector fits the broadcast budget.
-        vec_bytes = n * (float(row["id_bytes"] or 8.0) + _ROW_OVERHEAD)
+        vec_bytes = n * ((8.0 if dictionary is not None else float(row["id_bytes"] or 8.0)) + _ROW_OVERHEAD)
         if strategy == "auto" or (strategy == "broadcast" and vec_bytes > broadcast_budget(spark)):
             strategy = "partitioned"
 
@@ -158,7 +225,7 @@ class LinkMatrix:
             cold = _written(cold)
             hot = _written(hot) if hot is not None else None
         pairs.unpersist()
-        cached = [verts, cold] + ([hot] if hot is not None else [])
+        cached = [verts, cold] + ([hot] if hot is not None else []) + cached_extra
         return cls(
             vertices=verts,
             cold=cold,
@@ -171,6 +238,7 @@ class LinkMatrix:
             num_partitions=parts,
             strategy=strategy,
             id_type=id_type,
+            dictionary=dictionary,
             _cached=cached,
         )
 

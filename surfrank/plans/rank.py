@@ -93,6 +93,7 @@ def rank(
     max_hot: int | None = None,
     hot_min_rows: int = 10_000,
     preset: str = "script",
+    encode_ids: bool | str = "auto",
 ) -> RankResult:
     """Rank the vertices of ``edges(src, dst)``; see the module doc for the semantics.
 
@@ -101,7 +102,8 @@ def rank(
     ``initial`` is an optional start vector ``(id, rank)`` (ids it lacks
     start at 0).  ``strategy`` picks the per-step join: "broadcast",
     "partitioned" or "auto" (broadcast only if the vector fits the
-    session's broadcast threshold).
+    session's broadcast threshold).  ``encode_ids`` runs the loop on bigint
+    ids and decodes the result with one join (default: for long text ids).
     """
     p = PRESETS[preset]
     teleport = p["teleport"] if teleport is None else float(teleport)
@@ -114,7 +116,7 @@ def rank(
         raise ValueError("max_iter must be at least 1")
     spark = edges.sparkSession
     checkpoint_dir(spark)
-    lm = LinkMatrix.build(edges, num_partitions, strategy, max_hot, hot_min_rows)
+    lm = LinkMatrix.build(edges, num_partitions, strategy, max_hot, hot_min_rows, encode_ids=encode_ids)
     try:
         if lm.n == 0:
             schema = T.StructType(
@@ -126,8 +128,16 @@ def rank(
             "spark.sql.shuffle.partitions": str(lm.num_partitions),
             "spark.sql.adaptive.enabled": "false",
         }
+        if initial is not None and lm.dictionary is not None:
+            initial = initial.join(lm.dictionary, "id").select(F.col("vid").alias("id"), "rank")
         with scoped_conf(spark, loop_conf):
-            return _iterate(lm, teleport, epsilon, max_iter, compare_first, initial)
+            result = _iterate(lm, teleport, epsilon, max_iter, compare_first, initial)
+        if lm.dictionary is not None:
+            # back to the original ids: one join on unique keys, written out so
+            # the result does not depend on the caches dropped below
+            decoded = result.ranks.select(F.col("id").alias("vid"), "rank").join(lm.dictionary, "vid")
+            result.ranks = decoded.select("id", "rank").checkpoint(eager=True)
+        return result
     finally:
         lm.unpersist()
 

@@ -128,9 +128,18 @@ def random_graph():
 
 @pytest.mark.parametrize("strategy", ["partitioned", "broadcast"])
 @pytest.mark.parametrize("hot_min_rows", [10_000, 1])
-def test_strategies_match_numpy(spark, random_graph, strategy, hot_min_rows):
+@pytest.mark.parametrize("encode_ids", [False, True])
+def test_strategies_match_numpy(spark, random_graph, strategy, hot_min_rows, encode_ids):
     edges = spark.createDataFrame(random_graph, "src string, dst string")
-    res = sr.rank(edges, epsilon=0.0, max_iter=15, strategy=strategy, hot_min_rows=hot_min_rows, max_hot=4)
+    res = sr.rank(
+        edges,
+        epsilon=0.0,
+        max_iter=15,
+        strategy=strategy,
+        hot_min_rows=hot_min_rows,
+        max_hot=4,
+        encode_ids=encode_ids,
+    )
     want = _numpy_rank(random_graph, 0.2, 15)
     got = _as_dict(res.ranks)
     assert res.strategy == strategy
@@ -192,6 +201,16 @@ def test_long_ids(spark, edges_of):
     assert res.ranks.schema["id"].dataType.simpleString() == "bigint"
 
 
+def test_encoded_ids_with_restart(spark, edges_of):
+    edges = edges_of("a>b a>c b>c")
+    res = sr.rank(edges, preset="script", encode_ids=True)
+    got = _as_dict(res.ranks)
+    assert got["a"] == pytest.approx(0.20324996, abs=2e-9)
+    assert res.ranks.schema["id"].dataType.simpleString() == "string"
+    again = sr.rank(edges, preset="cluster", teleport=0.2, epsilon=1e-4, initial=res.ranks, encode_ids=True)
+    assert again.iterations <= 2
+
+
 def test_result_survives_cache_loss(spark, edges_of):
     res = sr.rank(edges_of("a>b a>c b>c"), preset="script")
     spark.catalog.clearCache()
