@@ -41,7 +41,9 @@ def split_join(
 ) -> DataFrame:
     """``big`` join ``dim`` on ``key`` (same name on both sides), hot keys broadcast.
 
-    ``hot`` holds the hot key values, at most a bounded number of rows.
+    ``hot`` holds the hot key values, at most a bounded number of rows, and
+    ``key`` must be unique in ``dim`` (a degree table, a dictionary): then the
+    broadcast part of ``dim`` has at most as many rows as ``hot``.
     ``how`` is ``"inner"`` or ``"left"`` (all rows of ``big`` kept).
     With ``hot=None`` this is a plain join.
     """
