@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.skew import hot_threshold, split_join
-from ..session import broadcast_budget, scoped_conf, shuffle_partitions
+from ..session import broadcast_budget, drop_checkpoint, scoped_conf, shuffle_partitions
 
 STRATEGIES = ("auto", "broadcast", "partitioned")
 # estimated bytes per broadcast vector row besides the id: rank double + row overhead
@@ -88,7 +88,7 @@ def _encode(pairs: DataFrame, verts: DataFrame, hot_ids: list, threshold: int, m
     encoded.count()  # fill the cache before the text-keyed pairs are dropped
     pairs.unpersist()
     verts.unpersist()
-    return encoded, new_verts, numbered, hot_vids
+    return encoded, new_verts, numbered, hot_vids, fixed
 
 
 def _written(df: DataFrame) -> DataFrame:
@@ -179,10 +179,10 @@ class LinkMatrix:
         if encode_ids == "auto":
             encode_ids = isinstance(id_type, T.StringType) and float(row["id_bytes"] or 0) > ENCODE_MIN_BYTES
         if encode_ids and n:
-            pairs, verts, dictionary, hot_ids = _encode(
+            pairs, verts, dictionary, hot_ids, fixed = _encode(
                 pairs, verts, hot_ids, threshold, int(row["max_in_entries"] or 0)
             )
-            cached_extra = [dictionary]
+            cached_extra = [dictionary, fixed]
         else:
             cached_extra = []
 
@@ -307,4 +307,5 @@ class LinkMatrix:
         self._views = {}
         for df in self._cached:
             df.unpersist()
+            drop_checkpoint(df)
         self._cached = []

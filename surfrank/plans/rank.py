@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import checkpoint_dir, scoped_conf
+from ..session import checkpoint_dir, drop_checkpoint, scoped_conf
 from .layout import LinkMatrix
 
 log = logging.getLogger(__name__)
@@ -79,6 +79,7 @@ class RankResult:
     steps: list[StepStats] = field(default_factory=list)
     strategy: str = ""
     n: int = 0
+    _written: DataFrame | None = field(default=None, repr=False)
 
 
 def rank(
@@ -137,6 +138,9 @@ def rank(
             # the result does not depend on the caches dropped below
             decoded = result.ranks.select(F.col("id").alias("vid"), "rank").join(lm.dictionary, "vid")
             result.ranks = decoded.select("id", "rank").checkpoint(eager=True)
+            if result._written is not None:
+                drop_checkpoint(result._written)
+            result._written = result.ranks
         return result
     finally:
         lm.unpersist()
@@ -186,10 +190,12 @@ def _iterate(
     spark = lm.cold.sparkSession
     n = lm.n
     vec = start_vector(lm, initial)
+    written: DataFrame | None = None  # checkpointed DataFrame behind ``vec``
     if initial is None:
         live_mass = (n - lm.n_sinks) / n
     else:
         vec = vec.checkpoint(eager=True)
+        written = vec
         live_mass = float(
             vec.agg(F.sum(F.when(~F.col("sink"), F.col("rank")).otherwise(0.0))).collect()[0][0] or 0.0
         )
@@ -212,6 +218,10 @@ def _iterate(
         compared = compare_first or k > 1
         delta = float(row["l1"]) if compared else None
         live_mass = float(row["live"] or 0.0)
+        # the new vector is written now; the previous one is read by nothing
+        if written is not None:
+            drop_checkpoint(written)
+        written = nxt
         vec = nxt.select("id", "rank", "sink")
         steps.append(StepStats(k, y_sum, delta, time.perf_counter() - t0))
         log.info("step %d: vector sum %.17g, l1 change %s", k, y_sum, delta)
@@ -221,4 +231,6 @@ def _iterate(
     history = spark.createDataFrame(
         [(s.iteration, s.vector_sum, s.l1_delta) for s in steps], HISTORY_SCHEMA
     )
-    return RankResult(vec.select("id", "rank"), history, k, converged, steps, lm.strategy, n)
+    result = RankResult(vec.select("id", "rank"), history, k, converged, steps, lm.strategy, n)
+    result._written = written
+    return result

@@ -14,7 +14,7 @@ import contextlib
 import tempfile
 from collections.abc import Iterator
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _UNSET = object()
 
@@ -87,3 +87,28 @@ def broadcast_budget(spark: SparkSession) -> int:
     else:
         value = int(raw)
     return max(value, 0)
+
+
+def checkpoint_file(df: DataFrame) -> str | None:
+    """Folder of the reliable checkpoint a DataFrame reads from, if it is one."""
+    try:
+        opt = df._jdf.queryExecution().analyzed().rdd().getCheckpointFile()
+        return opt.get() if opt.isDefined() else None
+    except Exception:  # noqa: BLE001 - not a checkpointed DataFrame
+        return None
+
+
+def drop_checkpoint(df: DataFrame) -> None:
+    """Delete the checkpoint files behind ``df`` once nothing reads them any more.
+
+    Spark only removes checkpoint files when ``spark.cleaner.referenceTracking.
+    cleanCheckpoints`` is on; a loop that writes one vector per step would
+    otherwise leave every step's vector behind in the shared folder.
+    """
+    path = checkpoint_file(df)
+    if not path:
+        return
+    spark = df.sparkSession
+    jvm = spark.sparkContext._jvm
+    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)
