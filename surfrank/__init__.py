@@ -10,6 +10,7 @@ from .operators.graph import (
     count_vertices,
     decode_vector,
     index_edges,
+    lookup,
     out_degree,
     vertex_count,
     vertex_index,
@@ -47,6 +48,7 @@ __all__ = [
     "index_matrix",
     "initial_vector",
     "l1_distance",
+    "lookup",
     "multiply",
     "out_degree",
     "rank",

@@ -142,3 +142,8 @@ def decode_vector(vec: DataFrame, index: DataFrame, value: str = "rank") -> Data
     Both sides have unique keys, so the join cannot be skewed.
     """
     return vec.join(index, "idx").select("id", value)
+
+
+def lookup(vec: DataFrame, ids: DataFrame) -> DataFrame:
+    """Entries of ``vec`` for the ids in ``ids(id)`` (D-6), as a semi join."""
+    return vec.join(ids.select("id"), "id", "left_semi")

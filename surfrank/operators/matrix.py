@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.skew import DEFAULT_MAX_HOT, split_join
+from ..session import checkpoint_dir
 from .graph import degree_hot_keys, out_degree, with_out_degree
 
 
@@ -114,9 +115,12 @@ def rank_step(
 ) -> DataFrame:
     """One full step: multiply, damp, redistribute (V7).  Returns ``(id, rank)``.
 
-    Runs one scalar action (the sum of the damped vector).
+    Runs one scalar action (the sum of the damped vector).  The damped vector
+    is a lazy reliable checkpoint, so that action computes the multiply once
+    and the returned vector reads the written result instead of redoing it.
     """
-    y = damp(multiply(matrix, vec, "rank", hot), teleport, "y")
+    checkpoint_dir(matrix.sparkSession)
+    y = damp(multiply(matrix, vec, "rank", hot), teleport, "y").checkpoint(eager=False)
     total = y.agg(F.sum("y")).collect()[0][0] or 0.0
     return redistribute(y, n, float(total), "y", "rank")
 

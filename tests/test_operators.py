@@ -110,6 +110,13 @@ def test_index_decode_roundtrip(spark, edges_of):
     assert decoded == {"a": 0.0, "b": 1.0, "c": 2.0, "d": 3.0}
 
 
+def test_lookup(spark, edges_of):
+    res = sr.rank(edges_of("a>b a>c b>c"), preset="script")
+    ids = spark.createDataFrame([("a",), ("c",), ("zz",)], "id string")
+    got = {r.id: r.rank for r in sr.lookup(res.ranks, ids).collect()}
+    assert set(got) == {"a", "c"} and got["a"] == pytest.approx(0.20324996, abs=2e-9)
+
+
 def test_transition_matrix_collapse(spark, edges_of):
     edges = edges_of("a>b a>b a>c b>b b>c c>a c>d")
     full = sr.transition_matrix(edges, collapse=False).collect()
