@@ -256,7 +256,11 @@ class LinkMatrix:
                 self._views["hot"] = f"_surfrank_hot_{tag}"
                 self._views["hubs"] = f"_surfrank_hubs_{tag}"
                 self.hot.createOrReplaceTempView(self._views["hot"])
-                self.vertices.filter(F.col("id").isin(self.hot_ids)).select("id").createOrReplaceTempView(
+                # the hub ids are on the driver already (at most max_hot of them):
+                # a local relation, so a step does not rescan the vertex table
+                hub_schema = T.StructType([T.StructField("id", self.vertices.schema["id"].dataType)])
+                spark = self.cold.sparkSession
+                spark.createDataFrame([(h,) for h in self.hot_ids], hub_schema).createOrReplaceTempView(
                     self._views["hubs"]
                 )
         return self._views
