@@ -213,7 +213,13 @@ class LinkMatrix:
             hot = (
                 pairs.filter(src_is_hot)
                 .join(F.broadcast(hub_degree), "src")
-                .select("src", "dst", (F.col("copies") / F.col("out_degree")).cast("double").alias("w"))
+                # fresh column ids: cold and hot derive from the same pair table, and a
+                # step reading both would otherwise miss the cache of one of them
+                .select(
+                    F.col("src").alias("src"),
+                    F.col("dst").alias("dst"),
+                    (F.col("copies") / F.col("out_degree")).cast("double").alias("w"),
+                )
             )
         # The matrix is written once to the checkpoint folder and cached from
         # there: steps plan against a flat relation (not the build lineage), and

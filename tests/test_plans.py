@@ -45,6 +45,8 @@ def test_one_shuffle_per_step_and_constant_plan(spark, hot_min_rows):
                 assert nodes.count("Exchange") == 1, nodes
                 assert "ShuffledHashJoin" in nodes and "SortMergeJoin" not in nodes
                 assert nodes.count("BroadcastExchange") == (0 if lm.hot is None else 2)
+                # every matrix part is read from the cache, not from its checkpoint files
+                assert nodes.count("InMemoryTableScan") == (1 if lm.hot is None else 2)
             assert len(set(sizes)) == 1
     finally:
         lm.unpersist()
