@@ -201,6 +201,12 @@ def q_rank_partitioned(spark, sf):
     return _ranks(sr.rank(GRAPHS["cust_part"](spark, sf), preset="script", strategy="partitioned"))
 
 
+def q_rank_broadcast(spark, sf):
+    """Opt-in broadcast strategy (vector size checked against the session threshold)."""
+    res = sr.rank(GRAPHS["raw_part_supp"](spark, sf), preset="cluster", strategy="broadcast")
+    return _ranks(res)
+
+
 def q_rank_hubs(spark, sf):
     res = sr.rank(GRAPHS["type_user"](spark, sf), preset="script", strategy="partitioned", hot_min_rows=1)
     return _ranks(res)
@@ -266,6 +272,7 @@ _QUERIES = {
     "rank_cluster": q_rank_cluster,
     "rank_notebook": q_rank_notebook,
     "rank_partitioned": q_rank_partitioned,
+    "rank_broadcast": q_rank_broadcast,
     "rank_hubs": q_rank_hubs,
     "rank_encoded": q_rank_encoded,
     "rank_history": q_rank_history,
@@ -416,6 +423,7 @@ def _oracles() -> dict[str, str]:
         "rank_cluster": _preset_walk("page_links", "cluster"),
         "rank_notebook": _preset_walk("event_flow", "notebook"),
         "rank_partitioned": _preset_walk("cust_part", "script"),
+        "rank_broadcast": _preset_walk("raw_part_supp", "cluster"),
         "rank_hubs": _preset_walk("type_user", "script"),
         "rank_encoded": _preset_walk("page_links", "notebook"),
         "rank_history": _walk(
