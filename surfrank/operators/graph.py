@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.skew import DEFAULT_MAX_HOT, hot_keys, hot_threshold, split_join
+from ..functions.values import local_rows
 from ..session import checkpoint_dir, shuffle_partitions
 
 
@@ -107,7 +108,7 @@ def degree_hot_keys(
         return None
     hot = hot_keys(counts, key, count_col, threshold)
     keys = [(r[0],) for r in hot.collect()]
-    return counts.sparkSession.createDataFrame(keys, hot.schema)
+    return local_rows(counts.sparkSession, keys, hot.schema)
 
 
 def with_out_degree(edges: DataFrame, max_hot: int = DEFAULT_MAX_HOT) -> DataFrame:

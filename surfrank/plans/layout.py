@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.skew import hot_threshold, split_join
+from ..functions.values import local_rows
 from ..session import broadcast_budget, drop_checkpoint, scoped_conf, shuffle_partitions
 
 STRATEGIES = ("auto", "broadcast", "partitioned")
@@ -62,14 +63,14 @@ def _encode(pairs: DataFrame, verts: DataFrame, hot_ids: list, threshold: int, m
     dictionary = numbered.select("id", "vid")
     hot_src = None
     if hot_ids:
-        hot_src = spark.createDataFrame([(k,) for k in hot_ids], T.StructType([fixed.schema["id"]])).select(
+        hot_src = local_rows(spark, [(k,) for k in hot_ids], T.StructType([fixed.schema["id"]])).select(
             F.col("id").alias("src")
         )
     hot_dst = None
     if max_in >= threshold:
         # bounded like the hub sources: at most max_hot targets reach the threshold
         keys = [(r["id"],) for r in fixed.filter(F.col("in_entries") >= threshold).select("id").collect()]
-        hot_dst = spark.createDataFrame(keys, T.StructType([fixed.schema["id"]])).select(F.col("id").alias("dst"))
+        hot_dst = local_rows(spark, keys, T.StructType([fixed.schema["id"]])).select(F.col("id").alias("dst"))
     by_src = split_join(
         pairs, dictionary.select(F.col("id").alias("src"), F.col("vid").alias("src_vid")), "src", hot_src
     )
@@ -261,24 +262,39 @@ class LinkMatrix:
             if self.hot is not None:
                 self._views["hot"] = f"_surfrank_hot_{tag}"
                 self._views["hubs"] = f"_surfrank_hubs_{tag}"
+                self._views["hub_ranks"] = f"_surfrank_hubranks_{tag}"
                 self.hot.createOrReplaceTempView(self._views["hot"])
                 # the hub ids are on the driver already (at most max_hot of them):
                 # a local relation, so a step does not rescan the vertex table
                 hub_schema = T.StructType([T.StructField("id", self.vertices.schema["id"].dataType)])
-                spark = self.cold.sparkSession
-                spark.createDataFrame([(h,) for h in self.hot_ids], hub_schema).createOrReplaceTempView(
+                local_rows(self.cold.sparkSession, [(h,) for h in self.hot_ids], hub_schema).createOrReplaceTempView(
                     self._views["hubs"]
                 )
         return self._views
 
-    def contribution_sql(self, prev: str) -> str:
+    def set_hub_ranks(self, rows: list) -> str:
+        """Register the hubs' current ranks ``[(id, rank)]`` (at most ``max_hot``) as a
+        local ``VALUES`` relation and return its view name.  Broadcasting a local
+        relation needs no Spark job, unlike a broadcast computed from the vector."""
+        views = self.register()
+        schema = T.StructType(
+            [
+                T.StructField("id", self.vertices.schema["id"].dataType),
+                T.StructField("rank", T.DoubleType()),
+            ]
+        )
+        local_rows(self.cold.sparkSession, rows, schema).createOrReplaceTempView(views["hub_ranks"])
+        return views["hub_ranks"]
+
+    def contribution_sql(self, prev: str, hub_ranks: str | None = None) -> str:
         """SQL of ``(id, c)``: one product ``w * prev.rank`` per matrix entry, keyed by target.
 
         ``prev`` names a view ``(id, rank, ...)``.  Partitioned: ordinary
         sources join the previous vector inside each partition (both sides
         hash-partitioned alike), hubs join a broadcast copy of their own
-        (bounded) vector entries.  Broadcast: every entry meets a broadcast
-        copy of the whole vector.
+        (bounded) vector entries: the view ``hub_ranks`` when given (see
+        ``set_hub_ranks``), else a semi join of ``prev`` with the hub list.
+        Broadcast: every entry meets a broadcast copy of the whole vector.
         """
         v = self.register()
         if self.strategy == "broadcast":
@@ -297,10 +313,13 @@ class LinkMatrix:
             f"from {v['cold']} m join {prev} p on m.src = p.id"
         ]
         if self.hot is not None:
+            hubs = hub_ranks or (
+                f"(select /*+ BROADCAST(u) */ p.id, p.rank from {prev} p left semi join {v['hubs']} u "
+                f"on p.id = u.id)"
+            )
             parts.append(
                 f"select /*+ BROADCAST(h) */ m.dst as id, m.w * h.rank as c from {v['hot']} m join "
-                f"(select /*+ BROADCAST(u) */ p.id, p.rank from {prev} p left semi join {v['hubs']} u "
-                f"on p.id = u.id) h on m.src = h.id"
+                f"{hubs} h on m.src = h.id"
             )
         return " union all ".join(parts)
 

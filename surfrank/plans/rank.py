@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import checkpoint_dir, drop_checkpoint, scoped_conf
+from ..functions.values import local_rows
 from .layout import LinkMatrix
 
 log = logging.getLogger(__name__)
@@ -157,23 +158,27 @@ def start_vector(lm: LinkMatrix, initial: DataFrame | None) -> DataFrame:
     )
 
 
-def next_vector(lm: LinkMatrix, prev: DataFrame, teleport: float, shift: float) -> DataFrame:
+def next_vector(
+    lm: LinkMatrix, prev: DataFrame, teleport: float, shift: float, hub_ranks: list | None = None
+) -> DataFrame:
     """``(id, rank, prev, sink)`` of the next step; ``shift`` = ``(1 - sum(y)) / n``.
 
-    ``prev`` is ``(id, rank, sink)``.  Built as one SQL statement so that a
-    step costs one analysis pass on the driver.
+    ``prev`` is ``(id, rank, sink)``; ``hub_ranks`` optionally the hubs' entries
+    of ``prev`` as ``[(id, rank)]``, already on the driver.  Built as one SQL
+    statement so that a step costs one analysis pass on the driver.
     """
     views = lm.register()
     prev.createOrReplaceTempView(views["prev"])
-    return lm.cold.sparkSession.sql(step_sql(lm, views["prev"], teleport, shift))
+    hub_view = lm.set_hub_ranks(hub_ranks) if (hub_ranks is not None and lm.hot is not None) else None
+    return lm.cold.sparkSession.sql(step_sql(lm, views["prev"], teleport, shift, hub_view))
 
 
-def step_sql(lm: LinkMatrix, prev: str, teleport: float, shift: float) -> str:
+def step_sql(lm: LinkMatrix, prev: str, teleport: float, shift: float, hub_ranks: str | None = None) -> str:
     return (
         f"select id, {1.0 - teleport!r} * sum(c) + {shift!r} as rank, "
         "max(p) as prev, max(k) as sink from ("
         "select id, c, cast(null as double) as p, cast(null as boolean) as k from ("
-        f"{lm.contribution_sql(prev)}) "
+        f"{lm.contribution_sql(prev, hub_ranks)}) "
         f"union all select id, 0.0 as c, rank as p, sink as k from {prev}"
         ") group by id"
     )
@@ -199,6 +204,26 @@ def _iterate(
         live_mass = float(
             vec.agg(F.sum(F.when(~F.col("sink"), F.col("rank")).otherwise(0.0))).collect()[0][0] or 0.0
         )
+    # hubs' ranks travel with the step's scalars (at most max_hot rows), so the
+    # next step broadcasts them from the driver without an extra Spark job
+    track_hubs = lm.hot is not None and lm.strategy == "partitioned"
+    hub_ranks: list | None = None
+    if track_hubs:
+        if initial is None:
+            hub_ranks = [(h, 1.0 / n) for h in lm.hot_ids]
+        else:
+            hub_ranks = [
+                (r["id"], r["rank"])
+                for r in vec.filter(F.col("id").isin(lm.hot_ids)).select("id", "rank").collect()
+            ]
+    scalars = [
+        F.sum(F.abs(F.col("rank") - F.col("prev"))).alias("l1"),
+        F.sum(F.when(~F.col("sink"), F.col("rank")).otherwise(0.0)).alias("live"),
+    ]
+    if track_hubs:
+        scalars.append(
+            F.collect_list(F.when(F.col("id").isin(lm.hot_ids), F.struct("id", "rank"))).alias("hubs")
+        )
     steps: list[StepStats] = []
     converged = False
     k = 0
@@ -210,11 +235,10 @@ def _iterate(
         # lazy reliable checkpoint: the aggregation below computes the step,
         # then Spark writes the vector to the checkpoint folder; the next step
         # starts from those files, so plan size and lineage stay constant
-        nxt = next_vector(lm, vec, teleport, shift).checkpoint(eager=False)
-        row = nxt.agg(
-            F.sum(F.abs(F.col("rank") - F.col("prev"))).alias("l1"),
-            F.sum(F.when(~F.col("sink"), F.col("rank")).otherwise(0.0)).alias("live"),
-        ).collect()[0]
+        nxt = next_vector(lm, vec, teleport, shift, hub_ranks).checkpoint(eager=False)
+        row = nxt.agg(*scalars).collect()[0]
+        if track_hubs:
+            hub_ranks = [(h["id"], h["rank"]) for h in row["hubs"]]
         compared = compare_first or k > 1
         delta = float(row["l1"]) if compared else None
         live_mass = float(row["live"] or 0.0)
@@ -228,9 +252,7 @@ def _iterate(
         if delta is not None and delta < epsilon:
             converged = True
             break
-    history = spark.createDataFrame(
-        [(s.iteration, s.vector_sum, s.l1_delta) for s in steps], HISTORY_SCHEMA
-    )
+    history = local_rows(spark, [(s.iteration, s.vector_sum, s.l1_delta) for s in steps], HISTORY_SCHEMA)
     result = RankResult(vec.select("id", "rank"), history, k, converged, steps, lm.strategy, n)
     result._written = written
     return result

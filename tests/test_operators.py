@@ -194,3 +194,18 @@ def test_with_next_matches_window_lead(spark):
         "u", "ts", "eid", "val", F.lead("val").over(Window.partitionBy("u").orderBy("ts", "eid")).alias("nxt")
     )
     assert sorted(got.collect()) == sorted(want.collect())
+
+
+def test_local_rows_exact_and_jvm_only(spark):
+    from pyspark.sql import types as T
+
+    from surfrank.functions.values import local_rows
+
+    schema = T.StructType(
+        [T.StructField("k", T.StringType()), T.StructField("v", T.DoubleType()), T.StructField("n", T.LongType())]
+    )
+    rows = [("it's \\ \"q\" é", 0.1 + 0.2, 2**62), ("", 1e-300, -1), (None, None, None)]
+    df = local_rows(spark, rows, schema)
+    assert df.collect() == [tuple(r) for r in rows] or [tuple(r) for r in df.collect()] == rows
+    assert "LocalTableScan" in df._jdf.queryExecution().executedPlan().toString()
+    assert local_rows(spark, [], schema).count() == 0
