@@ -34,24 +34,8 @@ def _ranks(result: sr.RankResult) -> DataFrame:
 
 
 # ---------------------------------------------------------------- graphs
-def type_user(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """event type <-> user for every event: a few sources own most edges (hubs)."""
-    ev = tables.table(spark, sf_dir, "events").select(
-        F.col("event_type").alias("t"), F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("u")
-    )
-    return ev.select(F.col("t").alias("src"), F.col("u").alias("dst")).unionByName(
-        ev.select(F.col("u").alias("src"), F.col("t").alias("dst"))
-    )
-
-
-GRAPHS = dict(tables.GRAPHS, type_user=type_user)
-GRAPH_SQL = dict(
-    tables.GRAPH_SQL,
-    type_user=(
-        "select event_type as src, 'U' || user_id as dst from events "
-        "union all select 'U' || user_id, event_type from events"
-    ),
-)
+GRAPHS = tables.GRAPHS
+GRAPH_SQL = tables.GRAPH_SQL
 
 
 # ---------------------------------------------------------------- spark side

@@ -80,6 +80,7 @@ class RankResult:
     steps: list[StepStats] = field(default_factory=list)
     strategy: str = ""
     n: int = 0
+    hubs: int = 0  # sources that took the hub path (broadcast of their own ranks)
     _written: DataFrame | None = field(default=None, repr=False)
 
 
@@ -253,6 +254,6 @@ def _iterate(
             converged = True
             break
     history = local_rows(spark, [(s.iteration, s.vector_sum, s.l1_delta) for s in steps], HISTORY_SCHEMA)
-    result = RankResult(vec.select("id", "rank"), history, k, converged, steps, lm.strategy, n)
+    result = RankResult(vec.select("id", "rank"), history, k, converged, steps, lm.strategy, n, len(lm.hot_ids))
     result._written = written
     return result

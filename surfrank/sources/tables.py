@@ -10,7 +10,8 @@ needed columns are read, so the parquet scans are pruned.
 * ``cust_part``: customer <-> part for every ordered line, both directions;
 * ``event_flow``: per user, each event ``user:event_type`` links to the
   user's next event in ``(ts, event_id)`` order (self-links, heavy duplicates);
-* ``page_links``: page id -> every ``href="..."`` target in its html.
+* ``page_links``: page id -> every ``href="..."`` target in its html;
+* ``type_user``: event type <-> user per event (a handful of hub sources).
 """
 
 from __future__ import annotations
@@ -73,12 +74,23 @@ def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def type_user(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """event type <-> user for every event: the few event types are hub sources."""
+    ev = table(spark, sf_dir, "events").select(
+        F.col("event_type").alias("t"), F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("u")
+    )
+    return ev.select(F.col("t").alias("src"), F.col("u").alias("dst")).unionByName(
+        ev.select(F.col("u").alias("src"), F.col("t").alias("dst"))
+    )
+
+
 GRAPHS = {
     "part_supp": part_supp,
     "raw_part_supp": raw_part_supp,
     "cust_part": cust_part,
     "event_flow": event_flow,
     "page_links": page_links,
+    "type_user": type_user,
 }
 
 # DuckDB text of the same graphs, for the oracle queries.
@@ -95,6 +107,10 @@ GRAPH_SQL = {
         "lead(user_id || ':' || event_type) over (partition by user_id order by ts, event_id) as dst "
         "from events) where dst is not null"
     ),
+    "type_user": (
+        "select event_type as src, 'U' || user_id as dst from events "
+        "union all select 'U' || user_id, event_type from events"
+    ),
     "page_links": (
         "select page_id::varchar as src, "
         "unnest(regexp_extract_all(html, 'href=\"([^\"]*)\"', 1)) as dst from pages"
