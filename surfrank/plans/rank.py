@@ -36,6 +36,7 @@ import logging
 import time
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -235,9 +236,13 @@ def _iterate(
         shift = (1.0 - y_sum) / n
         # lazy reliable checkpoint: the aggregation below computes the step,
         # then Spark writes the vector to the checkpoint folder; the next step
-        # starts from those files, so plan size and lineage stay constant
-        nxt = next_vector(lm, vec, teleport, shift, hub_ranks).checkpoint(eager=False)
+        # starts from those files, so plan size and lineage stay constant.
+        # The step is cached first, so Spark's checkpoint write reads it from
+        # memory instead of fetching the step's shuffle output a second time.
+        raw = next_vector(lm, vec, teleport, shift, hub_ranks).persist(StorageLevel.MEMORY_AND_DISK)
+        nxt = raw.checkpoint(eager=False)
         row = nxt.agg(*scalars).collect()[0]
+        raw.unpersist()  # the checkpoint is written when collect returns
         if track_hubs:
             hub_ranks = [(h["id"], h["rank"]) for h in row["hubs"]]
         compared = compare_first or k > 1

@@ -35,8 +35,11 @@ def test_one_shuffle_per_step_and_constant_plan(spark, hot_min_rows):
             vec = start_vector(lm, None)
             sizes = []
             for _ in range(3):
-                nxt = next_vector(lm, vec, 0.2, 0.0).checkpoint(eager=False)
+                # as the loop does it: cache, lazy checkpoint, one aggregation, uncache
+                raw = next_vector(lm, vec, 0.2, 0.0).persist()
+                nxt = raw.checkpoint(eager=False)
                 nxt.agg(F.sum("rank")).collect()
+                raw.unpersist()
                 vec = nxt.select("id", "rank", "sink")
                 hub_ranks = None
                 if lm.hot is not None:
