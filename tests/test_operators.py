@@ -209,3 +209,10 @@ def test_local_rows_exact_and_jvm_only(spark):
     assert df.collect() == [tuple(r) for r in rows] or [tuple(r) for r in df.collect()] == rows
     assert "LocalTableScan" in df._jdf.queryExecution().executedPlan().toString()
     assert local_rows(spark, [], schema).count() == 0
+
+
+def test_read_table_edges_prunes_columns(spark):
+    edges = sr.read_table_edges(spark, "/root/testdata/sf0.001/lineitem.parquet", "l_partkey", "l_suppkey")
+    assert edges.columns == ["src", "dst"]
+    assert "ReadSchema: struct<l_partkey:bigint,l_suppkey:bigint>" in edges._jdf.queryExecution().executedPlan().toString()
+    assert edges.count() == spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").count()
