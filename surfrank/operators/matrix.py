@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions.skew import DEFAULT_MAX_HOT, split_join
 from ..session import checkpoint_dir
-from .graph import degree_hot_keys, out_degree, with_out_degree
+from .graph import degree_hot_keys, with_out_degree
 
 
 def transition_matrix(edges: DataFrame, collapse: bool = True, max_hot: int = DEFAULT_MAX_HOT) -> DataFrame:
@@ -131,7 +131,6 @@ __all__ = [
     "initial_vector",
     "l1_distance",
     "multiply",
-    "out_degree",
     "rank_step",
     "redistribute",
     "transition_matrix",

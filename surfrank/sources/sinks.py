@@ -1,7 +1,7 @@
 """Sinks: rank and edge writers (K1, K2).
 
 Text output is ``id<TAB>rank``, one line per page, the format of the
-reference's result file.  ``ordered=True`` sorts by id with a range
+original tool's result file.  ``ordered=True`` sorts by id with a range
 partitioned sort, so the part files are in key order and no task holds
 more than its range.  ``single_file=True`` funnels everything through one
 task and is meant for small results only.
