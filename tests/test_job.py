@@ -28,3 +28,16 @@ def test_job_writes_ranks(spark, tmp_dir, monkeypatch):
 def test_job_missing_input_fails(spark, tmp_dir, monkeypatch):
     monkeypatch.setattr(type(spark), "stop", lambda self: None)
     assert job.main(["--input", os.path.join(tmp_dir, "nope"), "--output", os.path.join(tmp_dir, "o")]) == 1
+
+
+def test_job_parquet_and_history(spark, tmp_dir, monkeypatch):
+    src = os.path.join(tmp_dir, "g.tsv")
+    with open(src, "w") as f:
+        f.write("1\t2\n1\t3\n2\t3\n")
+    monkeypatch.setattr(type(spark), "stop", lambda self: None)
+    out, hist = os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "hist")
+    args = ["--input", src, "--output", out, "--format", "parquet", "--id-type", "long", "--history", hist]
+    assert job.main(args) == 0
+    ranks = {r["id"]: r["rank"] for r in spark.read.parquet(out).collect()}
+    assert ranks[1] == pytest.approx(0.20324996, abs=2e-9)
+    assert spark.read.parquet(hist).count() == 9

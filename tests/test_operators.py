@@ -216,3 +216,14 @@ def test_read_table_edges_prunes_columns(spark):
     assert edges.columns == ["src", "dst"]
     assert "ReadSchema: struct<l_partkey:bigint,l_suppkey:bigint>" in edges._jdf.queryExecution().executedPlan().toString()
     assert edges.count() == spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").count()
+
+
+def test_with_next_more_tasks_than_rows(spark):
+    # most range tasks are empty: successors must still be found across them
+    rows = [(i % 3, i, i) for i in range(20)]
+    df = spark.createDataFrame(rows, "u long, ts long, eid long").withColumn("val", F.col("eid").cast("string"))
+    got = with_next(df, "u", ["ts", "eid"], "val", "nxt", num_partitions=50)
+    want = df.select(
+        "u", "ts", "eid", "val", F.lead("val").over(Window.partitionBy("u").orderBy("ts", "eid")).alias("nxt")
+    )
+    assert sorted(got.collect()) == sorted(want.collect())
