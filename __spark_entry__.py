@@ -19,6 +19,14 @@ import surfrank as sr
 from surfrank.session import checkpoint_dir
 from surfrank.sources import tables
 
+try:
+    import corpus_pipeline
+    from surfrank.llm import queries as corpus
+except ModuleNotFoundError as e:  # the corpus operators are an optional part
+    if e.name not in ("corpus_pipeline", "surfrank.llm"):
+        raise
+    corpus = corpus_pipeline = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 DIGITS = 10
 TELEPORT = 0.2  # preset "script"
@@ -432,8 +440,12 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    more = {**corpus.QUERIES, "pipeline": corpus_pipeline.run} if corpus else {}
+    return {**_QUERIES, **more}
 
 
 def oracle_sql() -> dict[str, str]:
-    return _oracles()
+    more = dict(corpus.ORACLES) if corpus else {}
+    if corpus and corpus_pipeline.ORACLE_SQL:
+        more["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return {**_oracles(), **more}
