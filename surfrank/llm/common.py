@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -49,3 +52,17 @@ def free_name(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name = "_" + name
     return name
+
+
+def ship(spark: SparkSession) -> None:
+    """Make this package importable in Python workers, once for each application.
+
+    Spark itself hands the archive to every executor, also to later ones.
+    """
+    sc = spark.sparkContext
+    name = f"{__name__.partition('.')[0]}.zip"
+    if not any(os.path.basename(f) == name for f in sc.listFiles):
+        package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        at = os.path.join(tempfile.mkdtemp(), name)
+        shutil.make_archive(at.removesuffix(".zip"), "zip", os.path.dirname(package), os.path.basename(package))
+        sc.addPyFile(at)

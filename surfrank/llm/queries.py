@@ -4,18 +4,51 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import exact_dedup
-from .common import read
+from . import bpe, exact_dedup, mixing, sharding
+from .common import read, scratch_path
+
+#: The rank file and split pattern of op8; any other may be given to ``bpe``.
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+PATTERN = public_tokenizers.PATTERN
+SHARDS = 40
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decide(read(spark, sf_dir, "documents"))
 
 
+def op3_shard_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "shards")
+    sharding.write_shards(read(spark, sf_dir, "documents"), path, SHARDS)
+    text = F.coalesce("text", F.lit(""))
+    return spark.read.parquet(path).select(
+        "doc_id",
+        sharding.record_bytes(F.col("text")).alias("size"),
+        F.crc32(text).alias("text_crc32"),
+        F.lit("key").alias("law"),
+        F.col("shard").cast("int").alias("shard"),
+        "slot",
+        sharding.shard_of(F.col("doc_id"), SHARDS + 1).alias("grown_shard"),
+    )
+
+
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(read(spark, sf_dir, "documents"), RANKS, PATTERN)
+
+
+def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read(spark, sf_dir, "documents")).drop("text_hash")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_shard_shuffle": op3_shard_shuffle,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_bpe": op8_bpe,
+    "op9_source_mix": op9_source_mix,
 }
 
 ORACLES: dict[str, str] = {
