@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, exact_dedup, langid, mixing, sharding
+from . import bpe, chat, exact_dedup, jaccard_join, langid, mixing, sharding
 from .common import read, scratch_path
 
 #: The rank file and split pattern of op8; any other may be given to ``bpe``.
@@ -44,6 +44,10 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents")).drop("text_hash")
 
 
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.link(read(spark, sf_dir, "documents"), k=4, percent=85)
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(read(spark, sf_dir, "documents"))
 
@@ -59,6 +63,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_shard_shuffle": op3_shard_shuffle,
     "op5_language_id": op5_language_id,
     "op7_exact_dedup": op7_exact_dedup,
