@@ -14,6 +14,8 @@ from ..session import checkpoint_dir
 
 #: Characters that separate words: space and U+0009 to U+000D.
 SPACES = " \t\n\x0b\x0c\r"
+#: Folder below the shared one for intermediate tables.
+SCRATCH = "surfrank-corpus"
 #: A word, as a Java regular expression.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -22,15 +24,22 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint of ``df`` in the shared folder (survives lost executors)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{checkpoint_dir(spark).rstrip('/')}/{SCRATCH}/{name}-{uuid.uuid4().hex}"
+
+
+def cut(df: DataFrame, name: str = "cut") -> DataFrame:
+    """``df`` written to the shared folder and read back: computed once, survives lost executors."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete all written intermediate tables; results that still read them end with it."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_dir(spark).rstrip('/')}/{SCRATCH}")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def without_spaces(text: Column) -> Column:

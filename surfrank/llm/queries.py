@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, exact_dedup, jaccard_join, langid, mixing, sharding
+from . import bpe, chat, exact_dedup, jaccard_join, langid, mixing, recurrent_lm, sharding
 from .common import read, scratch_path
 
 #: The rank file and split pattern of op8; any other may be given to ``bpe``.
@@ -48,6 +48,10 @@ def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.link(read(spark, sf_dir, "documents"), k=4, percent=85)
 
 
+def op4_recurrent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recurrent_lm.score(read(spark, sf_dir, "documents"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(read(spark, sf_dir, "documents"))
 
@@ -65,6 +69,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_shard_shuffle": op3_shard_shuffle,
+    "op4_recurrent_lm": op4_recurrent_lm,
     "op5_language_id": op5_language_id,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_bpe": op8_bpe,

@@ -39,6 +39,11 @@ _SPACE[[32, *range(9, 14)]] = True
 
 def word_hashes(texts: list[str | None]) -> Iterator[np.ndarray]:
     """Hashes of the words of each text in order; A-Z count as a-z, words are runs of no white space."""
+    return (words for words, _ in words_and_ends(texts))
+
+
+def words_and_ends(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each text its words' hashes and last three bytes (as a number)."""
     held: list[bytes] = []
     size = 0
     for t in texts:
@@ -52,17 +57,22 @@ def word_hashes(texts: list[str | None]) -> Iterator[np.ndarray]:
         yield from _words(held)
 
 
-def _words(held: list[bytes]) -> Iterator[np.ndarray]:
+def _words(held: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     raw = np.frombuffer(b" " + b" ".join(held) + b" ", np.uint8)
     gap = _SPACE[raw]
     edge = np.diff(gap.astype(np.int8))
     start, end = np.flatnonzero(edge == -1) + 1, np.flatnonzero(edge == 1) + 1
     power, back = _powers(len(raw) + 1)
+    low = _LOWER[raw]
     sums = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum((_LOWER[raw] + np.uint64(1)) * power[: len(raw)], out=sums[1:])
+    np.cumsum((low + np.uint64(1)) * power[: len(raw)], out=sums[1:])
     words = mix((sums[end] - sums[start]) * back[start] + (end - start).astype(np.uint64))
-    ends = np.cumsum([len(h) + 1 for h in held])
-    return iter(np.split(words, np.searchsorted(start, ends[:-1] + 1)))
+    last = np.zeros(len(start), np.int64)
+    for i in (3, 2, 1):
+        at = end - i
+        last = last * 256 + np.where(at >= start, low[at], 0).astype(np.int64)
+    cuts = np.searchsorted(start, np.cumsum([len(h) + 1 for h in held])[:-1] + 1)
+    return zip(np.split(words, cuts), np.split(last, cuts), strict=True)
 
 
 def shingle_set(words: np.ndarray, k: int) -> np.ndarray:
