@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, exact_dedup, jaccard_join, langid, mixing, recurrent_lm, sharding
+from . import bloom_sketch, bpe, chat, exact_dedup, jaccard_join, langid, line_dedup, mixing, recurrent_lm, sharding
 from .common import read, scratch_path
 
 #: The rank file and split pattern of op8; any other may be given to ``bpe``.
@@ -17,8 +17,8 @@ PATTERN = public_tokenizers.PATTERN
 SHARDS = 40
 
 
-def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup.decide(read(spark, sf_dir, "documents"))
+def op6_bloom_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bloom_sketch.fingerprints(read(spark, sf_dir, "documents"))
 
 
 def op3_shard_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,6 +36,10 @@ def op3_shard_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.decide(read(spark, sf_dir, "documents"))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(read(spark, sf_dir, "documents"), RANKS, PATTERN)
 
@@ -44,6 +48,10 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents")).drop("text_hash")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup(read(spark, sf_dir, "documents"))
+
+
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.link(read(spark, sf_dir, "documents"), k=4, percent=85)
 
@@ -67,10 +75,12 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_shard_shuffle": op3_shard_shuffle,
     "op4_recurrent_lm": op4_recurrent_lm,
     "op5_language_id": op5_language_id,
+    "op6_bloom_sketch": op6_bloom_sketch,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_bpe": op8_bpe,
     "op9_source_mix": op9_source_mix,
@@ -78,5 +88,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op6_bloom_sketch": op6_bloom_sketch,
     "op7_exact_dedup": exact_dedup.ORACLE_SQL,
 }
