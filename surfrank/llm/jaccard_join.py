@@ -19,9 +19,12 @@ others:
    each run of equal keys gives one link from its first set to every other
    one, never all pairs.
 4. Verification on the whole texts; connected components.
-5. Runs that still hold more than one component give their pairs across
-   components, if these agree in more than ``spare`` cells, and are verified
-   as well.  After that no link can join two components.
+5. Two sets that are similar have a star (a run's first set) in common.
+   In stars that still hold more than one component the sets of different
+   components are compared in bounded blocks by bit sketches: a shingle
+   flips one bit, so the Hamming distance also bounds the symmetric
+   difference from below.  Pairs within the bound are verified as well.
+   After that no link can join two components.
 
 Cases: null, empty and blank texts have no shingles, are linked with
 nothing and are components of their own; texts with fewer than k words
@@ -44,6 +47,9 @@ from .common import cut, ship
 from .components import components
 from .shingles import digest, mix, shingle_set, word_hashes
 
+#: Sets of one star that are compared in one task.
+BLOCK = 4096
+
 
 class Bands:
     """Size bands for a threshold ``percent``; d, spare and number of cells of each."""
@@ -121,6 +127,15 @@ def _keyed(rows: DataFrame, k: int, percent: int) -> DataFrame:
     return rows.select("text").mapInArrow(run, "key long, set long")
 
 
+def _sketched(texts: DataFrame, k: int) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            got = [sketch(shingle_set(w, k)) for w in word_hashes(batch.column(1).to_pylist())]
+            yield pa.record_batch([*batch.columns, pa.array(got, pa.binary())], names=["set", "text", "sketch"])
+
+    return texts.mapInArrow(run, "set long, text string, sketch binary")
+
+
 def _pairs(key: np.ndarray, one: np.ndarray) -> pa.RecordBatch:
     return pa.record_batch([pa.array(key), pa.array(one)], names=["key", "set"])
 
@@ -193,12 +208,12 @@ def link(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id",
     sets = facts.filter("n > 0").groupBy("set").agg(F.min("doc_id").alias("class_id"), F.min("at").alias("at"), F.first("n").alias("n"))
 
     wanted = runs.select("set").distinct().join(sets, "set").select("set", "at")
-    texts = cut(rows.select("at", "text").join(wanted, "at").groupBy("set").agg(F.first("text").alias("text")))
+    texts = cut(_sketched(rows.select("at", "text").join(wanted, "at").groupBy("set").agg(F.first("text").alias("text")), k))
 
-    stars = runs.filter("first != set").select(F.col("first").alias("a"), F.col("set").alias("b")).distinct()
+    stars = cut(runs.filter("first != set").select(F.col("first").alias("a"), F.col("set").alias("b")).distinct())
     links = cut(_verified(stars, texts, k, percent))
     roots = components(links)
-    across = _across(runs, roots, sets, percent)
+    across = _across(stars, roots, texts.join(sets.select("set", "n"), "set").drop("text"), percent)
     more = cut(_verified(across, texts, k, percent))
     if not more.isEmpty():
         roots = components(links.unionByName(more))
@@ -217,21 +232,76 @@ def link(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id",
     )
 
 
-def _across(runs: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs of sets of different components that agree in enough cells and may be similar by size."""
-    bands = Bands(percent)
-    named = runs.join(roots.withColumnRenamed("node", "set"), "set", "left").withColumn("root", F.coalesce("root", "set"))
-    mixed = named.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x != y").select("key")
-    rows = named.join(mixed, "key").join(sets.select("set", "n"), "set").select("key", "set", "root", "n")
-    other = rows.select("key", F.col("set").alias("set_b"), F.col("root").alias("root_b"), F.col("n").alias("n_b"))
-    seen = runs.filter("first != set").select(F.col("first").alias("a"), F.col("set").alias("b")).distinct()
-    pairs = (
-        rows.join(other, "key")
-        .filter((F.col("set") < F.col("set_b")) & (F.col("root") != F.col("root_b")))
-        .filter(F.least("n", "n_b") * 100 >= F.greatest("n", "n_b") * percent)
-        .groupBy(F.col("set").alias("a"), F.col("set_b").alias("b"))
-        .agg(F.count("*").alias("cells"))
-        .filter(F.col("cells") > bands.cells(0)[1])  # the smallest spare of all bands
-        .select("a", "b")
+def keep_one(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows of a component but the one with its smallest id; same columns.
+
+    Rows without shingles and without an id stay.
+    """
+    linked = link(docs, k, percent, id_col, text_col)
+    gone = linked.filter("doc_id != component_id").select(F.col("doc_id").alias("_gone")).distinct()
+    return docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
+
+
+def sketch(shingles: np.ndarray) -> bytes:
+    """Parity bits of a set, at least two for each shingle; every shingle flips one bit."""
+    bits = 64
+    while bits < 2 * len(shingles):
+        bits *= 2
+    place = mix(shingles ^ np.uint64(0x14057B7EF767814F)) & np.uint64(bits - 1)
+    parity = np.bincount(place.astype(np.int64), minlength=bits) & 1
+    return np.packbits(parity.astype(np.uint8), bitorder="little").tobytes()
+
+
+def folded(sketches: list[bytes]) -> np.ndarray:
+    """Sketches as rows of 64-bit words, all folded to the narrowest (which keeps the bound)."""
+    width = min(map(len, sketches))
+    out = np.zeros((len(sketches), width // 8), np.uint64)
+    for i, s in enumerate(sketches):
+        words = np.frombuffer(s, np.uint64)
+        while len(words) * 8 > width:
+            words = words[: len(words) // 2] ^ words[len(words) // 2 :]
+        out[i] = words
+    return out
+
+
+def _across(stars: DataFrame, roots: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Pairs of sets of one star but of different components whose sketches are near enough.
+
+    Stars are compared in blocks of at most about ``BLOCK`` sets against
+    each other; only pairs within the Hamming bound leave a task.
+    """
+    members = stars.select(F.col("a").alias("star"), F.col("b").alias("set")).join(roots.withColumnRenamed("node", "set"), "set", "left")
+    members = members.withColumn("root", F.coalesce("root", "set"))
+    mixed = (
+        members.groupBy("star")
+        .agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("n"))
+        .filter("x != y")
+        .select("star", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     )
-    return pairs.join(seen, ["a", "b"], "left_anti")
+    rows = (
+        members.join(mixed, "star")
+        .join(sketches, "set")
+        .withColumn("block", F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("star", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "set", "root", "n", "sketch")
+    )
+
+    def compare(key: tuple, block: pa.Table) -> pa.Table:
+        first = np.array([x.as_py() for x in block["block"]]) == key[1].as_py()
+        one, root, n = (block[c].to_numpy() for c in ("set", "root", "n"))
+        words = folded(block["sketch"].to_pylist())
+        inside = key[1] == key[2]
+        a, b = [], []
+        for x in np.flatnonzero(first):
+            near = root != root[x]
+            near &= (one > one[x]) if inside else ~first
+            y = np.flatnonzero(near)
+            y = y[100 * np.minimum(n[y], n[x]) >= percent * np.maximum(n[y], n[x])]
+            apart = np.bitwise_count(words[y] ^ words[x]).sum(1)
+            y = y[apart * (100 + percent) <= (n[y] + n[x]) * (100 - percent)]
+            a.append(np.minimum(one[y], one[x]))
+            b.append(np.maximum(one[y], one[x]))
+        none = [np.zeros(0, np.int64)]
+        return pa.table({"a": np.concatenate(a or none), "b": np.concatenate(b or none)})
+
+    return rows.groupBy("star", "i", "j").applyInArrow(compare, "a long, b long").distinct()
