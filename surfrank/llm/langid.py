@@ -63,7 +63,7 @@ def subwords(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndar
         for a in range(0, max(len(t), 1), CHUNK_CHARS):
             part = t[max(0, a - 2) : a + CHUNK_CHARS]
             at.append((i, 2 if a else 0))
-            held.append(part)
+            held.append(" " * (not a) + part.lower() + " " * (a + CHUNK_CHARS >= len(t)))
             size += len(part)
             if size >= CHUNK_CHARS:
                 yield _subwords(at, held)
@@ -73,7 +73,7 @@ def subwords(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndar
 
 
 def _subwords(at: list[tuple[int, int]], parts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    codes = [np.frombuffer((" " * (not skip) + p.lower() + " ").encode("utf-32-le", "surrogatepass"), np.uint32) for p, (_, skip) in zip(parts, at, strict=True)]
+    codes = [np.frombuffer(p.encode("utf-32-le", "surrogatepass"), np.uint32) for p in parts]
     owner = np.repeat(np.array([i for i, _ in at]), [len(c) for c in codes])
     piece = np.repeat(np.arange(len(at)), [len(c) for c in codes])
     code = np.concatenate(codes)
