@@ -5,7 +5,7 @@ token is that token.  Any other piece runs byte by byte through a
 finite-state transducer.  The merges leave exactly one token that can end
 at each byte: the token t for which the pair (last token before t, t) stays
 apart when its bytes are merged by rank.  A state holds every open start (a
-suffix that some longer token begins with), the last token before it, and
+suffix that some longer token begins with, as a trie node), the last token before it, and
 the tokens not yet emitted on the way to it.  What all open starts have in
 common cannot change any more and is emitted, so the lookahead is bounded
 by the longest token and a piece of any length takes linear time and little
@@ -15,8 +15,8 @@ tables are bounded and start anew when full, which changes no result.
 Decoding joins token bytes in chunks; an incremental UTF-8 state machine
 holds back the bytes of an unfinished character at a chunk's end.
 
-Texts are dealt out by Spark as they lie in the input; a task handles one
-text at a time and there is no shuffle.  The rank file is read once on the
+Texts are dealt out by Spark as they lie in the input; a task handles some
+texts at a time and there is no shuffle.  The rank file is read once on the
 driver and broadcast (its size is that of the vocabulary).
 
 Cases: null text counts as empty and gives no tokens; repeated rows give
@@ -38,8 +38,10 @@ from pyspark.sql import functions as F
 from .common import ship
 
 MAX_STATES = 200_000
-MAX_PIECES = 300_000
+MAX_PIECES = 600_000
 CHUNK = 8192
+GROUP_CHARS = 1 << 21
+LONG_PIECE = 64
 
 
 def load_ranks(path: str) -> bytes:
@@ -58,7 +60,19 @@ class Transducer:
     def __init__(self, ranks: dict[bytes, int], max_states: int = MAX_STATES):
         self.ranks = ranks
         self.token = {r: t for t, r in ranks.items()}
-        self.open = {t[:i] for t in ranks for i in range(1, len(t))}
+        # trie of the tokens: child by (node << 8 | byte), token and whether longer ones follow by node
+        self.child: dict[int, int] = {}
+        self.ends: list[int | None] = [None]
+        self.inner: list[bool] = [True]
+        for t, r in ranks.items():
+            node = 0
+            for byte in t:
+                self.inner[node] = True
+                node = self.child.setdefault(node << 8 | byte, len(self.ends))
+                if node == len(self.ends):
+                    self.ends.append(None)
+                    self.inner.append(False)
+            self.ends[node] = r
         self.max_states = max_states
         self.halves: dict[int, tuple[int, int] | None] = {}
         self.pairs: dict[int, bool] = {}
@@ -67,15 +81,14 @@ class Transducer:
     def _reset(self) -> None:
         self.ids: dict[tuple, int] = {}
         self.live: list[tuple] = []
-        self.moves: list[dict[int, tuple[int, tuple[int, ...]]]] = []
-        self.start = self._state(((b"", -1, ()),))
+        self.moves: dict[int, tuple[int, tuple[int, ...]]] = {}
+        self.start = self._state(((0, -1, ()),))
 
     def _state(self, live: tuple) -> int:
         at = self.ids.get(live)
         if at is None:
             at = self.ids[live] = len(self.live)
             self.live.append(live)
-            self.moves.append({})
         return at
 
     def merged(self, data: bytes, stop: int = 1 << 60) -> list[int]:
@@ -134,18 +147,23 @@ class Transducer:
             got = self.pairs[key] = self._apart(a, b)
         return got
 
-    def _ended(self, live: tuple, add: bytes) -> tuple:
-        """The token that ends with the byte ``add``, and all tokens not emitted up to it."""
-        for suffix, last, made in live:
-            t = self.ranks.get(suffix + add)
-            if t is not None and self._follows(last, t):
-                return b"", t, (*made, t)
+    def _ended(self, live: tuple, byte: int) -> tuple:
+        """The token that ends with ``byte``, and all tokens not emitted up to it."""
+        child, ends = self.child, self.ends
+        for node, last, made in live:
+            node = child.get(node << 8 | byte)
+            if node is not None and (t := ends[node]) is not None:
+                apart = self.pairs.get(last << 32 | t)
+                if apart is None:
+                    apart = self._follows(last, t)
+                if apart:
+                    return 0, t, (*made, t)
         raise ValueError("the ranks have no token for a byte")
 
     def _move(self, at: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        add, live = bytes((byte,)), self.live[at]
-        ended = self._ended(live, add)
-        live = [(w, last, made) for suffix, last, made in live if (w := suffix + add) in self.open]
+        child, inner, live = self.child, self.inner, self.live[at]
+        ended = self._ended(live, byte)
+        live = [(n, last, made) for node, last, made in live if (n := child.get(node << 8 | byte)) is not None and inner[n]]
         out = ended[2]
         for _, _, made in live:  # what all open starts have in common
             n = 0
@@ -157,9 +175,8 @@ class Transducer:
         live.append(ended)
         if n := len(out):
             live = [(s, last, made[n:]) for s, last, made in live]
-        to = self._state(tuple(live))
-        self.moves[at][byte] = to, out
-        return to, out
+        got = self.moves[at << 8 | byte] = self._state(tuple(live)), out
+        return got
 
     def encode(self, piece: bytes) -> Iterator[int]:
         """Tokens of a piece, each as soon as it is settled."""
@@ -172,12 +189,36 @@ class Transducer:
             yield from out
         yield from at[-1][2]
 
-    def encode_short(self, piece: bytes) -> tuple[int, ...]:
-        """The same for a piece of at most CHUNK bytes."""
-        if (whole := self.ranks.get(piece)) is not None:
-            return (whole,)
-        out, live = self._run(piece[:-1], self.live[self.start])
-        return (*out, *self._ended(live, piece[-1:])[2])  # the state after the last byte is not needed
+    def encode_sorted(self, pieces: Iterable[bytes]) -> Iterator[tuple[int, ...]]:
+        """Tokens of each of some sorted pieces; each goes on from the state that its prefix has in common with the one before."""
+        before, path, made = b"", [], []
+        for piece in pieces:
+            if (whole := self.ranks.get(piece)) is not None:
+                yield (whole,)
+                continue
+            if len(piece) > LONG_PIECE:
+                yield tuple(self.encode(piece))
+                before, path = b"", []
+                continue
+            if not path or len(self.live) > self.max_states:
+                if len(self.live) > self.max_states:
+                    self._reset()
+                before, path, made = b"", [self.start], [()]
+            i, most = 0, min(len(before), len(piece)) - 1
+            while i < most and before[i] == piece[i]:
+                i += 1
+            del path[i + 1 :], made[i + 1 :]
+            at, out, before = path[i], made[i], piece
+            for byte in piece[i:-1]:
+                got = self.moves.get(at << 8 | byte)
+                if got is None:
+                    got = self._move(at, byte)
+                at = got[0]
+                if got[1]:
+                    out += got[1]
+                path.append(at)
+                made.append(out)
+            yield out + self._ended(self.live[at], piece[-1])[2]  # the state after the last byte is not needed
 
     def _run(self, data: bytes, live: tuple) -> tuple[list[int], tuple]:
         """Tokens emitted over ``data`` from a state, and the state after it."""
@@ -185,7 +226,7 @@ class Transducer:
             self._reset()
         at, moves, out = self._state(live), self.moves, []
         for byte in data:
-            got = moves[at].get(byte)
+            got = moves.get(at << 8 | byte)
             if got is None:
                 got = self._move(at, byte)
             at = got[0]
@@ -194,21 +235,6 @@ class Transducer:
         return out, self.live[at]
 
 
-class _Pieces(dict):
-    """Tokens by piece, filled when first met."""
-
-    def __init__(self, transducer: Transducer):
-        super().__init__()
-        self.transducer = transducer
-
-    def __missing__(self, piece: str) -> tuple[int, ...]:
-        data = piece.encode()
-        if len(data) > 64:
-            return tuple(self.transducer.encode(data))
-        out = self[piece] = self.transducer.encode_short(data)
-        return out
-
-
 class Utf8Stream:
     """Incremental UTF-8: gives whole characters, holds back an unfinished one."""
 
@@ -244,15 +270,41 @@ class Codec:
         # \s means Unicode's white space, as in the library that the rank files are made for
         self.split = regex.compile(pattern)
         self.transducer = Transducer(parse_ranks(ranks))
-        self.pieces = _Pieces(self.transducer)
+        self.pieces: dict[str, tuple[int, ...]] = {}
 
     def encode(self, text: str) -> list[int]:
+        return next(self.encode_many([text]))
+
+    def encode_many(self, texts: Iterable[str]) -> Iterator[list[int]]:
+        """Ids of each text; the new pieces of some texts together are encoded in sorted order."""
+        held: list[list[str]] = []
+        size = 0
+        for text in texts:
+            if len(text) > GROUP_CHARS:
+                yield from self._ids(held)
+                held, size = [], 0
+                yield self._long(text)
+                continue
+            held.append(self.split.findall(text))
+            size += len(text)
+            if size > GROUP_CHARS:
+                yield from self._ids(held)
+                held, size = [], 0
+        yield from self._ids(held)
+
+    def _ids(self, held: list[list[str]]) -> Iterator[list[int]]:
+        if len(self.pieces) > MAX_PIECES:
+            self.pieces.clear()
+        new = sorted((p.encode(), p) for p in set().union(*held) if p not in self.pieces)
+        for (_, piece), ids in zip(new, self.transducer.encode_sorted(data for data, _ in new), strict=True):
+            self.pieces[piece] = ids
+        for found in held:
+            yield list(chain.from_iterable(map(self.pieces.__getitem__, found)))
+
+    def _long(self, text: str) -> list[int]:
         out: list[int] = []
-        found = (m.group() for m in self.split.finditer(text)) if len(text) > 1 << 20 else iter(self.split.findall(text))
-        while some := list(islice(found, 100_000)):
-            out += chain.from_iterable(map(self.pieces.__getitem__, some))
-            if len(self.pieces) > MAX_PIECES:
-                self.pieces.clear()
+        for m in self.split.finditer(text):
+            out += self.pieces.get(m.group()) or self.transducer.encode(m.group().encode())
         return out
 
     def decode(self, ids: Iterable[int]) -> Iterator[str]:
@@ -290,7 +342,7 @@ def encode(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", te
     """doc_id, ids (array of int)."""
 
     def of(codec: Codec, batch: pa.RecordBatch) -> pa.RecordBatch:
-        ids = [codec.encode(t or "") for t in batch.column(1).to_pylist()]
+        ids = list(codec.encode_many(t or "" for t in batch.column(1).to_pylist()))
         return pa.record_batch([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
     kind = docs.select(F.col(id_col)).schema[0].dataType.simpleString()
@@ -315,8 +367,7 @@ def round_trip(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id"
         names = {r: str(r) for r in codec.transducer.token} if not hasattr(codec, "names") else codec.names
         codec.names = names
         n, told, back = [], [], []
-        for i in range(batch.num_rows):
-            ids = codec.encode(batch.column(1)[i].as_py() or "")
+        for ids in codec.encode_many(batch.column(1)[i].as_py() or "" for i in range(batch.num_rows)):
             n.append(len(ids))
             told.append(hashlib.sha256(" ".join(map(names.__getitem__, ids)).encode()).hexdigest())
             digest = hashlib.sha256()
