@@ -8,8 +8,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from surfrank.llm import exact_dedup
+from surfrank.llm import bpe, exact_dedup, jaccard_join, langid, mixing
 from surfrank.llm.common import read, scratch_path
+from surfrank.llm.queries import PATTERN, RANKS
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the language identifier rejects go."""
+    return langid.accepted(docs)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -17,8 +23,27 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.keep_first(docs)
 
 
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays: five-word shingles, similarity 0.8."""
+    return jaccard_join.keep_one(docs, k=5, percent=80)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix of sources takes it."""
+    return mixing.repeated(docs)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document of the mix, checked by decoding."""
+    return bpe.round_trip(docs, RANKS, PATTERN)
+
+
 STAGES = [
+    ("language_id", language),
     ("exact_dedup", exact),
+    ("ngram_jaccard", near),
+    ("source_mix", mix),
+    ("byte_bpe", tokens),
 ]
 
 #: Learned models and tokenisation cannot be expressed in SQL.
