@@ -30,16 +30,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from .common import ship
+from .common import free_name, ship
 
 BUCKETS = 1 << 14
 DIM = 16
 PER_LANG = 800
-CHUNK_CHARS = 1 << 20
+CHUNK_CHARS = 1 << 18
 UNKNOWN = "und"
 
 _LETTER: list[np.ndarray] = []
@@ -196,21 +195,18 @@ def train(docs: DataFrame, use: Column, id_col: str = "doc_id", text_col: str =
     return fit([(np.array(r["bucket"]), np.array(r["count"], np.float64)) for r in rows], [r["lang"] for r in rows], **options)
 
 
-def predict(docs: DataFrame, model: Model, text_col: str = "text", keep: list[Column] | None = None) -> DataFrame:
-    """Columns ``keep`` of ``docs`` and lang_pred, score, rejected."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    ship(docs.sparkSession)
-    rows = docs.select(F.col(text_col).alias("_text_scored"), *(keep or []))
-    fields = [f for f in rows.schema if f.name != "_text_scored"]
+def predicted(model: Model, text: Column, spark: SparkSession) -> Column:
+    """struct(lang_pred, score, rejected) of a text; only the text goes to Python."""
+    shared = spark.sparkContext.broadcast(model)
+    ship(spark)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lang, score, rejected = shared.value.score(batch.column(0).to_pylist())
-            added = [pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_())]
-            yield pa.record_batch([*batch.columns[1:], *added], names=[*batch.schema.names[1:], "lang_pred", "score", "rejected"])
+    @F.arrow_udf("struct<lang_pred:string,score:double,rejected:boolean>")
+    def predict(texts: pa.Array) -> pa.Array:
+        lang, score, rejected = shared.value.score(texts.to_pylist())
+        columns = [pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_())]
+        return pa.StructArray.from_arrays(columns, names=["lang_pred", "score", "rejected"])
 
-    added = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("rejected", T.BooleanType())]
-    return rows.mapInArrow(run, T.StructType([*fields, *added]))
+    return predict(text)
 
 
 def split_of(id_col: str = "doc_id") -> Column:
@@ -221,13 +217,12 @@ def split_of(id_col: str = "doc_id") -> Column:
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **options) -> DataFrame:
     """doc_id, held_out, lang_pred, score, rejected; learns from the rows that are not held out."""
     model = train(docs, ~split_of(id_col), id_col, text_col, lang_col, **options)
-    return predict(docs, model, text_col, [F.col(id_col).alias("doc_id"), split_of(id_col).alias("held_out")])
+    rows = docs.select(F.col(id_col).alias("doc_id"), split_of(id_col).alias("held_out"), predicted(model, F.col(text_col), docs.sparkSession).alias("p"))
+    return rows.select("doc_id", "held_out", "p.lang_pred", "p.score", "p.rejected")
 
 
 def accepted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **options) -> DataFrame:
     """``docs`` without the rows that are rejected; same columns."""
     model = train(docs, ~split_of(id_col), id_col, text_col, lang_col, **options)
-    columns = docs.columns
-    names = [f"_{i}" for i in range(len(columns))]  # input columns may be called like the added ones
-    out = predict(docs, model, text_col, [F.col(f"`{c}`").alias(n) for c, n in zip(columns, names, strict=True)])
-    return out.filter(~F.col("rejected")).select(*[F.col(n).alias(c) for c, n in zip(columns, names, strict=True)])
+    name = free_name(docs, "predicted")
+    return docs.withColumn(name, predicted(model, F.col(text_col), docs.sparkSession)).filter(~F.col(f"{name}.rejected")).drop(name)
