@@ -10,7 +10,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, scoped_conf
 
 #: Characters that separate words: space and U+0009 to U+000D.
 SPACES = " \t\n\x0b\x0c\r"
@@ -30,9 +30,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut(df: DataFrame, name: str = "cut") -> DataFrame:
-    """``df`` written to the shared folder and read back: computed once, survives lost executors."""
+    """``df`` written to the shared folder and read back: computed once, survives lost executors.
+
+    The write's own shuffle files go when it ends; nothing reads them again.
+    """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    with scoped_conf(df.sparkSession, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

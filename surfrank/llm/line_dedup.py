@@ -20,8 +20,9 @@ earlier, in order of doc_id (null last), then place in the document.
 4. For each line the earliest partner is verified by edit distance over the
    words, and the lines that stay are put together again.
 
-Within a key the earliest place is found by an aggregation; pairs of a
-group are never listed.  Only DataFrame functions.
+Within a key the rows stream by in order of their places and each sees only
+the earliest one before it; pairs of a group are never listed and no group
+is held in memory.  Only DataFrame functions.
 
 Cases: null text stays null and has no lines; repeated rows (same id and
 text) are one document; an empty table gives an empty result; other
@@ -33,7 +34,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, cut
+from .common import SPACES, WORD, cut
 
 MIN_WORDS = 8
 KEYS = "array<struct<key:bigint,kind:int>>"
@@ -41,7 +42,9 @@ KEYS = "array<struct<key:bigint,kind:int>>"
 
 def _words(line: Column) -> Column:
     """Words of a line; an empty array for a blank one."""
-    return F.filter(F.split(line, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    for c in SPACES[1:]:
+        line = F.replace(line, F.lit(c), F.lit(" "))
+    return F.filter(F.split(line, " "), lambda w: w != "")
 
 
 def _lines(rows: DataFrame, *more: str) -> DataFrame:
@@ -66,21 +69,20 @@ def _halves(words: Column, n: Column) -> Column:
 
 
 def _variants(lines: DataFrame) -> DataFrame:
-    """key, kind, line, first, n: the deletion neighbourhood of lines (line, words, n, first).
+    """key, kind, ord: the deletion neighbourhood of lines (ord, words).
 
     kind 0: the line itself, as others less a word may equal it; 1: the
     line less a word; 2: the line less its word i, with i, for replacement.
     """
-    words = lines.select("line", "n", "first", F.posexplode("words").alias("i", "word")).select(
-        "line", "n", "first", "i", F.xxhash64("word", "i").alias("here"), F.xxhash64("word", F.col("i") - 1).alias("moved")
+    words = lines.select("ord", F.size("words").alias("n"), F.posexplode("words").alias("i", "word")).select(
+        "ord", "n", "i", F.xxhash64("word", "i").alias("here"), F.xxhash64("word", F.col("i") - 1).alias("moved")
     )
-    line = Window.partitionBy("line").orderBy("i")
+    line = Window.partitionBy("ord").orderBy("i")
     upto = line.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     all_words = line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     less = words.select(
-        "line",
+        "ord",
         "n",
-        "first",
         "i",
         F.bit_xor("here").over(all_words).alias("whole"),
         F.bit_xor("here").over(upto).bitwiseXOR(F.col("here")).alias("ahead"),
@@ -91,7 +93,7 @@ def _variants(lines: DataFrame) -> DataFrame:
         F.struct(F.xxhash64(F.col("left"), F.col("n") - 1, F.col("i")).alias("key"), F.lit(2).alias("kind")),
     )
     whole = F.when(F.col("i") == 0, F.array(F.struct(F.xxhash64("whole", "n").alias("key"), F.lit(0).alias("kind"))))
-    return less.select("line", "first", F.explode(F.concat(keys, F.coalesce(whole, F.array().cast(KEYS)))).alias("k")).select("k.key", "k.kind", "line", "first")
+    return less.select("ord", F.explode(F.concat(keys, F.coalesce(whole, F.array().cast(KEYS)))).alias("k")).select("k.key", "k.kind", "ord")
 
 
 def _one_edit(a: Column, b: Column) -> Column:
@@ -130,29 +132,21 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_w
     # the words of the lines that go on, read where they stand first
     wanted = maybe.groupBy(F.col("first.at").alias("at")).agg(F.collect_set("first.place").alias("places"))
     chosen = _lines(rows.join(wanted, "at"), "places").filter(F.array_contains("places", F.col("place")))
-    chosen = cut(chosen.dropDuplicates(["line"]).join(maybe, "line").select("line", "n", "first", "words"))
+    chosen = chosen.dropDuplicates(["line"]).join(maybe, "line").repartitionByRange("first").sortWithinPartitions("first")
+    chosen = cut(chosen.select(F.monotonically_increasing_id().alias("ord"), "line", "words"))  # ord rises with first
 
-    variants = _variants(chosen)
-    whole, less, swapped = (F.when(F.col("kind") == k, F.struct("first", "line")) for k in (0, 1, 2))
-    least = variants.groupBy("key").agg(
-        F.min(whole).alias("whole"), F.min(less).alias("less"), F.min(swapped).alias("swapped"), F.min("line").alias("x"), F.max("line").alias("y")
-    )
-    least = least.filter("x != y").drop("x", "y")
-    other = F.when(F.col("kind") == 0, F.col("less")).when(F.col("kind") == 1, F.col("whole")).otherwise(F.col("swapped"))
+    ahead = Window.partitionBy("key").orderBy("ord").rowsBetween(Window.unboundedPreceding, -1)
+    whole, less, swapped = (F.min(F.when(F.col("kind") == k, F.col("ord"))).over(ahead) for k in (0, 1, 2))
     partners = (
-        variants.join(least, "key")
-        .withColumn("other", other)
-        .filter((F.col("other.line") != F.col("line")) & (F.col("other.first") < F.col("first")))
-        .groupBy("line")
-        .agg(F.min("other").alias("other"))
-        .select("line", F.col("other.line").alias("earlier"))
+        _variants(chosen)
+        .withColumn("earlier", F.when(F.col("kind") == 0, less).when(F.col("kind") == 1, whole).otherwise(swapped))
+        .filter("earlier < ord")
+        .groupBy("ord")
+        .agg(F.min("earlier").alias("earlier"))
     )
-    texts = chosen.select("line", "words")
-    alike = (
-        partners.join(texts, "line")
-        .join(texts.select(F.col("line").alias("earlier"), F.col("words").alias("words_b")), "earlier")
-        .filter(_one_edit(F.col("words"), F.col("words_b")))
-        .select("line", F.lit(True).alias("alike"))
+    texts = chosen.select(F.col("ord").alias("earlier"), F.col("words").alias("words_b"))
+    alike = cut(
+        cut(partners).join(chosen, "ord").join(texts, "earlier").filter(_one_edit(F.col("words"), F.col("words_b"))).select("line", F.lit(True).alias("alike"))
     )
     kept = (
         firsts.join(alike, "line", "left")
@@ -161,7 +155,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_w
         .agg(F.collect_set("first.place").alias("kept"))
     )
     first_places = firsts.groupBy(F.col("first.at").alias("at")).agg(F.count("*").alias("n_first"))
-    told = first_places.join(kept, "at", "left")
+    told = cut(first_places.join(kept, "at", "left"))
     split = F.split("text", "\n")
     stays = F.filter(
         F.transform(split, lambda line, i: F.struct(line.alias("line"), i.alias("i"))),
