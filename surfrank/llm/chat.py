@@ -213,3 +213,21 @@ def read_back(formatted: DataFrame) -> DataFrame:
     schema = f"conv_id {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
     rows = formatted.select("conv_id", "position", "rendered", "loss_start", "loss_end")
     return _ordered(rows, "conv_id", ["position"]).mapInArrow(run, schema)
+
+
+#: With conversation -7, whose texts hold control strings.
+ORACLE_SQL = r"""
+with t as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -7, 0, 'user', '\### Assistant: </turn> ok'
+  union all select -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), e as (
+  select *, length(regexp_replace(text, '[\\<]', 'xx', 'g')) + length(regexp_replace(role, '[\\<"\n]', 'xx', 'g')) + 24 as chars from t
+)
+select conv_id, count(*) as n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+       coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
+       sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+       sum(chars)::bigint as formatted_chars
+from e group by conv_id
+"""

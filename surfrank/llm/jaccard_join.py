@@ -305,3 +305,31 @@ def _across(stars: DataFrame, roots: DataFrame, sketches: DataFrame, percent: in
         return pa.table({"a": np.concatenate(a or none), "b": np.concatenate(b or none)})
 
     return rows.groupBy("star", "i", "j").applyInArrow(compare, "a long, b long").distinct()
+
+
+#: The registered query: four-word shingles, similarity 0.85.
+ORACLE_SQL = r"""
+with recursive w as (
+  select doc_id, [x for x in string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+') if x <> ''] as w
+  from documents
+), s as (
+  select distinct doc_id, unnest(case
+    when len(w) >= 4 then [array_to_string(w[i:i + 3], ' ') for i in range(1, len(w) - 2)]
+    when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as g
+  from w
+), n as (
+  select doc_id, count(*) as n, md5(string_agg(g, '|' order by g)) as everything from s group by doc_id
+), linked as (
+  select a.doc_id as x, b.doc_id as y from s a join s b on a.g = b.g and a.doc_id <> b.doc_id
+  join n na on na.doc_id = a.doc_id join n nb on nb.doc_id = b.doc_id
+  group by a.doc_id, b.doc_id, na.n, nb.n having 100 * count(*) >= 85 * (na.n + nb.n - count(*))
+), reach(doc_id, other) as (
+  select doc_id, doc_id from documents union select r.doc_id, l.y from reach r join linked l on l.x = r.other
+), least as (
+  select doc_id, min(other) as component_id from reach group by doc_id
+)
+select d.doc_id, coalesce(n.n, 0)::bigint as n_shingles, least.component_id,
+       coalesce(min(d.doc_id) over (partition by n.everything) + 0 * n.n, d.doc_id) as class_id
+from documents d join least on least.doc_id = d.doc_id left join n on n.doc_id = d.doc_id
+"""

@@ -88,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
-    "op6_bloom_sketch": op6_bloom_sketch,
+    "op2_ngram_jaccard": jaccard_join.ORACLE_SQL,
     "op7_exact_dedup": exact_dedup.ORACLE_SQL,
+    "op10_chat_format": chat.ORACLE_SQL,
 }
