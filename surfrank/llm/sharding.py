@@ -80,24 +80,27 @@ def shuffled(
     bucket_bytes: int = BUCKET_BYTES,
 ) -> DataFrame:
     """``df`` with ``shard`` and ``slot`` (gapless from 0 in each shard), in random order."""
+    names = list(df.columns)
     for name in ("shard", "slot"):
-        if name in df.columns:
-            new = "_" + name
-            while new in df.columns:
-                new = "_" + new
-            df = df.withColumnRenamed(name, new)
+        if name in names:
+            at = names.index(name)
+            while names[at] in (*names[:at], *names[at + 1 :], name):
+                names[at] = "_" + names[at]
     ship(df.sparkSession)
-    size = record_bytes(F.col(text_col))
+    given, text = F.col(f"c{df.columns.index(id_col)}"), F.col(f"c{df.columns.index(text_col)}")
+    df = df.toDF(*[f"c{i}" for i in range(len(names))])  # names of the input cannot clash with those used here
+    size = record_bytes(text)
     total = df.agg(F.sum(size)).first()[0] or 0
     buckets = max(1, -(-total // (shards * bucket_bytes)))
-    marked = df.withColumns({"_row": _whole_row(df), "_size": size, "_shard": shard_of(F.col(id_col), shards, seed)}).withColumn(
+    marked = df.withColumns({"_row": _whole_row(df), "_size": size, "_shard": shard_of(given, shards, seed)}).withColumn(
         "_bucket", F.pmod(F.xxhash64(F.lit(seed + 1), F.col("_row")), F.lit(buckets)).cast("long")
     )
     counts = marked.groupBy("_shard", "_bucket").count()
     before = Window.partitionBy("_shard").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_shard", "_bucket", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_offset"))
     schema = T.StructType([*df.schema.fields, T.StructField("shard", T.IntegerType()), T.StructField("slot", T.LongType())])
-    return marked.join(offsets, ["_shard", "_bucket"]).groupBy("_shard", "_bucket").applyInArrow(_shuffler(seed), schema)
+    out = marked.join(offsets, ["_shard", "_bucket"]).groupBy("_shard", "_bucket").applyInArrow(_shuffler(seed), schema)
+    return out.toDF(*names, "shard", "slot")
 
 
 def write_shards(df: DataFrame, path: str, shards: int, **options) -> None:
