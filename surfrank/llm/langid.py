@@ -130,8 +130,8 @@ def softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(-1, keepdims=True)
 
 
-def fit(features: list[tuple[np.ndarray, np.ndarray]], langs: list[str], epochs: int = 8, batch: int = 16, rate: float = 12.0, reject: float = 0.002, seed: int = 0) -> Model:
-    """Train on (bucket, count) pairs of texts and their languages."""
+def fit(features: list[tuple[np.ndarray, np.ndarray]], langs: list[str], steps: int = 1500, batch: int = 16, rate: float = 12.0, reject: float = 0.002, seed: int = 0) -> Model:
+    """Train on (bucket, count) pairs of texts and their languages, in ``steps`` batches or somewhat more."""
     names = sorted(set(langs))
     if not names:
         return Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros(0), 1.0, 1.0)
@@ -142,7 +142,8 @@ def fit(features: list[tuple[np.ndarray, np.ndarray]], langs: list[str], epochs:
     order = rng.permutation(len(y))
     test = order[: len(y) // 5]
     train = order[len(y) // 5 :] if len(y) >= 5 else order
-    steps, done = epochs * -(-len(train) // batch), 0
+    epochs, done = -(-steps * batch // len(train)), 0
+    steps = epochs * -(-len(train) // batch)
     for _ in range(epochs):
         rng.shuffle(train)
         for a in range(0, len(train), batch):
