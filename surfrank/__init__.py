@@ -31,7 +31,7 @@ from .operators.matrix import (
 )
 from .plans.layout import LinkMatrix
 from .plans.rank import PRESETS, RankResult, rank
-from .sources.edges import read_edges, read_table_edges, read_vector
+from .sources.edges import complete_edges, read_edges, read_matrix, read_table_edges, read_vector
 from .sources.sinks import write_edges, write_ranks
 
 __all__ = [
@@ -41,6 +41,7 @@ __all__ = [
     "abs_difference",
     "assign_block",
     "block_matrix",
+    "complete_edges",
     "count_vertices",
     "damp",
     "decode_vector",
@@ -54,6 +55,7 @@ __all__ = [
     "rank",
     "rank_step",
     "read_edges",
+    "read_matrix",
     "read_table_edges",
     "read_vector",
     "redistribute",

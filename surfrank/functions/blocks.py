@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+INT_MAX = 2**31 - 1
+
 
 def _split(n: int, d: int) -> tuple[int, int, int]:
     if d <= 0:
@@ -17,14 +19,20 @@ def _split(n: int, d: int) -> tuple[int, int, int]:
     if n < 0:
         raise ValueError("n must be non-negative")
     q, r = divmod(n, d)
+    if max(d, q + 1) > INT_MAX:
+        raise ValueError("block and entry numbers must fit 32 bits")
     return q, r, r * (q + 1)
 
 
+def _div(a: Column, b: int) -> Column:
+    return F.call_function("div", a, F.lit(b).cast("long"))
+
+
 def block_of(idx: Column, n: int, d: int) -> Column:
     """Block number (0-based int) of a dense index."""
     q, r, boundary = _split(n, d)
-    big = F.floor(idx / F.lit(q + 1))
-    small = F.lit(r) + F.floor((idx - F.lit(boundary)) / F.lit(max(q, 1)))
+    big = _div(idx, q + 1)
+    small = F.lit(r) + _div(idx - F.lit(boundary), max(q, 1))
     return F.when(idx < F.lit(boundary), big).otherwise(small).cast("int")
 
 

@@ -93,15 +93,20 @@ def out_degree(edges: DataFrame) -> DataFrame:
 
 
 def degree_hot_keys(
-    counts: DataFrame, key: str, count_col: str, max_hot: int = DEFAULT_MAX_HOT, min_rows: int = 1
+    counts: DataFrame, key: str, count_col: str, max_hot: int | None = None, min_rows: int = 1
 ) -> DataFrame | None:
     """Hot keys of a count table, or ``None`` when there is none.
 
+    ``max_hot`` defaults to twice the session's shuffle partitions (1024 at
+    least), so a key below the bar holds at most half an average partition.
+
     One scalar action reads the total and the largest count; only if some
     key reaches the threshold are the keys collected, and at most
     ``max_hot`` keys can reach it, so the collect and the small DataFrame
     built from it are bounded.
     """
+    if max_hot is None:
+        max_hot = max(DEFAULT_MAX_HOT, 2 * shuffle_partitions(counts.sparkSession))
     row = counts.agg(F.sum(count_col).alias("total"), F.max(count_col).alias("top")).collect()[0]
     threshold = hot_threshold(int(row["total"] or 0), max_hot, min_rows)
     if (row["top"] or 0) < threshold:
@@ -111,7 +116,7 @@ def degree_hot_keys(
     return local_rows(counts.sparkSession, keys, hot.schema)
 
 
-def with_out_degree(edges: DataFrame, max_hot: int = DEFAULT_MAX_HOT) -> DataFrame:
+def with_out_degree(edges: DataFrame, max_hot: int | None = None) -> DataFrame:
     """Every edge row with its source's out-degree: ``(src, dst, out_degree)`` (A2).
 
     The value of a whole-partition ``count(*) over (partition by src)``,
@@ -123,7 +128,7 @@ def with_out_degree(edges: DataFrame, max_hot: int = DEFAULT_MAX_HOT) -> DataFra
     return split_join(edges, deg, "src", hot).select("src", "dst", "out_degree")
 
 
-def index_edges(edges: DataFrame, index: DataFrame, max_hot: int = DEFAULT_MAX_HOT) -> DataFrame:
+def index_edges(edges: DataFrame, index: DataFrame, max_hot: int | None = None) -> DataFrame:
     """Edges rewritten to dense ids: ``(src_idx, dst_idx)``, one row per edge row (D-4)."""
     src_hot = degree_hot_keys(out_degree(edges), "src", "out_degree", max_hot)
     in_deg = edges.groupBy("dst").agg(F.count(F.lit(1)).alias("in_degree"))

@@ -17,12 +17,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.skew import DEFAULT_MAX_HOT, split_join
+from ..functions.skew import split_join
 from ..session import checkpoint_dir
+from ..sources.edges import complete_edges
 from .graph import degree_hot_keys, with_out_degree
 
 
-def transition_matrix(edges: DataFrame, collapse: bool = True, max_hot: int = DEFAULT_MAX_HOT) -> DataFrame:
+def transition_matrix(edges: DataFrame, collapse: bool = True, max_hot: int | None = None) -> DataFrame:
     """Sparse transition matrix ``(src, dst, w)`` (A3, A4).
 
     ``collapse=False`` gives one entry per edge row, ``w = 1/out_degree``.
@@ -30,6 +31,7 @@ def transition_matrix(edges: DataFrame, collapse: bool = True, max_hot: int = DE
     the same matrix with fewer rows.  Partial aggregation does most of the
     merging before any shuffle; hub sources join their degree by broadcast.
     """
+    edges = complete_edges(edges)
     if not collapse:
         return with_out_degree(edges, max_hot).select(
             "src", "dst", (F.lit(1.0) / F.col("out_degree")).alias("w")
@@ -64,7 +66,7 @@ def multiply(matrix: DataFrame, vec: DataFrame, value: str = "rank", hot: DataFr
     """
     if isinstance(hot, str):
         entries = matrix.groupBy("src").agg(F.count(F.lit(1)).alias("_entries"))
-        hot = degree_hot_keys(entries, "src", "_entries", DEFAULT_MAX_HOT, min_rows=10_000)
+        hot = degree_hot_keys(entries, "src", "_entries", min_rows=10_000)
     src_vals = vec.select(F.col("id").alias("src"), F.col(value).alias("_x"))
     contrib = split_join(matrix.select("src", "dst", "w"), src_vals, "src", hot).select(
         F.col("dst").alias("id"), (F.col("w") * F.col("_x")).alias("_c")

@@ -2,13 +2,14 @@
 
 An edge file is text: one edge per line, ``src<TAB>dst``, no header.
 Lines starting with ``#`` are comments and blank lines are skipped.
-Fields after the second are ignored.  A line with a single field is
-malformed: by default the read fails on it, ``on_malformed="drop"``
-drops it instead.
+Fields after the second are ignored; an empty field is the page with the
+empty id.  A line with a single field is malformed: by default the read
+fails on it, ``on_malformed="drop"`` drops it instead.  Table sources may
+hold nulls at either end; ``on_null`` says whether such rows fail or go.
 
-The reader is Spark's CSV source with an explicit schema, so any number
-of files, globs and Hadoop file-system URIs work and the scan is split
-across tasks.  A missing path fails at read time (``PATH_NOT_FOUND``).
+The reader is Spark's text source, so any number of files, globs and Hadoop
+file-system URIs work and the scan is split across tasks.  A missing path
+fails at read time (``PATH_NOT_FOUND``).
 """
 
 from __future__ import annotations
@@ -16,7 +17,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-EDGE_SCHEMA = "src string, dst string"
 ID_TYPES = ("string", "long")
 
 
@@ -36,31 +36,14 @@ def read_edges(
         raise ValueError(f"id_type must be one of {ID_TYPES}, got {id_type!r}")
     if on_malformed not in ("raise", "drop"):
         raise ValueError("on_malformed must be 'raise' or 'drop'")
-    raw = (
-        spark.read.schema(EDGE_SCHEMA)
-        .option("sep", "\t")
-        .option("comment", "#")
-        .option("quote", "")
-        .option("escape", "")
-        .option("header", "false")
-        .option("mode", "PERMISSIVE")
-        .option("ignoreLeadingWhiteSpace", "false")
-        .option("ignoreTrailingWhiteSpace", "false")
-        .option("nullValue", "\u0000")
-        .option("emptyValue", "")
-        .csv(path)
-    )
+    lines = spark.read.text(path).filter((F.col("value") != "") & ~F.startswith("value", F.lit("#")))
+    fields = lines.select("value", F.split("value", "\t").alias("f"))
     if on_malformed == "drop":
-        edges = raw.filter(F.col("dst").isNotNull())
+        edges = fields.filter(F.size("f") > 1).select(F.col("f")[0].alias("src"), F.col("f")[1].alias("dst"))
     else:
-        edges = raw.select(
-            "src",
-            F.when(
-                F.col("dst").isNull(),
-                F.raise_error(F.concat(F.lit("malformed edge line, one field: "), F.col("src"))),
-            )
-            .otherwise(F.col("dst"))
-            .alias("dst"),
+        one = F.raise_error(F.concat(F.lit("malformed edge line, one field: "), F.col("value")))
+        edges = fields.select(
+            F.col("f")[0].alias("src"), F.when(F.size("f") < 2, one).otherwise(F.get("f", F.lit(1))).alias("dst")
         )
     if id_type == "long":
         edges = edges.select(*[_to_long(c) for c in ("src", "dst")])
@@ -84,11 +67,30 @@ def _to_long(name: str):
     )
 
 
-def read_table_edges(spark: SparkSession, path: str, src: str = "src", dst: str = "dst") -> DataFrame:
+def complete_edges(edges: DataFrame, on_null: str = "raise") -> DataFrame:
+    """``edges`` with both ends present: rows with a null end fail, or go with ``on_null="drop"``."""
+    if on_null not in ("raise", "drop"):
+        raise ValueError("on_null must be 'raise' or 'drop'")
+    missing = F.col("src").isNull() | F.col("dst").isNull()
+    if on_null == "drop":
+        return edges.filter(~missing)
+    ends = {c: F.when(missing, F.raise_error(F.lit("edge with a null end"))).otherwise(F.col(c)) for c in ("src", "dst")}
+    return edges.withColumns({c: e.cast(edges.schema[c].dataType) for c, e in ends.items()})
+
+
+def read_table_edges(
+    spark: SparkSession, path: str, src: str = "src", dst: str = "dst", on_null: str = "raise"
+) -> DataFrame:
     """Edges from a parquet table; only the two columns are read (pruned scan)."""
-    return spark.read.parquet(path).select(F.col(src).alias("src"), F.col(dst).alias("dst"))
+    edges = spark.read.parquet(path).select(F.col(src).alias("src"), F.col(dst).alias("dst"))
+    return complete_edges(edges, on_null)
 
 
 def read_vector(spark: SparkSession, path: str) -> DataFrame:
     """A rank vector ``(id, rank)`` saved earlier with ``write_ranks(fmt="parquet")`` (S3)."""
     return spark.read.parquet(path).select("id", F.col("rank").cast("double").alias("rank"))
+
+
+def read_matrix(spark: SparkSession, path: str) -> DataFrame:
+    """A transition matrix ``(src, dst, w)`` saved earlier as parquet (S3)."""
+    return spark.read.parquet(path).select("src", "dst", F.col("w").cast("double").alias("w"))

@@ -10,7 +10,10 @@ needed columns are read, so the parquet scans are pruned.
 * ``cust_part``: customer <-> part for every ordered line, both directions;
 * ``event_flow``: per user, each event ``user:event_type`` links to the
   user's next event in ``(ts, event_id)`` order (self-links, heavy duplicates);
-* ``page_links``: page id -> every ``href="..."`` target in its html;
+* ``page_links``: page url -> every ``href="..."`` target in its html, resolved
+  against the page's host and scheme when it begins with a slash;
+* ``flag_order``: return flag <-> order per lineitem row (three hub sources
+  that own a third of all edges);
 * ``type_user``: event type <-> user per event (a handful of hub sources).
 """
 
@@ -22,6 +25,7 @@ from pyspark.sql import functions as F
 from ..functions.sequence import with_next
 
 HREF_PATTERN = 'href="([^"]*)"'
+HOST_PATTERN = "^([a-z]+://[^/]*)"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,10 +71,12 @@ def event_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "pages").select("page_id", "html")
-    return pages.select(
-        F.col("page_id").cast("string").alias("src"),
-        F.explode(F.regexp_extract_all(F.col("html"), F.lit(HREF_PATTERN), F.lit(1))).alias("dst"),
+    pages = table(spark, sf_dir, "pages").select("url", "html")
+    href = F.explode(F.regexp_extract_all(F.col("html"), F.lit(HREF_PATTERN), F.lit(1))).alias("href")
+    host = F.regexp_extract("url", HOST_PATTERN, 1)
+    return pages.select("url", href).select(
+        F.col("url").alias("src"),
+        F.when(F.startswith("href", F.lit("/")), F.concat(host, F.col("href"))).otherwise(F.col("href")).alias("dst"),
     )
 
 
@@ -84,6 +90,16 @@ def type_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def flag_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """return flag <-> order: each flag links to a large share of all orders."""
+    li = table(spark, sf_dir, "lineitem").select(
+        F.col("l_returnflag").alias("f"), F.concat(F.lit("O"), F.col("l_orderkey").cast("string")).alias("o")
+    )
+    return li.select(F.col("f").alias("src"), F.col("o").alias("dst")).unionByName(
+        li.select(F.col("o").alias("src"), F.col("f").alias("dst"))
+    )
+
+
 GRAPHS = {
     "part_supp": part_supp,
     "raw_part_supp": raw_part_supp,
@@ -91,10 +107,15 @@ GRAPHS = {
     "event_flow": event_flow,
     "page_links": page_links,
     "type_user": type_user,
+    "flag_order": flag_order,
 }
 
 # DuckDB text of the same graphs, for the oracle queries.
 GRAPH_SQL = {
+    "flag_order": (
+        "select l_returnflag as src, 'O' || l_orderkey as dst from lineitem "
+        "union all select 'O' || l_orderkey, l_returnflag from lineitem"
+    ),
     "part_supp": "select 'P' || l_partkey as src, 'S' || l_suppkey as dst from lineitem",
     "raw_part_supp": "select l_partkey as src, l_suppkey as dst from lineitem",
     "cust_part": (
@@ -112,7 +133,8 @@ GRAPH_SQL = {
         "union all select 'U' || user_id, event_type from events"
     ),
     "page_links": (
-        "select page_id::varchar as src, "
-        "unnest(regexp_extract_all(html, 'href=\"([^\"]*)\"', 1)) as dst from pages"
+        "select url as src, case when starts_with(href, '/') "
+        "then regexp_extract(url, '^([a-z]+://[^/]*)', 1) || href else href end as dst from "
+        "(select url, unnest(regexp_extract_all(html, 'href=\"([^\"]*)\"', 1)) as href from pages)"
     ),
 }

@@ -227,3 +227,44 @@ def test_with_next_more_tasks_than_rows(spark):
         "u", "ts", "eid", "val", F.lead("val").over(Window.partitionBy("u").orderBy("ts", "eid")).alias("nxt")
     )
     assert sorted(got.collect()) == sorted(want.collect())
+
+
+def test_reader_keeps_empty_fields(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "g.tsv")
+    with open(path, "w") as f:
+        f.write("\tb\na\tb\nb\ta\na\t\n#x\ty\n\nq\n")
+    edges = sr.read_edges(spark, path, on_malformed="drop")
+    assert sorted(map(tuple, edges.collect())) == [("", "b"), ("a", ""), ("a", "b"), ("b", "a")]
+    with pytest.raises(Exception, match="malformed edge line"):
+        sr.read_edges(spark, path).collect()
+    ranks = sr.rank(edges, epsilon=0.0, max_iter=20).ranks.collect()
+    assert sum(r["rank"] for r in ranks) == pytest.approx(1.0, abs=1e-12) and len(ranks) == 3
+
+
+def test_null_ends_raise_or_go(spark, tmp_dir):
+    edges = spark.createDataFrame([("a", "b"), ("b", None), ("b", "a"), (None, "a")], "src string, dst string")
+    with pytest.raises(Exception, match="null end"):
+        sr.rank(edges)
+    path = os.path.join(tmp_dir, "t")
+    edges.write.parquet(path)
+    kept = sr.read_table_edges(spark, path, on_null="drop")
+    assert sorted(map(tuple, kept.collect())) == [("a", "b"), ("b", "a")]
+    with pytest.raises(Exception, match="null end"):
+        sr.read_table_edges(spark, path).collect()
+
+
+def test_with_next_does_not_rest_on_reused_exchanges(spark):
+    from pyspark.sql import Window
+
+    from surfrank.functions.sequence import with_next
+    from surfrank.session import scoped_conf
+
+    events = spark.read.parquet("/root/testdata/sf0.1/events.parquet").select("user_id", "ts", "event_id", "event_type")
+    order = ["ts", "event_id"]
+    with scoped_conf(spark, {"spark.sql.exchange.reuse": "false"}):
+        got = with_next(events, "user_id", order, "event_type", num_partitions=64)
+        want = events.withColumn("next_value", F.lead("event_type").over(Window.partitionBy("user_id").orderBy(*order)))
+        assert got.exceptAll(want.select(got.columns)).count() == 0 and got.count() == events.count()
+        plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(_range") == 2  # event rows once, one row per range once
+    assert "rangepartitioning" not in plan
