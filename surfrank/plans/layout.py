@@ -9,15 +9,14 @@
   vector (hash-partitioned by ``id`` into the same number) is then local;
 * ``hot``: entries of hub sources (at most ``max_hot`` of them, a proven
   bound), cached in the balanced layout of the pair aggregation; per step
-  they join a broadcast copy of the hubs' vector entries, so no task
-  receives a hub's whole row set;
+  they join a broadcast copy of the hubs' vector entries (a semi join of the
+  vector with the hub table), so no task receives a hub's whole row set;
 * scalars: vertex and sink counts, edge rows, matrix entries.
 
 Strategy ``broadcast`` ships the whole vector to every task instead.  It
-is never picked by ``auto`` and, when asked for, only used while the
-estimated vector size is within the session's broadcast threshold
-(``spark.sql.autoBroadcastJoinThreshold``); beyond it the partitioned
-layout is used.
+is used only when asked for, and only while the estimated vector size is
+within the session's broadcast threshold
+(``spark.sql.autoBroadcastJoinThreshold``); beyond it the build fails.
 """
 
 from __future__ import annotations
@@ -32,19 +31,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.skew import hot_threshold, split_join
-from ..functions.values import local_rows
-from ..session import broadcast_budget, drop_checkpoint, scoped_conf, shuffle_partitions
+from ..session import broadcast_budget, drop_checkpoint, scoped_conf
+from ..sources.edges import complete_edges
 
-STRATEGIES = ("auto", "broadcast", "partitioned")
+STRATEGIES = ("partitioned", "broadcast")
 # estimated bytes per broadcast vector row besides the id: rank double + row overhead
 _ROW_OVERHEAD = 8 + 24
-# average text id length (bytes) from which "auto" runs the loop on bigint ids
-ENCODE_MIN_BYTES = 16
-# matrix entries per partition below which the loop uses fewer partitions than the session's setting
+# matrix entries per partition of the loop, where no number of partitions is given
 ROWS_PER_PARTITION = 131_072
 
 
-def _encode(pairs: DataFrame, verts: DataFrame, hot_ids: list, threshold: int, max_in: int):
+def _encode(pairs: DataFrame, verts: DataFrame, threshold: int):
     """Re-key the pair and vertex tables with a unique bigint per vertex.
 
     The vertex table is written as a reliable checkpoint first, so that
@@ -53,24 +50,15 @@ def _encode(pairs: DataFrame, verts: DataFrame, hot_ids: list, threshold: int, m
     re-keyed by two joins on the text id; hub sources and hub targets (at
     most ``max_hot`` each, by the entry-count threshold) join a broadcast
     copy of their dictionary rows, so no task gets a hub's whole row set.
-    Returns pairs, vertices, the ``(id, vid)`` dictionary and hub ids as vids.
+    Returns pairs, vertices, the ``(id, vid)`` dictionary and the checkpoint.
     """
-    spark = pairs.sparkSession
     fixed = verts.checkpoint(eager=True)
     numbered = fixed.select(
         F.monotonically_increasing_id().alias("vid"), "id", "out_degree", "entries", "in_entries"
     ).persist(StorageLevel.MEMORY_AND_DISK)
     dictionary = numbered.select("id", "vid")
-    hot_src = None
-    if hot_ids:
-        hot_src = local_rows(spark, [(k,) for k in hot_ids], T.StructType([fixed.schema["id"]])).select(
-            F.col("id").alias("src")
-        )
-    hot_dst = None
-    if max_in >= threshold:
-        # bounded like the hub sources: at most max_hot targets reach the threshold
-        keys = [(r["id"],) for r in fixed.filter(F.col("in_entries") >= threshold).select("id").collect()]
-        hot_dst = local_rows(spark, keys, T.StructType([fixed.schema["id"]])).select(F.col("id").alias("dst"))
+    hot_src = fixed.filter(F.col("entries") >= threshold).select(F.col("id").alias("src"))
+    hot_dst = fixed.filter(F.col("in_entries") >= threshold).select(F.col("id").alias("dst"))
     by_src = split_join(
         pairs, dictionary.select(F.col("id").alias("src"), F.col("vid").alias("src_vid")), "src", hot_src
     )
@@ -83,13 +71,10 @@ def _encode(pairs: DataFrame, verts: DataFrame, hot_ids: list, threshold: int, m
     new_verts = numbered.select(F.col("vid").alias("id"), "out_degree", "entries", "in_entries").persist(
         StorageLevel.MEMORY_AND_DISK
     )
-    hot_vids = []
-    if hot_ids:
-        hot_vids = [r["vid"] for r in numbered.filter(F.col("id").isin(hot_ids)).select("vid").collect()]
     encoded.count()  # fill the cache before the text-keyed pairs are dropped
     pairs.unpersist()
     verts.unpersist()
-    return encoded, new_verts, numbered, hot_vids, fixed
+    return encoded, new_verts, numbered, fixed
 
 
 def _written(df: DataFrame) -> DataFrame:
@@ -102,7 +87,8 @@ class LinkMatrix:
     vertices: DataFrame
     cold: DataFrame
     hot: DataFrame | None
-    hot_ids: list
+    hubs: DataFrame | None  # (id) of the hub sources
+    n_hubs: int
     n: int
     n_sinks: int
     edge_rows: int
@@ -119,29 +105,38 @@ class LinkMatrix:
         cls,
         edges: DataFrame,
         num_partitions: int | None = None,
-        strategy: str = "auto",
+        strategy: str = "partitioned",
         max_hot: int | None = None,
         hot_min_rows: int = 10_000,
         rows_per_partition: int = ROWS_PER_PARTITION,
-        encode_ids: bool | str = "auto",
+        encode_ids: bool = False,
     ) -> "LinkMatrix":
-        """Build and cache the layout.  ``num_partitions`` defaults to the session's
-        ``spark.sql.shuffle.partitions``, lowered for small matrices to one
-        partition per ``rows_per_partition`` entries (fewer, fuller tasks).
-        ``encode_ids``: run the loop on bigint ids (True / False / "auto": text
-        ids longer than 16 bytes on average)."""
+        """Build and cache the layout.  ``num_partitions`` defaults to one partition
+        per ``rows_per_partition`` matrix entries, so it grows with the data.
+        ``encode_ids``: run the loop on bigint ids.  An edge with a null end
+        fails the build."""
         if strategy not in STRATEGIES:
             raise ValueError(f"strategy must be one of {STRATEGIES}")
+        held: list[DataFrame] = []
+        try:
+            return cls._build(edges, num_partitions, strategy, max_hot, hot_min_rows, rows_per_partition, encode_ids, held)
+        except BaseException:
+            for df in held:
+                df.unpersist()
+            raise
+
+    @classmethod
+    def _build(
+        cls, edges, num_partitions, strategy, max_hot, hot_min_rows, rows_per_partition, encode_ids, held
+    ) -> "LinkMatrix":
         spark = edges.sparkSession
-        cap = int(num_partitions or shuffle_partitions(spark))
-        if max_hot is None:
-            max_hot = max(1024, 2 * cap)
-        edges = edges.select("src", "dst")
+        edges = complete_edges(edges.select("src", "dst"))
         id_type = edges.schema["src"].dataType
 
         # duplicates merged before anything else; partial aggregation per task
         pairs = edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("copies"))
         pairs = pairs.persist(StorageLevel.MEMORY_AND_DISK)
+        held.append(pairs)
         one, zero = F.lit(1).cast("long"), F.lit(0).cast("long")
         tagged = pairs.select(
             F.col("src").alias("id"), F.col("copies").alias("o"), one.alias("e"), zero.alias("i")
@@ -151,6 +146,7 @@ class LinkMatrix:
             .agg(F.sum("o").alias("out_degree"), F.sum("e").alias("entries"), F.sum("i").alias("in_entries"))
             .persist(StorageLevel.MEMORY_AND_DISK)
         )
+        held.append(verts)
         id_bytes = (
             F.avg(F.octet_length(F.col("id")))
             if isinstance(id_type, T.StringType)
@@ -167,39 +163,36 @@ class LinkMatrix:
         ).collect()[0]
         n = int(row["n"])
         entries = int(row["entries"] or 0)
-        parts = cap if num_partitions else max(1, min(cap, math.ceil(entries / rows_per_partition)))
+        parts = int(num_partitions or max(1, math.ceil(entries / rows_per_partition)))
+        if max_hot is None:
+            max_hot = max(1024, 2 * parts)
         threshold = hot_threshold(entries, max_hot, hot_min_rows)
-        hot_ids: list = []
-        if (row["max_entries"] or 0) >= threshold:
-            # at most max_hot ids can reach the threshold, so this collect is bounded
-            hot_ids = [
-                r["id"] for r in verts.filter(F.col("entries") >= threshold).select("id").collect()
-            ]
+        if strategy == "broadcast":
+            vec_bytes = n * ((8.0 if encode_ids else float(row["id_bytes"] or 8.0)) + _ROW_OVERHEAD)
+            if vec_bytes > broadcast_budget(spark):
+                raise ValueError(
+                    f"the vector has about {vec_bytes:.0f} bytes, more than spark.sql.autoBroadcastJoinThreshold; "
+                    "use strategy='partitioned'"
+                )
 
         dictionary = None
-        if encode_ids == "auto":
-            encode_ids = isinstance(id_type, T.StringType) and float(row["id_bytes"] or 0) > ENCODE_MIN_BYTES
+        cached_extra = []
         if encode_ids and n:
-            pairs, verts, dictionary, hot_ids, fixed = _encode(
-                pairs, verts, hot_ids, threshold, int(row["max_in_entries"] or 0)
-            )
+            pairs, verts, dictionary, fixed = _encode(pairs, verts, threshold)
+            held += [pairs, verts, dictionary]
             cached_extra = [dictionary, fixed]
-        else:
-            cached_extra = []
 
-        # "auto" keeps the vector where it is: the matrix is laid out by source in
-        # the same hash partitions as the vector, so the per-step join moves
-        # nothing.  "broadcast" ships the whole vector to every task each step
-        # and is only honoured while the vector fits the broadcast budget.
-        vec_bytes = n * ((8.0 if dictionary is not None else float(row["id_bytes"] or 8.0)) + _ROW_OVERHEAD)
-        if strategy == "auto" or (strategy == "broadcast" and vec_bytes > broadcast_budget(spark)):
-            strategy = "partitioned"
-
-        src_is_hot = F.col("src").isin(hot_ids) if hot_ids else F.lit(False)
+        # at most max_hot vertices can reach the threshold, so this table may be broadcast
+        hubs, n_hubs = None, 0
+        if (row["max_entries"] or 0) >= threshold:
+            hubs = verts.filter(F.col("entries") >= threshold).select("id", "out_degree").checkpoint(eager=True)
+            n_hubs = hubs.count()
+        by_source = pairs if hubs is None else pairs.join(
+            F.broadcast(hubs.select(F.col("id").alias("src"))), "src", "left_anti"
+        )
         by_src = Window.partitionBy("src")
         cold = (
-            pairs.filter(~src_is_hot)
-            .repartition(parts, "src")
+            by_source.repartition(parts, "src")
             .select(
                 "src",
                 "dst",
@@ -207,13 +200,10 @@ class LinkMatrix:
             )
         )
         hot = None
-        if hot_ids:
-            hub_degree = verts.filter(F.col("id").isin(hot_ids)).select(
-                F.col("id").alias("src"), "out_degree"
-            )
+        if hubs is not None:
+            hub_degree = hubs.select(F.col("id").alias("src"), "out_degree")
             hot = (
-                pairs.filter(src_is_hot)
-                .join(F.broadcast(hub_degree), "src")
+                pairs.join(F.broadcast(hub_degree), "src")
                 # fresh column ids: cold and hot derive from the same pair table, and a
                 # step reading both would otherwise miss the cache of one of them
                 .select(
@@ -232,12 +222,13 @@ class LinkMatrix:
             cold = _written(cold)
             hot = _written(hot) if hot is not None else None
         pairs.unpersist()
-        cached = [verts, cold] + ([hot] if hot is not None else []) + cached_extra
+        cached = [verts, cold] + ([hot, hubs] if hot is not None else []) + cached_extra
         return cls(
             vertices=verts,
             cold=cold,
             hot=hot,
-            hot_ids=hot_ids,
+            hubs=hubs.select("id") if hubs is not None else None,
+            n_hubs=n_hubs,
             n=n,
             n_sinks=int(row["sinks"] or 0),
             edge_rows=int(row["edge_rows"] or 0),
@@ -262,38 +253,18 @@ class LinkMatrix:
             if self.hot is not None:
                 self._views["hot"] = f"_surfrank_hot_{tag}"
                 self._views["hubs"] = f"_surfrank_hubs_{tag}"
-                self._views["hub_ranks"] = f"_surfrank_hubranks_{tag}"
                 self.hot.createOrReplaceTempView(self._views["hot"])
-                # the hub ids are on the driver already (at most max_hot of them):
-                # a local relation, so a step does not rescan the vertex table
-                hub_schema = T.StructType([T.StructField("id", self.vertices.schema["id"].dataType)])
-                local_rows(self.cold.sparkSession, [(h,) for h in self.hot_ids], hub_schema).createOrReplaceTempView(
-                    self._views["hubs"]
-                )
+                self.hubs.createOrReplaceTempView(self._views["hubs"])
         return self._views
 
-    def set_hub_ranks(self, rows: list) -> str:
-        """Register the hubs' current ranks ``[(id, rank)]`` (at most ``max_hot``) as a
-        local ``VALUES`` relation and return its view name.  Broadcasting a local
-        relation needs no Spark job, unlike a broadcast computed from the vector."""
-        views = self.register()
-        schema = T.StructType(
-            [
-                T.StructField("id", self.vertices.schema["id"].dataType),
-                T.StructField("rank", T.DoubleType()),
-            ]
-        )
-        local_rows(self.cold.sparkSession, rows, schema).createOrReplaceTempView(views["hub_ranks"])
-        return views["hub_ranks"]
-
-    def contribution_sql(self, prev: str, hub_ranks: str | None = None) -> str:
+    def contribution_sql(self, prev: str) -> str:
         """SQL of ``(id, c)``: one product ``w * prev.rank`` per matrix entry, keyed by target.
 
         ``prev`` names a view ``(id, rank, ...)``.  Partitioned: ordinary
         sources join the previous vector inside each partition (both sides
-        hash-partitioned alike), hubs join a broadcast copy of their own
-        (bounded) vector entries: the view ``hub_ranks`` when given (see
-        ``set_hub_ranks``), else a semi join of ``prev`` with the hub list.
+        hash-partitioned alike and sorted, a merge that needs no memory for
+        either), hubs join a broadcast copy of their own (bounded) vector
+        entries, the semi join of ``prev`` with the hub table.
         Broadcast: every entry meets a broadcast copy of the whole vector.
         """
         v = self.register()
@@ -309,14 +280,11 @@ class LinkMatrix:
                 )
             return " union all ".join(parts)
         parts = [
-            f"select /*+ SHUFFLE_HASH(p) */ m.dst as id, m.w * p.rank as c "
+            f"select /*+ MERGE(p) */ m.dst as id, m.w * p.rank as c "
             f"from {v['cold']} m join {prev} p on m.src = p.id"
         ]
         if self.hot is not None:
-            hubs = hub_ranks or (
-                f"(select /*+ BROADCAST(u) */ p.id, p.rank from {prev} p left semi join {v['hubs']} u "
-                f"on p.id = u.id)"
-            )
+            hubs = f"(select /*+ BROADCAST(u) */ p.id, p.rank from {prev} p left semi join {v['hubs']} u on p.id = u.id)"
             parts.append(
                 f"select /*+ BROADCAST(h) */ m.dst as id, m.w * h.rank as c from {v['hot']} m join "
                 f"{hubs} h on m.src = h.id"

@@ -15,13 +15,13 @@ Execution per step is one Spark job:
 * ``sum(y[k])`` is known before the step: column sums of ``M`` are 1 for
   every non-sink source, so ``sum(y[k]) = (1 - t) * (mass of v[k-1] on
   non-sink vertices)``;
-* the step's plan joins the cached matrix with the cached previous vector
-  (partition-local, or broadcast when small), sums contributions per target
-  with partial aggregation (the only shuffle), and adds every vertex with
-  0 so that vertices without in-links keep their row; the previous rank and
-  the sink flag ride along in the same aggregation;
-* the new vector is persisted, and one aggregation over it returns both
-  ``delta[k]`` and the non-sink mass needed by step ``k + 1``.
+* the step's plan merges the cached matrix with the cached previous vector
+  (partition-local), sums contributions per target with partial aggregation
+  (the only shuffle, of target and sum), and joins the sums to the previous
+  vector in place, so vertices without in-links keep their row;
+* the new vector is persisted, and one aggregation over it returns
+  ``delta[k]``, the vector's sum and the non-sink mass needed by step
+  ``k + 1``.  A vector that does not sum to 1 fails the run.
 
 Every step's vector is written as a reliable checkpoint
 (``spark.checkpoint.dir``): the previous vector is used twice per step, so
@@ -48,13 +48,16 @@ from .layout import LinkMatrix
 log = logging.getLogger(__name__)
 
 # Fixed values of the three variants of the original tool (teleport rate,
-# convergence threshold, step cap, whether step 1 is compared with the start vector).
+# convergence threshold, step cap or None, whether step 1 is compared with the start vector).
 PRESETS = {
     "script": {"teleport": 0.2, "epsilon": 1e-4, "max_iter": 300, "compare_first": False},
     "notebook": {"teleport": 0.2, "epsilon": 1e-10, "max_iter": 300, "compare_first": False},
-    "cluster": {"teleport": 0.15, "epsilon": 1e-5, "max_iter": 300, "compare_first": True},
+    "cluster": {"teleport": 0.15, "epsilon": 1e-5, "max_iter": None, "compare_first": True},
 }
 
+# how far the sum of a vector may be from 1 by rounding
+MASS_TOLERANCE = 1e-6
+
 HISTORY_SCHEMA = T.StructType(
     [
         T.StructField("iteration", T.IntegerType(), False),
@@ -84,42 +87,52 @@ class RankResult:
     hubs: int = 0  # sources that took the hub path (broadcast of their own ranks)
     _written: DataFrame | None = field(default=None, repr=False)
 
+    def release(self) -> None:
+        """Delete the checkpoint files behind ``ranks``, which cannot be read any more."""
+        if self._written is not None:
+            drop_checkpoint(self._written)
+            self._written = None
+
 
 def rank(
     edges: DataFrame,
     teleport: float | None = None,
     epsilon: float | None = None,
-    max_iter: int | None = None,
+    max_iter: int | None | str = "preset",
     compare_first: bool | None = None,
     num_partitions: int | None = None,
     initial: DataFrame | None = None,
-    strategy: str = "auto",
+    strategy: str = "partitioned",
     max_hot: int | None = None,
     hot_min_rows: int = 10_000,
     preset: str = "script",
-    encode_ids: bool | str = "auto",
+    encode_ids: bool = False,
 ) -> RankResult:
     """Rank the vertices of ``edges(src, dst)``; see the module doc for the semantics.
 
     ``preset`` ("script", "notebook", "cluster") supplies teleport,
-    epsilon, max_iter and compare_first where they are not given.
-    ``initial`` is an optional start vector ``(id, rank)`` (ids it lacks
-    start at 0).  ``strategy`` picks the per-step join: "broadcast",
-    "partitioned" or "auto" (broadcast only if the vector fits the
-    session's broadcast threshold).  ``encode_ids`` runs the loop on bigint
-    ids and decodes the result with one join (default: for long text ids).
+    epsilon, max_iter and compare_first where they are not given;
+    ``max_iter=None`` runs until convergence.  ``RankResult.converged`` tells
+    whether a cap ended the run.  Edges with a null end fail.
+    ``initial`` is an optional start vector ``(id, rank)`` with unique ids
+    (ids it lacks start at 0).  ``strategy`` picks the per-step join:
+    "partitioned", or "broadcast" (fails if the vector exceeds the session's
+    broadcast threshold).  ``encode_ids`` runs the loop on bigint ids and
+    decodes the result with one join.
     """
     p = PRESETS[preset]
     teleport = p["teleport"] if teleport is None else float(teleport)
     epsilon = p["epsilon"] if epsilon is None else float(epsilon)
-    max_iter = p["max_iter"] if max_iter is None else int(max_iter)
+    max_iter = p["max_iter"] if max_iter == "preset" else max_iter
     compare_first = p["compare_first"] if compare_first is None else bool(compare_first)
     if not 0.0 <= teleport <= 1.0:
         raise ValueError("teleport must be in [0, 1]")
-    if max_iter < 1:
+    if max_iter is not None and max_iter < 1:
         raise ValueError("max_iter must be at least 1")
     spark = edges.sparkSession
     checkpoint_dir(spark)
+    if initial is not None and not initial.groupBy("id").count().filter("count > 1").isEmpty():
+        raise ValueError("the start vector has an id twice")
     lm = LinkMatrix.build(edges, num_partitions, strategy, max_hot, hot_min_rows, encode_ids=encode_ids)
     try:
         if lm.n == 0:
@@ -160,29 +173,22 @@ def start_vector(lm: LinkMatrix, initial: DataFrame | None) -> DataFrame:
     )
 
 
-def next_vector(
-    lm: LinkMatrix, prev: DataFrame, teleport: float, shift: float, hub_ranks: list | None = None
-) -> DataFrame:
+def next_vector(lm: LinkMatrix, prev: DataFrame, teleport: float, shift: float) -> DataFrame:
     """``(id, rank, prev, sink)`` of the next step; ``shift`` = ``(1 - sum(y)) / n``.
 
-    ``prev`` is ``(id, rank, sink)``; ``hub_ranks`` optionally the hubs' entries
-    of ``prev`` as ``[(id, rank)]``, already on the driver.  Built as one SQL
-    statement so that a step costs one analysis pass on the driver.
+    ``prev`` is ``(id, rank, sink)``.  Built as one SQL statement so that a
+    step costs one analysis pass on the driver.
     """
     views = lm.register()
     prev.createOrReplaceTempView(views["prev"])
-    hub_view = lm.set_hub_ranks(hub_ranks) if (hub_ranks is not None and lm.hot is not None) else None
-    return lm.cold.sparkSession.sql(step_sql(lm, views["prev"], teleport, shift, hub_view))
+    return lm.cold.sparkSession.sql(step_sql(lm, views["prev"], teleport, shift))
 
 
-def step_sql(lm: LinkMatrix, prev: str, teleport: float, shift: float, hub_ranks: str | None = None) -> str:
+def step_sql(lm: LinkMatrix, prev: str, teleport: float, shift: float) -> str:
     return (
-        f"select id, {1.0 - teleport!r} * sum(c) + {shift!r} as rank, "
-        "max(p) as prev, max(k) as sink from ("
-        "select id, c, cast(null as double) as p, cast(null as boolean) as k from ("
-        f"{lm.contribution_sql(prev, hub_ranks)}) "
-        f"union all select id, 0.0 as c, rank as p, sink as k from {prev}"
-        ") group by id"
+        f"select /*+ MERGE(s) */ v.id, {1.0 - teleport!r} * coalesce(s.c, 0.0D) + {shift!r} as rank, "
+        f"v.rank as prev, v.sink from {prev} v left join "
+        f"(select id, sum(c) as c from ({lm.contribution_sql(prev)}) group by id) s on v.id = s.id"
     )
 
 
@@ -190,7 +196,7 @@ def _iterate(
     lm: LinkMatrix,
     teleport: float,
     epsilon: float,
-    max_iter: int,
+    max_iter: int | None,
     compare_first: bool,
     initial: DataFrame | None,
 ) -> RankResult:
@@ -206,30 +212,15 @@ def _iterate(
         live_mass = float(
             vec.agg(F.sum(F.when(~F.col("sink"), F.col("rank")).otherwise(0.0))).collect()[0][0] or 0.0
         )
-    # hubs' ranks travel with the step's scalars (at most max_hot rows), so the
-    # next step broadcasts them from the driver without an extra Spark job
-    track_hubs = lm.hot is not None and lm.strategy == "partitioned"
-    hub_ranks: list | None = None
-    if track_hubs:
-        if initial is None:
-            hub_ranks = [(h, 1.0 / n) for h in lm.hot_ids]
-        else:
-            hub_ranks = [
-                (r["id"], r["rank"])
-                for r in vec.filter(F.col("id").isin(lm.hot_ids)).select("id", "rank").collect()
-            ]
     scalars = [
         F.sum(F.abs(F.col("rank") - F.col("prev"))).alias("l1"),
         F.sum(F.when(~F.col("sink"), F.col("rank")).otherwise(0.0)).alias("live"),
+        F.sum("rank").alias("total"),
     ]
-    if track_hubs:
-        scalars.append(
-            F.collect_list(F.when(F.col("id").isin(lm.hot_ids), F.struct("id", "rank"))).alias("hubs")
-        )
     steps: list[StepStats] = []
     converged = False
     k = 0
-    while k < max_iter:
+    while max_iter is None or k < max_iter:
         k += 1
         t0 = time.perf_counter()
         y_sum = (1.0 - teleport) * live_mass
@@ -239,15 +230,17 @@ def _iterate(
         # starts from those files, so plan size and lineage stay constant.
         # The step is cached first, so Spark's checkpoint write reads it from
         # memory instead of fetching the step's shuffle output a second time.
-        raw = next_vector(lm, vec, teleport, shift, hub_ranks).persist(StorageLevel.MEMORY_AND_DISK)
+        raw = next_vector(lm, vec, teleport, shift).persist(StorageLevel.MEMORY_AND_DISK)
         nxt = raw.checkpoint(eager=False)
         row = nxt.agg(*scalars).collect()[0]
         raw.unpersist()  # the checkpoint is written when collect returns
-        if track_hubs:
-            hub_ranks = [(h["id"], h["rank"]) for h in row["hubs"]]
         compared = compare_first or k > 1
         delta = float(row["l1"]) if compared else None
         live_mass = float(row["live"] or 0.0)
+        total = float(row["total"])
+        if not abs(total - 1.0) < MASS_TOLERANCE:
+            raise RuntimeError(f"step {k}: the ranks sum to {total!r}, not 1")
+        y_sum = total - n * shift  # as measured
         # the new vector is written now; the previous one is read by nothing
         if written is not None:
             drop_checkpoint(written)
@@ -258,7 +251,9 @@ def _iterate(
         if delta is not None and delta < epsilon:
             converged = True
             break
+    if not converged:
+        log.warning("stopped at the cap of %s steps before convergence", max_iter)
     history = local_rows(spark, [(s.iteration, s.vector_sum, s.l1_delta) for s in steps], HISTORY_SCHEMA)
-    result = RankResult(vec.select("id", "rank"), history, k, converged, steps, lm.strategy, n, len(lm.hot_ids))
+    result = RankResult(vec.select("id", "rank"), history, k, converged, steps, lm.strategy, n, lm.n_hubs)
     result._written = written
     return result

@@ -41,20 +41,18 @@ def test_one_shuffle_per_step_and_constant_plan(spark, hot_min_rows):
                 nxt.agg(F.sum("rank")).collect()
                 raw.unpersist()
                 vec = nxt.select("id", "rank", "sink")
-                hub_ranks = None
-                if lm.hot is not None:
-                    # as the loop does: the hubs' ranks come back with the step's scalars
-                    hubs = vec.filter(F.col("id").isin(lm.hot_ids)).select("id", "rank").collect()
-                    hub_ranks = [(r["id"], r["rank"]) for r in hubs]
-                nodes = _nodes(next_vector(lm, vec, 0.2, 0.0, hub_ranks))
+                plan = next_vector(lm, vec, 0.2, 0.0)
+                nodes = _nodes(plan)
                 sizes.append(len(nodes))
-                # the partial-sum shuffle is the only exchange; the matrix join
-                # reads both sides in place (hubs: bounded broadcast of a local
-                # relation, which needs no job of its own)
+                # the partial-sum shuffle is the only exchange; matrix and previous
+                # vector are merged in place (hubs: bounded broadcasts)
                 assert nodes.count("Exchange") == 1, nodes
-                assert "ShuffledHashJoin" in nodes and "SortMergeJoin" not in nodes
-                assert nodes.count("BroadcastExchange") == (0 if lm.hot is None else 1)
-                assert nodes.count("LocalTableScan") == (0 if lm.hot is None else 1)
+                assert nodes.count("SortMergeJoin") == 2 and "ShuffledHashJoin" not in nodes
+                assert nodes.count("BroadcastExchange") == (0 if lm.hot is None else 2)
+                # below the exchange there are only sums per target, no vector rows
+                text = plan._jdf.queryExecution().executedPlan().toString()
+                below = text[text.index("Exchange hashpartitioning") :]
+                assert "partial_sum" in below.splitlines()[1] and "sink" not in below.split("SortMergeJoin")[0]
                 # every matrix part is read from the cache, not from its checkpoint files
                 assert nodes.count("InMemoryTableScan") == (1 if lm.hot is None else 2)
             assert len(set(sizes)) == 1

@@ -239,3 +239,45 @@ def test_survives_losing_cached_blocks(spark, random_graph, monkeypatch):
     assert calls["n"] == 8
     assert got.keys() == want.keys()
     assert max(abs(got[k] - want[k]) for k in want) < 1e-15
+
+
+def test_no_cap_and_cap(spark, edges_of):
+    edges = edges_of("a>b b>a c>a")
+    slow = sr.rank(edges, preset="cluster", teleport=0.01)
+    assert slow.converged and slow.iterations > 300
+    capped = sr.rank(edges, preset="cluster", teleport=0.01, max_iter=300)
+    assert not capped.converged and capped.iterations == 300
+
+
+def test_long_ids_change_nothing(spark):
+    pairs = [("a", "b"), ("b", "c"), ("b", "a"), ("c", "d")]
+    far = "http://example.org/" + "long/" * 20
+    short = _as_dict(sr.rank(spark.createDataFrame(pairs, "src string, dst string")).ranks)
+    long_edges = spark.createDataFrame([(far + a, far + b) for a, b in pairs], "src string, dst string")
+    for encode in (False, True):
+        got = _as_dict(sr.rank(long_edges, encode_ids=encode).ranks)
+        assert {k[len(far) :]: v for k, v in got.items()} == pytest.approx(short, abs=1e-12)
+
+
+def test_broadcast_beyond_budget_fails(spark, edges_of):
+    from surfrank.session import scoped_conf
+
+    with scoped_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "10"}), pytest.raises(ValueError, match="partitioned"):
+        sr.rank(edges_of("a>b b>a"), strategy="broadcast")
+
+
+def test_duplicate_start_vector_fails(spark, edges_of):
+    start = spark.createDataFrame([("a", 0.5), ("a", 0.5)], "id string, rank double")
+    with pytest.raises(ValueError, match="twice"):
+        sr.rank(edges_of("a>b b>a"), initial=start)
+
+
+def test_release_leaves_no_checkpoint(spark, edges_of):
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(spark.sparkContext.getCheckpointDir())
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    count = lambda: len(fs.listStatus(folder))
+    edges = edges_of("a>b a>c b>c c>a")
+    before = count()
+    sr.rank(edges, hot_min_rows=1).release()
+    assert count() == before
