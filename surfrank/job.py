@@ -1,13 +1,14 @@
 """Batch job: rank the pages of an edge list and write ``id<TAB>rank`` files.
 
-    spark-submit -m surfrank.job --input edges/ --output ranks/ \
-        [--teleport 0.2] [--epsilon 1e-4] [--max-iter 300] [--preset script] \
-        [--partitions N] [--id-type string|long] [--format text|parquet] [--ordered]
-
-The result is written by the executors to ``--output``; nothing is funnelled
-through the driver (the original tool could print to standard output, which
-does not scale, so an output path is required).  The exit code is non-zero
-on failure, including a missing input.
+    spark-submit [--py-files surfrank.zip] rank_job.py --input edges/ --output ranks/ \\
+        [--teleport 0.2] [--epsilon 1e-4] [--max-iter 300|none] [--preset script] \\
+        [--partitions N] [--id-type string|long] [--format text|parquet] [--ordered] \\
+        [--checkpoint-dir hdfs:///tmp/ranks] [--initial saved-ranks/] [--history steps/]
+
+``rank_job.py`` stands beside the package.  The result is written by the
+executors to ``--output``; nothing is funnelled through the driver.  Exit
+codes: 0 converged; 1 failure, including a missing input; 3 the cap on steps
+ended the run, and the newest vector was written.
 """
 
 from __future__ import annotations
@@ -19,10 +20,17 @@ import sys
 from pyspark.sql import SparkSession
 
 from .plans.rank import PRESETS, rank
-from .sources.edges import read_edges
+from .sources.edges import read_edges, read_vector
 from .sources.sinks import write_ranks
 
 
+NOT_CONVERGED = 3
+
+
+def _cap(text: str) -> int | str | None:
+    return text if text == "preset" else None if text == "none" else int(text)
+
+
 def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p = argparse.ArgumentParser(description="Rank pages of a tab-separated edge list.")
     p.add_argument("--input", required=True, nargs="+", help="edge file(s), folder(s) or globs")
@@ -30,7 +38,9 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--preset", choices=sorted(PRESETS), default="script")
     p.add_argument("--teleport", "-t", type=float, default=None)
     p.add_argument("--epsilon", "-e", type=float, default=None)
-    p.add_argument("--max-iter", type=int, default=None)
+    p.add_argument("--max-iter", type=_cap, default="preset", help="cap on steps, or none")
+    p.add_argument("--checkpoint-dir", default=None, help="folder that all executors share")
+    p.add_argument("--initial", default=None, help="start vector: ranks saved as parquet")
     p.add_argument("--partitions", type=int, default=None, help="partitions of matrix and vector")
     p.add_argument("--id-type", choices=("string", "long"), default="string")
     p.add_argument("--on-malformed", choices=("raise", "drop"), default="raise")
@@ -44,6 +54,9 @@ def main(argv: list[str] | None = None) -> int:
     args = parse_args(argv)
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s %(message)s")
     spark = SparkSession.builder.appName("surfrank").getOrCreate()
+    if args.checkpoint_dir:
+        spark.sparkContext.setCheckpointDir(args.checkpoint_dir)
+    result = None
     try:
         edges = read_edges(spark, args.input, args.id_type, args.on_malformed)
         result = rank(
@@ -53,6 +66,7 @@ def main(argv: list[str] | None = None) -> int:
             max_iter=args.max_iter,
             num_partitions=args.partitions,
             preset=args.preset,
+            initial=read_vector(spark, args.initial) if args.initial else None,
         )
         write_ranks(result.ranks, args.output, fmt=args.format, ordered=args.ordered)
         if args.history:
@@ -60,11 +74,13 @@ def main(argv: list[str] | None = None) -> int:
         logging.getLogger("surfrank").info(
             "ranked %d pages in %d steps (converged: %s)", result.n, result.iterations, result.converged
         )
-        return 0
+        return 0 if result.converged else NOT_CONVERGED
     except Exception as exc:  # noqa: BLE001 - report and fail the job
         print(f"surfrank: {exc}", file=sys.stderr)
         return 1
     finally:
+        if result is not None:
+            result.release()
         spark.stop()
 
 
