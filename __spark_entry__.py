@@ -12,7 +12,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 import surfrank as sr
@@ -30,7 +30,9 @@ except ModuleNotFoundError as e:  # the corpus operators are an optional part
 SMOKE_DIR = "/root/testdata/sf0.001"
 DIGITS = 10
 TELEPORT = 0.2  # preset "script"
+SLOW_TELEPORT = 0.035
 BLOCKS = 4
+NO_CAP = 100_000  # steps in SQL where the preset has no cap
 
 
 def _r(col: str, name: str | None = None):
@@ -65,11 +67,11 @@ def q_indexed_edges(spark, sf):
 
 
 def q_decoded_vector(spark, sf):
-    """Rank on dense ids (3 fixed steps), decoded back to original ids."""
+    """Converged ranks on dense ids, decoded back to original ids."""
     e = GRAPHS["part_supp"](spark, sf)
     index = sr.vertex_index(e)
     dense = sr.index_edges(e, index).select(F.col("src_idx").alias("src"), F.col("dst_idx").alias("dst"))
-    res = sr.rank(dense, epsilon=0.0, max_iter=3)
+    res = sr.rank(dense, preset="script")
     vec = res.ranks.select(F.col("id").alias("idx"), "rank")
     return sr.decode_vector(vec, index).select("id", _r("rank"))
 
@@ -182,7 +184,7 @@ def q_rank_script(spark, sf):
 
 
 def q_rank_cluster(spark, sf):
-    return _ranks(sr.rank(GRAPHS["page_links"](spark, sf), preset="cluster"))
+    return _ranks(sr.rank(GRAPHS["cust_part"](spark, sf), preset="cluster"))
 
 
 def q_rank_notebook(spark, sf):
@@ -190,7 +192,8 @@ def q_rank_notebook(spark, sf):
 
 
 def q_rank_partitioned(spark, sf):
-    return _ranks(sr.rank(GRAPHS["cust_part"](spark, sf), preset="script", strategy="partitioned"))
+    """A given number of partitions leaves the ranks as they are."""
+    return _ranks(sr.rank(GRAPHS["cust_part"](spark, sf), preset="script", num_partitions=3))
 
 
 def q_rank_broadcast(spark, sf):
@@ -206,7 +209,7 @@ def q_rank_hubs(spark, sf):
 
 def q_rank_encoded(spark, sf):
     """Loop on bigint ids (dictionary-encoded text ids), decoded at the end."""
-    res = sr.rank(GRAPHS["page_links"](spark, sf), preset="notebook", encode_ids=True, hot_min_rows=1)
+    res = sr.rank(GRAPHS["cust_part"](spark, sf), preset="script", encode_ids=True, hot_min_rows=1)
     return _ranks(res)
 
 
@@ -238,6 +241,81 @@ def q_ranks_file_roundtrip(spark, sf):
     return back.select("id", _r("rank"))
 
 
+def q_rank_outcome(spark, sf):
+    """Steps and outcome of a run without a cap that needs more than 300 steps."""
+    res = sr.rank(GRAPHS["type_user"](spark, sf), preset="cluster", teleport=SLOW_TELEPORT)
+    return res.history.agg(F.max("iteration").alias("iterations")).withColumn("converged", F.lit(res.converged))
+
+
+def q_rank_flag_hubs(spark, sf):
+    """Hub sources under the default settings."""
+    return _ranks(sr.rank(GRAPHS["flag_order"](spark, sf), preset="script"))
+
+
+def _scratch(spark, name):
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def q_edges_malformed_dropped(spark, sf):
+    """Edge file with single-field lines, empty first fields and comments."""
+    li = tables.table(spark, sf, "lineitem").select("l_partkey", "l_suppkey")
+    part, supp = F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string")
+    line = (
+        F.when(F.col("l_partkey") % 7 == 0, part)
+        .when(F.col("l_partkey") % 7 == 1, F.concat(F.lit("\t"), supp))
+        .when(F.col("l_partkey") % 7 == 2, F.concat(F.lit("#"), part, F.lit("\t"), supp))
+        .when(F.col("l_partkey") % 7 == 3, F.concat(part, F.lit("\t"), supp, F.lit("\tmore")))
+        .otherwise(F.concat(part, F.lit("\t"), supp))
+    )
+    path = _scratch(spark, "malformed")
+    li.select(line.alias("value")).write.text(path)
+    return sr.read_edges(spark, path, on_malformed="drop")
+
+
+def q_edges_long_ids(spark, sf):
+    path = _scratch(spark, "long-ids")
+    sr.write_edges(GRAPHS["raw_part_supp"](spark, sf), path)
+    return sr.read_edges(spark, path, id_type="long")
+
+
+def q_rank_lookup(spark, sf):
+    """Ranks of the suppliers' ids alone."""
+    res = sr.rank(GRAPHS["raw_part_supp"](spark, sf), preset="script")
+    ids = tables.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("id"))
+    return sr.lookup(res.ranks, ids).select("id", _r("rank"))
+
+
+def q_rank_resumed(spark, sf):
+    """Five steps, saved; five more from the saved vector."""
+    edges = GRAPHS["part_supp"](spark, sf)
+    path = _scratch(spark, "vector")
+    sr.write_ranks(sr.rank(edges, epsilon=0.0, max_iter=5).ranks, path, fmt="parquet")
+    return _ranks(sr.rank(edges, epsilon=0.0, max_iter=5, initial=sr.read_vector(spark, path)))
+
+
+def q_saved_matrix(spark, sf):
+    m, v0, _ = _first_step_parts(spark, sf)
+    path = _scratch(spark, "matrix")
+    m.write.parquet(path)
+    return sr.multiply(sr.read_matrix(spark, path), v0).select("id", _r("y"))
+
+
+def q_ranks_file_order(spark, sf):
+    """Lines of the ordered rank files, numbered as they stand in the files."""
+    path = _scratch(spark, "ordered")
+    sr.write_ranks(sr.rank(GRAPHS["part_supp"](spark, sf), preset="script").ranks, path, ordered=True)
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_name").alias("file"),
+        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at"),
+        F.split("value", "\t")[0].alias("id"),
+    )
+    sizes = lines.groupBy("file").count()
+    ahead = F.coalesce(F.sum("count").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    place = F.row_number().over(Window.partitionBy("file").orderBy("at"))
+    numbered = lines.withColumn("place", place).join(sizes.select("file", ahead.alias("ahead")), "file")
+    return numbered.select("id", (F.col("ahead") + F.col("place")).cast("long").alias("position"))
+
+
 _QUERIES = {
     "vertices": q_vertices,
     "vertex_count": q_vertex_count,
@@ -271,6 +349,14 @@ _QUERIES = {
     "event_flow_edges": q_event_flow_edges,
     "read_write_roundtrip": q_read_write_roundtrip,
     "ranks_file_roundtrip": q_ranks_file_roundtrip,
+    "rank_outcome": q_rank_outcome,
+    "rank_flag_hubs": q_rank_flag_hubs,
+    "edges_malformed_dropped": q_edges_malformed_dropped,
+    "edges_long_ids": q_edges_long_ids,
+    "rank_lookup": q_rank_lookup,
+    "rank_resumed": q_rank_resumed,
+    "saved_matrix": q_saved_matrix,
+    "ranks_file_order": q_ranks_file_order,
 }
 
 
@@ -319,7 +405,7 @@ _LAST = "select id, round(r, 10) as rank from walk where k = (select max(k) from
 
 def _preset_walk(graph: str, preset: str) -> str:
     p = sr.PRESETS[preset]
-    return _walk(graph, p["teleport"], p["epsilon"], p["max_iter"], p["compare_first"], _LAST)
+    return _walk(graph, p["teleport"], p["epsilon"], p["max_iter"] or NO_CAP, p["compare_first"], _LAST)
 
 
 _INDEX = "ix as (select id, row_number() over (order by id) - 1 as idx from (select src as id from e union select dst from e))"
@@ -374,7 +460,7 @@ def _oracles() -> dict[str, str]:
             f"with e as ({GRAPH_SQL['part_supp']}), {_INDEX} "
             "select s.idx as src_idx, d.idx as dst_idx from e join ix s on s.id = e.src join ix d on d.id = e.dst"
         ),
-        "decoded_vector": _walk("part_supp", TELEPORT, 0.0, 3, False, _LAST),
+        "decoded_vector": _preset_walk("part_supp", "script"),
         "out_degree": _with("event_flow", "select src, count(*) as out_degree from e group by src"),
         "edges_with_out_degree": _with(
             "event_flow", "select src, dst, count(*) over (partition by src) as out_degree from e"
@@ -412,12 +498,12 @@ def _oracles() -> dict[str, str]:
         " + entry_row)::bigint as dst_idx, round(w, 10) as w from bm cross join bp",
         "rank_fixed20": _walk("cust_part", TELEPORT, 0.0, 20, False, _LAST),
         "rank_script": _preset_walk("part_supp", "script"),
-        "rank_cluster": _preset_walk("page_links", "cluster"),
+        "rank_cluster": _preset_walk("cust_part", "cluster"),
         "rank_notebook": _preset_walk("event_flow", "notebook"),
         "rank_partitioned": _preset_walk("cust_part", "script"),
         "rank_broadcast": _preset_walk("raw_part_supp", "cluster"),
         "rank_hubs": _preset_walk("type_user", "script"),
-        "rank_encoded": _preset_walk("page_links", "notebook"),
+        "rank_encoded": _preset_walk("cust_part", "script"),
         "rank_history": _walk(
             "part_supp",
             0.2,
@@ -430,6 +516,28 @@ def _oracles() -> dict[str, str]:
         "event_flow_edges": GRAPH_SQL["event_flow"],
         "read_write_roundtrip": GRAPH_SQL["page_links"],
         "ranks_file_roundtrip": _preset_walk("raw_part_supp", "script"),
+        "rank_flag_hubs": _preset_walk("flag_order", "script"),
+        "rank_outcome": _walk(
+            "type_user",
+            SLOW_TELEPORT,
+            sr.PRESETS["cluster"]["epsilon"],
+            NO_CAP,
+            True,
+            "select max(k)::integer as iterations, min(delta) < 1e-5 as converged from walk",
+        ),
+        "edges_malformed_dropped": (
+            "select case when l_partkey % 7 = 1 then '' else l_partkey::varchar end as src, l_suppkey::varchar as dst "
+            "from lineitem where l_partkey % 7 not in (0, 2)"
+        ),
+        "edges_long_ids": GRAPH_SQL["raw_part_supp"],
+        "rank_lookup": _preset_walk("raw_part_supp", "script") + " and id in (select s_suppkey from supplier)",
+        "rank_resumed": _walk("part_supp", TELEPORT, 0.0, 10, False, _LAST),
+        "saved_matrix": f"with e as ({GRAPH_SQL['part_supp']}),{_MATRIX_CTES}, {first_step} "
+        "select id, round(y, 10) as y from mv",
+        "ranks_file_order": (
+            f"with e as ({GRAPH_SQL['part_supp']}) select id, row_number() over (order by id) as position "
+            "from (select src as id from e union select dst from e)"
+        ),
     }
 
 
