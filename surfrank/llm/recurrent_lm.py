@@ -43,6 +43,7 @@ ENDING_CLASSES = 62
 WINDOW = 16
 FIT_TOKENS = 400_000
 HEAD = 1 << 18
+WORDS_AT_ONCE = 1 << 20
 
 
 @dataclass
@@ -223,19 +224,30 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 7 == 2, F.lit(False))
 
 
+def _some(texts: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[list[tuple[np.ndarray, np.ndarray]]]:
+    """The texts in lists of about ``WORDS_AT_ONCE`` words, which bounds the memory of a task."""
+    held, size = [], 0
+    for both in texts:
+        held.append(both)
+        size += len(both[0])
+        if size > WORDS_AT_ONCE:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 def _counts(texts: DataFrame) -> DataFrame:
     """(word, ending, count) over all ``texts``; counted by batch before the shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            both = list(words_and_ends(batch.column(0).to_pylist()))
-            if not both:
-                continue
-            words = np.concatenate([w for w, _ in both])
-            word, first, count = np.unique(words, return_index=True, return_counts=True)
-            ending = np.concatenate([e for _, e in both])[first]
-            word, ending, count = np.append(word, np.uint64(END)), np.append(ending, -1), np.append(count, len(both))
-            yield pa.record_batch([pa.array(word.view(np.int64)), pa.array(ending), pa.array(count)], names=["word", "ending", "count"])
+            for both in _some(words_and_ends(batch.column(0).to_pylist())):
+                words = np.concatenate([w for w, _ in both])
+                word, first, count = np.unique(words, return_index=True, return_counts=True)
+                ending = np.concatenate([e for _, e in both])[first]
+                word, ending, count = np.append(word, np.uint64(END)), np.append(ending, -1), np.append(count, len(both))
+                yield pa.record_batch([pa.array(word.view(np.int64)), pa.array(ending), pa.array(count)], names=["word", "ending", "count"])
 
     rows = texts.mapInArrow(run, "word long, ending long, count long")
     return rows.groupBy("word", "ending").agg(F.sum("count").alias("count"))
@@ -293,6 +305,22 @@ def train(rows: DataFrame, fit_tokens: int = FIT_TOKENS, head: int = HEAD, seed:
     return model, counts
 
 
+def _sums(m: Model, both: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, ...]:
+    """By text: tokens, known and logs of the head, logs of class sums; classes of all tokens; number of other words, and these."""
+    sizes = np.array([len(w) for w, _ in both])
+    words, owner = np.concatenate([w for w, _ in both]), np.repeat(np.arange(len(both)), sizes)
+    classes = np.zeros(len(words) + len(both), np.int16)  # class 0 where a text ends
+    classes[np.arange(len(words)) + owner] = m.classes.of(words, np.concatenate([e for _, e in both]))
+    mass = np.bincount(np.repeat(np.arange(len(both)), sizes + 1), weights=m.mass_log[classes], minlength=len(both))
+    hit, logs = np.zeros(len(words), bool), np.full(len(both), m.end_log)
+    if len(m.head):
+        at = np.minimum(np.searchsorted(m.head, words), len(m.head) - 1)
+        hit = m.head[at] == words
+        logs += np.bincount(owner[hit], weights=m.head_log[at[hit]], minlength=len(both))
+    known = np.bincount(owner[hit], minlength=len(both)) + int(m.end_log > 0)
+    return sizes + 1, known, logs, mass, classes, np.bincount(owner[~hit], minlength=len(both)), words[~hit].view(np.int64)
+
+
 def _scored(rows: DataFrame, model: Model) -> DataFrame:
     """The ids and n_tokens, known, logs, own: sums over the tokens; tail: words beyond the head."""
     kind = rows.schema["doc_id"].dataType.simpleString()
@@ -301,26 +329,14 @@ def _scored(rows: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in batches:
-            both = list(words_and_ends(batch.column(3).to_pylist()))
-            if not both:
+            parts = [_sums(m, both) for both in _some(words_and_ends(batch.column(3).to_pylist()))]
+            if not parts:
                 continue
-            sizes = np.array([len(w) for w, _ in both])
-            words, owner = np.concatenate([w for w, _ in both]), np.repeat(np.arange(len(both)), sizes)
-            flat = np.zeros(len(words) + len(both), np.int64)  # class 0 where a text ends
-            flat[np.arange(len(words)) + owner] = m.classes.of(words, np.concatenate([e for _, e in both]))
-            own = m.net.score(flat, sizes + 1) / np.log(10)
-            own -= np.bincount(np.repeat(np.arange(len(both)), sizes + 1), weights=m.mass_log[flat], minlength=len(both))
-            if len(m.head):
-                at = np.minimum(np.searchsorted(m.head, words), len(m.head) - 1)
-                hit = m.head[at] == words
-            else:
-                at, hit = np.zeros(len(words), np.int64), np.zeros(len(words), bool)
-            known = np.bincount(owner[hit], minlength=len(both)) + (m.end_log > 0)
-            logs = np.bincount(owner[hit], weights=m.head_log[at[hit]], minlength=len(both)) + m.end_log if len(m.head) else np.full(len(both), m.end_log)
-            offsets = np.concatenate([[0], np.cumsum(np.bincount(owner[~hit], minlength=len(both)))]).astype(np.int32)
-            tail = pa.ListArray.from_arrays(pa.array(offsets), pa.array(words[~hit].view(np.int64)))
+            sizes, known, logs, mass, classes, tails, tail = (np.concatenate(x) for x in zip(*parts, strict=True))
+            own = m.net.score(classes, sizes) / np.log(10) - mass
+            offsets = np.concatenate([[0], np.cumsum(tails)]).astype(np.int32)
             yield pa.record_batch(
-                [*batch.columns[:3], pa.array(sizes + 1), pa.array(known.astype(np.int64)), pa.array(logs), pa.array(own), tail],
+                [*batch.columns[:3], *map(pa.array, (sizes, known, logs, own)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(tail))],
                 names=["doc_id", "held_out", "at", "n_tokens", "known", "logs", "own", "tail"],
             )
 
