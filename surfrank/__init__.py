@@ -32,6 +32,7 @@ from .operators.matrix import (
 from .plans.layout import LinkMatrix
 from .plans.rank import PRESETS, RankResult, rank
 from .sources.edges import complete_edges, read_edges, read_matrix, read_table_edges, read_vector
+from .session import release_checkpoints
 from .sources.sinks import write_edges, write_ranks
 
 __all__ = [
@@ -59,6 +60,7 @@ __all__ = [
     "read_table_edges",
     "read_vector",
     "redistribute",
+    "release_checkpoints",
     "transition_matrix",
     "unblock",
     "vector_sum",

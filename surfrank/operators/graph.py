@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.skew import DEFAULT_MAX_HOT, hot_keys, hot_threshold, split_join
 from ..functions.values import local_rows
-from ..session import checkpoint_dir, shuffle_partitions
+from ..session import checkpoint_dir, shuffle_partitions, tracked
 
 
 def vertices(edges: DataFrame) -> DataFrame:
@@ -63,7 +63,7 @@ def vertex_index(edges: DataFrame, num_partitions: int | None = None, from_verti
     checkpoint_dir(spark)
     parts = num_partitions or shuffle_partitions(spark)
     ids = edges.select("id") if from_vertices else vertices(edges)
-    ranged = ids.repartitionByRange(parts, "id").sortWithinPartitions("id").checkpoint(eager=True)
+    ranged = tracked(ids.repartitionByRange(parts, "id").sortWithinPartitions("id").checkpoint(eager=True))
     numbered = ranged.select(
         "id",
         F.spark_partition_id().alias("_task"),

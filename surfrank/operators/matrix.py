@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.skew import split_join
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, tracked
 from ..sources.edges import complete_edges
 from .graph import degree_hot_keys, with_out_degree
 
@@ -122,7 +122,7 @@ def rank_step(
     and the returned vector reads the written result instead of redoing it.
     """
     checkpoint_dir(matrix.sparkSession)
-    y = damp(multiply(matrix, vec, "rank", hot), teleport, "y").checkpoint(eager=False)
+    y = tracked(damp(multiply(matrix, vec, "rank", hot), teleport, "y").checkpoint(eager=False))
     total = y.agg(F.sum("y")).collect()[0][0] or 0.0
     return redistribute(y, n, float(total), "y", "rank")
 

@@ -14,6 +14,7 @@ import contextlib
 import tempfile
 from collections.abc import Iterator
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
 _UNSET = object()
@@ -43,6 +44,13 @@ def is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
 
+def _shared(spark: SparkSession, folder: str) -> str:
+    """``folder``, unless it is a machine's own folder and the session runs on a cluster."""
+    if folder.startswith("file:") and not is_local(spark):
+        raise RuntimeError(f"checkpoint folder {folder} is on one machine; use one that every executor can reach")
+    return folder
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for reliable checkpoints and written intermediate tables.
 
@@ -53,7 +61,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
-        return current
+        return _shared(spark, current)
     configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
         "spark.checkpoint.dir", None
     )
@@ -64,7 +72,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
                 "executor can reach (HDFS, object store)"
             )
         configured = tempfile.mkdtemp(prefix="surfrank-ckpt-")
-    sc.setCheckpointDir(configured)
+    sc.setCheckpointDir(_shared(spark, configured))
     return sc.getCheckpointDir() or configured
 
 
@@ -94,10 +102,25 @@ def checkpoint_file(df: DataFrame) -> str | None:
     try:
         opt = df._jdf.queryExecution().analyzed().rdd().getCheckpointFile()
         return opt.get() if opt.isDefined() else None
-    except Exception:  # noqa: BLE001 - not a checkpointed DataFrame
+    except Py4JError:  # not a checkpointed DataFrame
         return None
 
 
+_TRACKED: list[DataFrame] = []
+
+
+def tracked(df: DataFrame) -> DataFrame:
+    """Remember a checkpointed DataFrame that an operator's result reads, for ``release_checkpoints``."""
+    _TRACKED.append(df)
+    return df
+
+
+def release_checkpoints() -> None:
+    """Delete the checkpoints behind results of ``vertex_index`` and ``rank_step``, which end with it."""
+    while _TRACKED:
+        drop_checkpoint(_TRACKED.pop())
+
+
 def drop_checkpoint(df: DataFrame) -> None:
     """Delete the checkpoint files behind ``df`` once nothing reads them any more.
 

@@ -279,5 +279,10 @@ def test_release_leaves_no_checkpoint(spark, edges_of):
     count = lambda: len(fs.listStatus(folder))
     edges = edges_of("a>b a>c b>c c>a")
     before = count()
+    sr.release_checkpoints()
+    before = count()
     sr.rank(edges, hot_min_rows=1).release()
+    sr.vertex_index(edges).count()
+    sr.rank_step(sr.transition_matrix(edges), sr.initial_vector(sr.vertices(edges)), 0.2, 3).count()
+    sr.release_checkpoints()
     assert count() == before
