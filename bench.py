@@ -38,7 +38,7 @@ CASES = {
     "cust_part_script": ("cust_part", {"preset": "script"}),
     "raw_part_supp_fixed20": ("raw_part_supp", {"epsilon": 0.0, "max_iter": 20}),
     "part_supp_cluster": ("part_supp", {"preset": "cluster"}),
-    "page_links_notebook": ("page_links", {"preset": "notebook"}),
+    "type_user_notebook": ("type_user", {"preset": "notebook"}),
     "event_flow_script": ("event_flow", {"preset": "script"}),
     # three flags own all flag -> order edges: hubs under the default settings
     "flag_order_hubs": ("flag_order", {"preset": "script"}),
