@@ -29,13 +29,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{SCRATCH}/{name}-{uuid.uuid4().hex}"
 
 
-def cut(df: DataFrame, name: str = "cut") -> DataFrame:
+def cut(df: DataFrame, name: str = "cut", batch: int | None = None) -> DataFrame:
     """``df`` written to the shared folder and read back: computed once, survives lost executors.
 
     The write's own shuffle files go when it ends; nothing reads them again.
+    ``batch``: rows that a Python worker gets at once.
     """
     path = scratch_path(df.sparkSession, name)
-    with scoped_conf(df.sparkSession, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}):
+    conf = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+    if batch:
+        conf["spark.sql.execution.arrow.maxRecordsPerBatch"] = str(batch)
+    with scoped_conf(df.sparkSession, conf):
         df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -43,7 +43,9 @@ ENDING_CLASSES = 62
 WINDOW = 16
 FIT_TOKENS = 400_000
 HEAD = 1 << 18
-WORDS_AT_ONCE = 1 << 20
+WORDS_AT_ONCE = 1 << 19
+#: Texts that a Python worker holds at once; they step through the network together.
+TEXTS_AT_ONCE = 4000
 
 
 @dataclass
@@ -272,7 +274,7 @@ def _sample(texts: DataFrame, share: float) -> tuple[list[np.ndarray], list[np.n
 def train(rows: DataFrame, fit_tokens: int = FIT_TOKENS, head: int = HEAD, seed: int = 0) -> tuple[Model, DataFrame]:
     """The model and all counts; ``rows``: at, text of the training texts."""
     ship(rows.sparkSession)
-    counts = cut(_counts(rows.select("text")), "counts")
+    counts = cut(_counts(rows.select("text")), "counts", TEXTS_AT_ONCE)
     n, v = counts.agg(F.sum("count"), F.count("*")).first()
     n = n or 0
     words, endings = _sample(rows, min(1.0, fit_tokens / n)) if n else ([], [])
@@ -348,7 +350,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **opt
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score; learns from the rows not held out."""
     rows = docs.select(F.col(id_col).alias("doc_id"), held_out(id_col).alias("held_out"), F.xxhash64(id_col, text_col).alias("at"), F.col(text_col).alias("text"))
     model, counts = train(rows.filter(~F.col("held_out")).select("at", "text"), **options)
-    scored = cut(_scored(rows, model), "scored")
+    scored = cut(_scored(rows, model), "scored", TEXTS_AT_ONCE)
     known = counts.select("word", F.log10(F.col("count") + 1).alias("log"))
     tails = (
         scored.dropDuplicates(["at"])
