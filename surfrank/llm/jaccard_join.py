@@ -16,11 +16,12 @@ others:
    them only if it has more than ``spare``, so no link is lost and no huge
    group of empty cells comes to be.
 3. Candidates.  Keys are sorted over the cluster and scanned as a stream;
-   each run of equal keys gives one link from its first set to every other
+   each run of equal keys is a star, its first set linked to every other
    one, never all pairs.
-4. Verification on the whole texts; connected components.
+4. Verification, on the whole texts, of each set with the star that it
+   shares most cells with; connected components.
 5. Two sets that are similar have a star (a run's first set) in common.
-   In stars that still hold more than one component the sets of different
+   In stars that still hold more than one component the sets (and the star) of different
    components are compared in bounded blocks by bit sketches: a shingle
    flips one bit, so the Hamming distance also bounds the symmetric
    difference from below.  Pairs within the bound are verified as well.
@@ -49,6 +50,8 @@ from .shingles import digest, mix, shingle_set, word_hashes
 
 #: Sets of one star that are compared in one task.
 BLOCK = 4096
+#: Texts that a Python worker holds at once.
+TEXTS_AT_ONCE = 2000
 
 
 class Bands:
@@ -203,18 +206,19 @@ def link(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id",
     """
     ship(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(id_col, text_col).alias("at"), F.col(text_col).alias("text"))
-    facts = cut(_facts(rows, k))
+    facts = cut(_facts(rows, k), batch=TEXTS_AT_ONCE)
     runs = cut(_runs(_keyed(rows, k, percent)))
     sets = facts.filter("n > 0").groupBy("set").agg(F.min("doc_id").alias("class_id"), F.min("at").alias("at"), F.first("n").alias("n"))
 
     wanted = runs.select("set").distinct().join(sets, "set").select("set", "at")
-    texts = cut(_sketched(rows.select("at", "text").join(wanted, "at").groupBy("set").agg(F.first("text").alias("text")), k))
+    texts = cut(_sketched(rows.select("at", "text").join(wanted, "at").groupBy("set").agg(F.first("text").alias("text")), k), batch=TEXTS_AT_ONCE)
 
-    stars = cut(runs.filter("first != set").select(F.col("first").alias("a"), F.col("set").alias("b")).distinct())
-    links = cut(_verified(stars, texts, k, percent))
+    stars = cut(runs.filter("first != set").groupBy(F.col("first").alias("a"), F.col("set").alias("b")).agg(F.count("*").alias("cells")))
+    best = stars.groupBy("b").agg(F.max(F.struct("cells", "a")).alias("best")).select(F.col("best.a").alias("a"), "b")
+    links = cut(_verified(best, texts, k, percent), batch=TEXTS_AT_ONCE)
     roots = components(links)
     across = _across(stars, roots, texts.join(sets.select("set", "n"), "set").drop("text"), percent)
-    more = cut(_verified(across, texts, k, percent))
+    more = cut(_verified(across, texts, k, percent), batch=TEXTS_AT_ONCE)
     if not more.isEmpty():
         roots = components(links.unionByName(more))
 
@@ -270,7 +274,8 @@ def _across(stars: DataFrame, roots: DataFrame, sketches: DataFrame, percent: in
     Stars are compared in blocks of at most about ``BLOCK`` sets against
     each other; only pairs within the Hamming bound leave a task.
     """
-    members = stars.select(F.col("a").alias("star"), F.col("b").alias("set")).join(roots.withColumnRenamed("node", "set"), "set", "left")
+    members = stars.select(F.col("a").alias("star"), F.col("b").alias("set"))
+    members = members.unionByName(stars.select(F.col("a").alias("star"), F.col("a").alias("set")).distinct()).join(roots.withColumnRenamed("node", "set"), "set", "left")
     members = members.withColumn("root", F.coalesce("root", "set"))
     mixed = (
         members.groupBy("star")
