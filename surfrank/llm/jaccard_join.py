@@ -19,7 +19,8 @@ others:
    each run of equal keys is a star, its first set linked to every other
    one, never all pairs.
 4. Verification, on the whole texts, of each set with the star that it
-   shares most cells with; connected components.
+   shares most cells with; connected components.  Then, in rounds, of one
+   link of a star between each two components, which merges most of them.
 5. Two sets that are similar have a star (a run's first set) in common.
    In stars that still hold more than one component the sets (and the star) of different
    components are compared in bounded blocks by bit sketches: a shingle
@@ -50,6 +51,8 @@ from .shingles import digest, mix, shingle_set, word_hashes
 
 #: Sets of one star that are compared in one task.
 BLOCK = 4096
+#: Rounds that verify one link between each two components before sets are compared one by one.
+MERGES = 2
 #: Texts that a Python worker holds at once.
 TEXTS_AT_ONCE = 2000
 
@@ -217,6 +220,12 @@ def link(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id",
     best = stars.groupBy("b").agg(F.max(F.struct("cells", "a")).alias("best")).select(F.col("best.a").alias("a"), "b")
     links = cut(_verified(best, texts, k, percent), batch=TEXTS_AT_ONCE)
     roots = components(links)
+    for _ in range(MERGES):
+        new = cut(_verified(_between(stars, roots), texts, k, percent), batch=TEXTS_AT_ONCE)
+        if new.isEmpty():
+            break
+        links = links.unionByName(new)
+        roots = components(links)
     across = _across(stars, roots, texts.join(sets.select("set", "n"), "set").drop("text"), percent)
     more = cut(_verified(across, texts, k, percent), batch=TEXTS_AT_ONCE)
     if not more.isEmpty():
@@ -268,6 +277,19 @@ def folded(sketches: list[bytes]) -> np.ndarray:
     return out
 
 
+def _between(stars: DataFrame, roots: DataFrame) -> DataFrame:
+    """For each two components with a star's link between them, the link with most cells."""
+    for side in ("a", "b"):
+        of = roots.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}"))
+        stars = stars.join(of, side, "left").withColumn(f"root_{side}", F.coalesce(f"root_{side}", side))
+    return (
+        stars.filter("root_a != root_b")
+        .groupBy(F.least("root_a", "root_b"), F.greatest("root_a", "root_b"))
+        .agg(F.max(F.struct("cells", "a", "b")).alias("best"))
+        .select("best.a", "best.b")
+    )
+
+
 def _across(stars: DataFrame, roots: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """Pairs of sets of one star but of different components whose sketches are near enough.
 
@@ -283,12 +305,14 @@ def _across(stars: DataFrame, roots: DataFrame, sketches: DataFrame, percent: in
         .filter("x != y")
         .select("star", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     )
+    members = members.join(mixed, "star")
+    listed = members.groupBy("set").agg(F.collect_list("star").alias("stars"))
     rows = (
-        members.join(mixed, "star")
-        .join(sketches, "set")
+        members.join(sketches, "set")
+        .join(listed, "set")
         .withColumn("block", F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("star", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "set", "root", "n", "sketch")
+        .select("star", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "set", "root", "n", "sketch", "stars")
     )
 
     def compare(key: tuple, block: pa.Table) -> pa.Table:
@@ -296,6 +320,7 @@ def _across(stars: DataFrame, roots: DataFrame, sketches: DataFrame, percent: in
         one, root, n = (block[c].to_numpy() for c in ("set", "root", "n"))
         words = folded(block["sketch"].to_pylist())
         inside = key[1] == key[2]
+        star, stars = key[0].as_py(), [set(x) for x in block["stars"].to_pylist()]
         a, b = [], []
         for x in np.flatnonzero(first):
             near = root != root[x]
@@ -304,6 +329,7 @@ def _across(stars: DataFrame, roots: DataFrame, sketches: DataFrame, percent: in
             y = y[100 * np.minimum(n[y], n[x]) >= percent * np.maximum(n[y], n[x])]
             apart = np.bitwise_count(words[y] ^ words[x]).sum(1)
             y = y[apart * (100 + percent) <= (n[y] + n[x]) * (100 - percent)]
+            y = y[[min(stars[x] & stars[i]) == star for i in y]] if len(y) else y  # once, in the pair's first star
             a.append(np.minimum(one[y], one[x]))
             b.append(np.maximum(one[y], one[x]))
         none = [np.zeros(0, np.int64)]
