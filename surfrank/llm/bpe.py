@@ -37,8 +37,8 @@ from pyspark.sql import functions as F
 
 from .common import ship
 
-MAX_STATES = 100_000
-MAX_PIECES = 250_000
+MAX_STATES = 200_000
+MAX_PIECES = 350_000
 CHUNK = 8192
 GROUP_CHARS = 1 << 21
 LONG_PIECE = 64
