@@ -2,9 +2,11 @@
 
 A line is its words; blank lines are kept and not compared.  Equal lines
 are one.  Two lines of at least ``min_words`` words are also alike when one
-becomes the other by inserting, deleting or replacing one word (edit
-distance 1 over words).  A line goes if an equal or alike line stands
-earlier, in order of doc_id (null last), then place in the document.
+becomes the other by inserting, deleting or replacing few words (edit
+distance over words): one word, and with ``words_per_edit`` one for each
+that many words of the shorter line, without an upper end.  A line goes if
+an equal or alike line stands earlier, in order of doc_id (null last), then
+place in the document.
 
 1. Every line gives a hash of its words; the first place of each hash is
    found by an aggregation.
@@ -24,6 +26,15 @@ Within a key the rows stream by in order of their places and each sees only
 the earliest one before it; pairs of a group are never listed and no group
 is held in memory.  Only DataFrame functions.
 
+Where two or more edits are allowed (k = words // ``words_per_edit``), an edit
+takes at most two of a line's word pairs (neighbouring words).  In any one
+order of all word pairs, two alike lines therefore share one of the first
+2 k + 1 of each.  These are a line's keys, the longest words first as they are
+seldom shared; their number is in proportion to the length.  Lines that share
+a key are first verified with the earliest one of the key; those that this
+does not settle with all earlier ones of their keys (only for these are the
+pairs of a key listed).
+
 Cases: null text stays null and has no lines; repeated rows (same id and
 text) are one document; an empty table gives an empty result; other
 columns are ignored.
@@ -111,9 +122,71 @@ def _one_edit(a: Column, b: Column) -> Column:
     return (F.abs(na - nb) <= 1) & (rest(a, na, more_a) == rest(b, nb, more_b))
 
 
-def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+def _pair_keys(words: Column, n: Column, per: int) -> Column:
+    """The first 2 (n // per) + 1 pairs of neighbouring words, most letters first, then by hash; a number each."""
+
+    def pair(w: Column, i: Column) -> Column:
+        ahead = F.get(words, i)
+        letters = F.least(F.length(ahead) + F.length(w), F.lit(1023)).cast("long")
+        return F.shiftleft(F.lit(1023).cast("long") - letters, 53).bitwiseOR(F.shiftrightunsigned(F.xxhash64(ahead, w), 11))
+
+    pairs = F.sort_array(F.transform(F.slice(words, 2, n - 1), pair))
+    return F.array_distinct(F.slice(pairs, 1, 2 * F.floor(n / per).cast("int") + 1))
+
+
+def _as_text(numbers: Column) -> Column:
+    """A string with one character for each number from 0 to 2^20 - 1."""
+    return F.decode(F.unhex(F.array_join(F.transform(numbers, lambda x: F.lpad(F.hex(x + 0x10000), 8, "0")), "")), "UTF-32")
+
+
+def _near(a: str, b: str, na: str, nb: str, per: int) -> Column:
+    """Whether two strings of a character per word are within the edits allowed for the shorter."""
+    return F.expr(f"levenshtein({a}, {b}, cast(least({na}, {nb}) div {per} as int)) >= 0")
+
+
+def _few_edits(pairs: DataFrame, lines: DataFrame, chosen: DataFrame, per: int) -> DataFrame:
+    """ord of those ``pairs`` (ord, earlier) that are alike; ``lines``: ord, n, code, a character per word; ``chosen``: ord, words."""
+    codes, words = lines.select("ord", "n", "code"), chosen.select("ord", "words")
+    other_codes = codes.select(F.col("ord").alias("earlier"), F.col("n").alias("n_b"), F.col("code").alias("code_b"))
+    other_words = words.select(F.col("ord").alias("earlier"), F.col("words").alias("words_b"))
+    # equal words have equal characters, so no alike pair fails here
+    maybe = pairs.join(codes, "ord").join(other_codes, "earlier").filter(_near("code", "code_b", "n", "n_b", per))
+    both = cut(maybe.select("ord", "earlier", "n", "n_b")).join(words, "ord").join(other_words, "earlier")
+
+    def numbered(own: str, alone: int) -> Column:
+        """Common words by their place in the list of these, others as ``alone``."""
+        common = F.array(F.array_intersect("words", "words_b"))
+        at = F.transform(common, lambda known: F.transform(F.col(own), lambda w: F.array_position(known, w)))[0]
+        return _as_text(F.transform(at, lambda x: F.when(x == 0, alone).otherwise(x + 1)))
+
+    told = both.select("ord", "n", "n_b", numbered("words", 0).alias("a"), numbered("words_b", 1).alias("b"))
+    return told.filter(_near("a", "b", "n", "n_b", per)).select("ord").distinct()
+
+
+def _many_edits(keys: DataFrame, chosen: DataFrame, per: int) -> DataFrame:
+    """line of the lines that an alike line precedes; ``keys``: line, key, for keys of several lines."""
+    code = F.decode(F.unhex(F.array_join(F.transform("words", lambda w: F.lpad(F.hex(F.pmod(F.xxhash64(w), F.lit(127)) + 1), 2, "0")), "")), "US-ASCII")
+    lines = chosen.filter(F.size("words") >= 2 * per).select("ord", "line", F.size("words").alias("n"), code.alias("code"))
+    lines = cut(lines.join(keys.select("line").distinct(), "line", "left_semi"))
+    held = cut(keys.join(lines.select("line", "ord", "n"), "line").select("key", "ord", "n"))
+    ahead = Window.partitionBy("key").orderBy("ord").rowsBetween(Window.unboundedPreceding, -1)
+    firsts = cut(held.select("ord", F.min("ord").over(ahead).alias("earlier")).filter("earlier is not null").distinct())
+    settled = cut(_few_edits(firsts, lines, chosen, per))
+    later = held.join(settled, "ord", "left_anti")
+    before = held.select("key", F.col("ord").alias("earlier"), F.col("n").alias("n_b"))
+    pairs = later.join(before, "key").filter(f"earlier < ord and abs(n - n_b) <= least(n, n_b) div {per}").select("ord", "earlier").distinct()
+    more = _few_edits(pairs.join(firsts, ["ord", "earlier"], "left_anti"), lines, chosen, per)
+    return settled.unionByName(more).join(lines, "ord").select("line")
+
+
+def dedup(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, words_per_edit: int | None = None
+) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_lines, n_equal, n_alike, text.
 
+    Alike lines differ by one word, or with ``words_per_edit`` (3 or more) by
+    at most max(1, words of the shorter // ``words_per_edit``).
+
     ``n_lines`` counts lines that are not blank, ``n_equal`` and ``n_alike``
     those that go because an equal or an alike line stands earlier; ``text``
     is the text without them.
@@ -123,31 +196,49 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_w
     lines = _lines(rows)
     place = F.struct("rank", "at", "place")
 
-    keyed = lines.withColumn("halves", F.when(F.col("n") >= min_words, _halves(F.col("words"), F.col("n"))))
-    firsts = cut(keyed.groupBy("line").agg(F.min(place).alias("first"), F.first("halves").alias("halves")))
+    if words_per_edit is not None and words_per_edit < 3:
+        raise ValueError("words_per_edit must be 3 or more")
+    by_half = F.col("n") >= min_words
+    if words_per_edit:
+        least = max(2 * words_per_edit, min_words)  # words of a line that may differ by two
+        by_half &= F.col("n") <= least
+    keyed = lines.withColumn("halves", F.when(by_half, _halves(F.col("words"), F.col("n"))))
+    if words_per_edit:
+        keyed = keyed.withColumn("pairs", F.when(F.col("n") >= least, _pair_keys(F.col("words"), F.col("n"), words_per_edit)))
+    arrays = ["halves", "n", "pairs"] if words_per_edit else ["halves"]
+    firsts = cut(keyed.groupBy("line").agg(F.min(place).alias("first"), *[F.first(c).alias(c) for c in arrays]))
     halves = firsts.select("line", F.explode(F.array_distinct("halves")).alias("half"))
     shared = halves.groupBy("half").agg(F.min("line").alias("x"), F.max("line").alias("y")).filter("x != y").select("half")
-    maybe = cut(halves.join(shared, "half").select("line").distinct().join(firsts, "line").select("line", "first"))
+    go_on = halves.join(shared, "half").select("line")
+    if words_per_edit:
+        keys = firsts.select("line", "n", F.explode("pairs").alias("key"))
+        # of a key only lines that have the next shorter or longer one within the edits; if not these, none is
+        by_key = Window.partitionBy("key").orderBy("n", "line")
+        keys = keys.withColumns({"less": F.lag("n").over(by_key), "more": F.lead("n").over(by_key)})
+        keys = cut(keys.filter(f"n - less <= less div {words_per_edit} or more - n <= n div {words_per_edit}").select("key", "line"))
+        go_on = go_on.unionByName(keys.select("line"))
+    maybe = go_on.distinct().join(firsts, "line").select("line", "first").repartitionByRange("first").sortWithinPartitions("first")
+    maybe = cut(maybe.select(F.monotonically_increasing_id().alias("ord"), "line", "first"))  # ord rises with first
 
     # the words of the lines that go on, read where they stand first
     wanted = maybe.groupBy(F.col("first.at").alias("at")).agg(F.collect_set("first.place").alias("places"))
-    chosen = _lines(rows.join(wanted, "at"), "places").filter(F.array_contains("places", F.col("place")))
-    chosen = chosen.dropDuplicates(["line"]).join(maybe, "line").repartitionByRange("first").sortWithinPartitions("first")
-    chosen = cut(chosen.select(F.monotonically_increasing_id().alias("ord"), "line", "words"))  # ord rises with first
+    chosen = _lines(rows.join(wanted, "at"), "places").filter(F.array_contains("places", F.col("place"))).select("line", "words")
+    chosen = cut(chosen.dropDuplicates(["line"]).join(maybe, "line").select("ord", "line", "words"))
 
     ahead = Window.partitionBy("key").orderBy("ord").rowsBetween(Window.unboundedPreceding, -1)
     whole, less, swapped = (F.min(F.when(F.col("kind") == k, F.col("ord"))).over(ahead) for k in (0, 1, 2))
     partners = (
-        _variants(chosen)
+        _variants(chosen.filter(F.size("words") <= least) if words_per_edit else chosen)
         .withColumn("earlier", F.when(F.col("kind") == 0, less).when(F.col("kind") == 1, whole).otherwise(swapped))
         .filter("earlier < ord")
         .groupBy("ord")
         .agg(F.min("earlier").alias("earlier"))
     )
     texts = chosen.select(F.col("ord").alias("earlier"), F.col("words").alias("words_b"))
-    alike = cut(
-        cut(partners).join(chosen, "ord").join(texts, "earlier").filter(_one_edit(F.col("words"), F.col("words_b"))).select("line", F.lit(True).alias("alike"))
-    )
+    alike = cut(partners).join(chosen, "ord").join(texts, "earlier").filter(_one_edit(F.col("words"), F.col("words_b"))).select("line")
+    if words_per_edit:
+        alike = alike.unionByName(_many_edits(keys, chosen, words_per_edit)).distinct()
+    alike = cut(alike.withColumn("alike", F.lit(True)))
     kept = (
         firsts.join(alike, "line", "left")
         .filter(F.col("alike").isNull())

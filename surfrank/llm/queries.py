@@ -49,7 +49,7 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.dedup(read(spark, sf_dir, "documents"))
+    return line_dedup.dedup(read(spark, sf_dir, "documents"), words_per_edit=10)
 
 
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -69,6 +69,55 @@ def test_line_dedup_against_brute_force(spark):
     assert got == lines_brute(docs)
 
 
+def words_apart(a, b) -> int:
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(last + (x != y), row[j] + 1, row[j - 1] + 1)
+    return row[-1]
+
+
+def test_line_dedup_bound_grows_with_the_length(spark):
+    """One word in ten may differ; the number of edits lies on both sides of the bound."""
+    rng = random.Random(11)
+    base = [[f"w{rng.randrange(200)}" for _ in range(n)] for n in (5, 8, 12, 19, 20, 21, 29, 30, 45, 60, 88, 90, 99, 100, 130) for _ in range(2)]
+    base += [["same", "words"] * 20, ["a", "b", "c"] * 35]
+    seen, docs = [], []
+    for i in range(90):
+        lines = []
+        for _ in range(rng.randrange(1, 5)):
+            w = list(rng.choice(base))
+            for _ in range(rng.randrange(0, max(2, len(w) // 10) + 2)):
+                at, r = rng.randrange(len(w)), rng.random()
+                if r < 0.4:
+                    w[at] = f"x{rng.randrange(9)}"
+                elif r < 0.7:
+                    w.insert(at, f"w{rng.randrange(200)}")
+                else:
+                    del w[at]
+            lines.append(" ".join(w))
+        docs.append((i, "\n".join(lines)))
+    want = {}
+    for i, text in docs:
+        kept, equal, alike = [], 0, 0
+        for line in text.split("\n"):
+            w = line.split(" ")
+            if w in seen:
+                equal += 1
+                continue
+            if any(min(len(w), len(o)) >= 8 and abs(len(w) - len(o)) < 20 and words_apart(w, o) <= max(1, min(len(w), len(o)) // 10) for o in seen):
+                alike += 1
+            else:
+                kept.append(line)
+            seen.append(w)
+        want[i] = (equal, alike, "\n".join(kept))
+    got = line_dedup.dedup(documents(spark, docs), words_per_edit=10).collect()
+    assert {r.doc_id: (r.n_equal, r.n_alike, r.text) for r in got} == want
+    one_word = line_dedup.dedup(documents(spark, docs)).collect()
+    assert sum(r.n_alike for r in one_word) < sum(alike for _, alike, _ in want.values())
+
+
 def test_line_dedup_awkward_and_empty(spark):
     rows = line_dedup.dedup(documents(spark, awkward())).collect()
     assert len(rows) == len(awkward())
