@@ -3,15 +3,19 @@
 A token is a word (A-Z count as a-z) or a text's end.  Its probability is
 P(class | all tokens before it) * P(token | class).
 
-* Classes: the most frequent tokens are classes of their own; other words
+* Classes: the most frequent tokens of all training texts (a distributed
+  top-k of the counts) are classes of their own; other words
   share a class by their last three bytes, if these are frequent, else the
   rest class.  Every such class has one outcome for words never met.
 * Within a class the softmax's logits are log(count + 1).  The counts cover
   every training text; they are gathered by a distributed aggregation.
 * The class comes from a gated recurrent unit that reads the classes of the
   tokens so far.  It is trained in numpy by truncated backpropagation
-  through time on a bounded sample of the training texts, of about
-  ``fit_tokens`` tokens, picked by a hash of the id.
+  through time: first on windows of texts, about ``fit_tokens`` tokens
+  picked by hashes, which gives all tasks one start; then data-parallel on
+  every training text, in ``ROUNDS`` disjoint parts.  In a round each task
+  goes on from the shared weights over its texts, and the weights are
+  averaged by tokens in a distributed aggregation.
 * A text is scored whole: many texts step together through windows of
   ``WINDOW`` tokens, and each one's state is carried from window to window.
 
@@ -25,6 +29,7 @@ table gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+import copy
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -34,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, ship
-from .shingles import words_and_ends
+from .shingles import mix, words_and_ends
 
 END = 0x2545F4914F6CDD1D  # stands for the hash of a text's end
 HIDDEN = 24
@@ -42,6 +47,10 @@ WORD_CLASSES = 96
 ENDING_CLASSES = 62
 WINDOW = 16
 FIT_TOKENS = 400_000
+#: Words of a text that the first sample draws together.
+SAMPLE_WINDOW = 256
+ROUNDS = 2
+ROUND_RATE = 0.002
 HEAD = 1 << 18
 WORDS_AT_ONCE = 1 << 19
 #: Texts that a Python worker holds at once; they step through the network together.
@@ -71,13 +80,17 @@ class Classes:
         return out
 
 
-def choose_classes(words: np.ndarray, endings: np.ndarray) -> Classes:
-    def frequent(x: np.ndarray, most: int) -> np.ndarray:
-        value, count = np.unique(x, return_counts=True)
-        return np.sort(value[np.lexsort((value, -count))[:most]])
+def choose_classes(counts: DataFrame) -> Classes:
+    """The most frequent words of ``counts`` and the most frequent endings of the others."""
 
-    own = frequent(words, WORD_CLASSES)
-    ends = frequent(endings[~np.isin(words, own)], ENDING_CLASSES)
+    def frequent(rows: DataFrame, key: str, most: int) -> np.ndarray:
+        top = rows.groupBy(key).agg(F.sum("count").alias("count")).orderBy(F.desc("count"), key).limit(most).collect()
+        return np.array([r[key] for r in top], np.int64)
+
+    words = counts.filter(F.col("word") != END)
+    top = frequent(words, "word", WORD_CLASSES)
+    ends = np.sort(frequent(words.filter(~F.col("word").isin(top.tolist())), "ending", ENDING_CLASSES))
+    own = np.sort(top.view(np.uint64))
     return Classes(own, 1 + np.arange(len(own)), ends, 1 + len(own) + np.arange(len(ends)))
 
 
@@ -150,30 +163,49 @@ class Recurrent:
         rng = np.random.default_rng(seed)
         share = np.bincount(np.concatenate(texts), minlength=self.n) + 1.0
         self.p["bias"] = np.log(share / share.sum()).astype(np.float32)
-        mean = {k: np.zeros_like(v) for k, v in self.p.items()}
-        square = {k: np.zeros_like(v) for k, v in self.p.items()}
-        done = 0
+        self._restart()
         for _ in range(epochs):
-            flat_y = np.concatenate([texts[i] for i in rng.permutation(len(texts))])
-            first = flat_y * 0
-            first[0] = 1
-            first[1:] = flat_y[:-1] == 0  # after an end, a text begins
-            flat_x = np.where(first == 1, self.n, np.concatenate([[self.n], flat_y[:-1]]))
-            width = -(-len(flat_y) // streams)
-            pad = streams * width - len(flat_y)
-            xs, ys = (np.concatenate([a, a[:pad] if pad <= len(a) else np.resize(a, pad)]).reshape(streams, width) for a in (flat_x, flat_y))
+            xs, ys = self._laid(np.concatenate([texts[i] for i in rng.permutation(len(texts))]), streams)
             h = np.zeros((streams, self.hidden), np.float32)
-            total = epochs * -(-width // window)
-            for a in range(0, width, window):
+            total = epochs * -(-xs.shape[1] // window)
+            for a in range(0, xs.shape[1], window):
                 grad, h = self._window(xs[:, a : a + window], ys[:, a : a + window], h)
-                norm = np.sqrt(sum(float((g * g).sum()) for g in grad.values()))
-                speed = rate * (1 - done / total) + 1e-4
-                done += 1
-                for k, g in grad.items():
-                    g *= min(1.0, 1.0 / (norm + 1e-9))
-                    mean[k] += 0.1 * (g - mean[k])
-                    square[k] += 0.01 * (g * g - square[k])
-                    self.p[k] -= (speed * (mean[k] / (1 - 0.9**done)) / (np.sqrt(square[k] / (1 - 0.99**done)) + 1e-8)).astype(np.float32)
+                self._descend(grad, rate * (1 - self.done / total) + 1e-4)
+
+    def go_on(self, classes: np.ndarray, streams: int = 128, window: int = 32, rate: float = ROUND_RATE) -> None:
+        """One more pass over texts laid end to end; the step sizes of earlier passes are kept."""
+        streams = max(1, min(streams, len(classes) // window))
+        xs, ys = self._laid(classes, streams)
+        h = np.zeros((streams, self.hidden), np.float32)
+        for a in range(0, xs.shape[1], window):
+            grad, h = self._window(xs[:, a : a + window], ys[:, a : a + window], h)
+            self._descend(grad, rate)
+
+    def _laid(self, flat_y: np.ndarray, streams: int) -> tuple[np.ndarray, np.ndarray]:
+        """Inputs and targets by stream."""
+        first = flat_y * 0
+        first[0] = 1
+        first[1:] = flat_y[:-1] == 0  # after an end, a text begins
+        flat_x = np.where(first == 1, self.n, np.concatenate([[self.n], flat_y[:-1]]))
+        width = -(-len(flat_y) // streams)
+        pad = streams * width - len(flat_y)
+        xs, ys = (np.concatenate([a, a[:pad] if pad <= len(a) else np.resize(a, pad)]).reshape(streams, width) for a in (flat_x, flat_y))
+        return xs, ys
+
+    def _restart(self) -> None:
+        self.mean = {k: np.zeros_like(v) for k, v in self.p.items()}
+        self.square = {k: np.zeros_like(v) for k, v in self.p.items()}
+        self.done = 0
+
+    def _descend(self, grad: dict[str, np.ndarray], speed: float) -> None:
+        norm = np.sqrt(sum(float((g * g).sum()) for g in grad.values()))
+        self.done += 1
+        for k, g in grad.items():
+            g *= min(1.0, 1.0 / (norm + 1e-9))
+            self.mean[k] += 0.1 * (g - self.mean[k])
+            self.square[k] += 0.01 * (g * g - self.square[k])
+            step = speed * (self.mean[k] / (1 - 0.9**self.done)) / (np.sqrt(self.square[k] / (1 - 0.99**self.done)) + 1e-8)
+            self.p[k] -= step.astype(np.float32)
 
     def _window(self, x: np.ndarray, y: np.ndarray, h: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray]:
         """Gradients of the mean loss over one window, and the state at its end."""
@@ -206,7 +238,10 @@ class Recurrent:
             inputs.append(np.concatenate([dz, dr, dn], 1))
             back = (dh * z + gates @ self.p["state"].T) * begun
         grad["input"] = np.zeros_like(self.p["input"])
-        np.add.at(grad["input"], x.T[::-1].reshape(-1), np.concatenate(inputs))
+        used, order = x.T[::-1].reshape(-1), np.concatenate(inputs)
+        by = np.argsort(used, kind="stable")
+        starts = np.flatnonzero(np.diff(used[by], prepend=-1))
+        grad["input"][used[by][starts]] = np.add.reduceat(order[by], starts)
         return grad, states[-1]
 
 
@@ -220,6 +255,7 @@ class Model:
     mass_log: np.ndarray  # by class: log10 of the sum of count + 1
     train_tokens: int
     vocabulary: int
+    fitted: int  # tokens that the rounds over all texts went through
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -256,21 +292,61 @@ def _counts(texts: DataFrame) -> DataFrame:
 
 
 def _sample(texts: DataFrame, share: float) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Words and endings of windows of texts, each drawn with the probability ``share``; a text's last one has its end, -1."""
+    bar = np.uint64(min(int(share * (1 << 32)), (1 << 32) - 1))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_pylist()
             for at, (words, endings) in zip(ids, words_and_ends(batch.column(1).to_pylist()), strict=True):
-                yield pa.record_batch(
-                    [pa.array([at]), pa.array([words.view(np.int64).tolist()], pa.list_(pa.int64())), pa.array([endings.tolist()], pa.list_(pa.int64()))],
-                    names=["at", "words", "endings"],
-                )
-
-    picked = texts.filter(F.pmod(F.xxhash64(F.col("at"), F.lit("language model sample")), F.lit(1 << 30)) < F.lit(int(share * (1 << 30))))
-    rows = picked.select("at", "text").mapInArrow(run, "at long, words array<long>, endings array<long>").collect()
-    rows.sort(key=lambda r: r["at"])
+                starts = np.arange(0, len(words) + 1, SAMPLE_WINDOW)
+                drawn = mix(np.uint64(at % (1 << 64)) ^ mix(starts.astype(np.uint64) + np.uint64(1))) >> np.uint64(32)
+                for i in starts[drawn <= bar]:
+                    w, e = words[i : i + SAMPLE_WINDOW].view(np.int64), endings[i : i + SAMPLE_WINDOW]
+                    if i + SAMPLE_WINDOW > len(words):
+                        w, e = np.append(w, np.int64(END)), np.append(e, -1)
+                    yield pa.record_batch(
+                        [pa.array([at]), pa.array([i]), pa.array([w.tolist()], pa.list_(pa.int64())), pa.array([e.tolist()], pa.list_(pa.int64()))],
+                        names=["at", "i", "words", "endings"],
+                    )
+
+    rows = texts.select("at", "text").mapInArrow(run, "at long, i long, words array<long>, endings array<long>").collect()
+    rows.sort(key=lambda r: (r["at"], r["i"]))
     return [np.array(r["words"], np.int64).view(np.uint64) for r in rows], [np.array(r["endings"], np.int64) for r in rows]
 
 
+def _round(texts: DataFrame, classes: Classes, net: Recurrent) -> int:
+    """``net`` goes on over ``texts`` in every task; the weights are averaged by tokens. Returns the tokens."""
+    names = sorted(net.p)
+    shared = texts.sparkSession.sparkContext.broadcast((classes, net))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        classes, start = shared.value
+        own, tokens = copy.deepcopy(start), 0
+        own._restart()
+        for batch in batches:
+            for both in _some(words_and_ends(batch.column(0).to_pylist())):
+                flat = np.concatenate([np.append(classes.of(w, e), 0) for w, e in both])
+                own.go_on(flat)
+                tokens += len(flat)
+        if tokens:
+            flat = np.concatenate([own.p[k].reshape(-1) for k in names]).astype(np.float64) * tokens
+            flat = np.append(flat, tokens)
+            yield pa.record_batch([pa.array(np.arange(len(flat))), pa.array(flat)], names=["place", "value"])
+
+    rows = texts.select("text").mapInArrow(run, "place long, value double").groupBy("place").agg(F.sum("value").alias("value")).toArrow()
+    shared.unpersist()
+    if not rows.num_rows:
+        return 0
+    value = rows["value"].to_numpy()[np.argsort(rows["place"].to_numpy())]
+    at = 0
+    for k in names:
+        size = net.p[k].size
+        net.p[k] = (value[at : at + size] / value[-1]).astype(np.float32).reshape(net.p[k].shape)
+        at += size
+    return int(value[-1])
+
+
 def train(rows: DataFrame, fit_tokens: int = FIT_TOKENS, head: int = HEAD, seed: int = 0) -> tuple[Model, DataFrame]:
     """The model and all counts; ``rows``: at, text of the training texts."""
     ship(rows.sparkSession)
@@ -278,10 +354,11 @@ def train(rows: DataFrame, fit_tokens: int = FIT_TOKENS, head: int = HEAD, seed:
     n, v = counts.agg(F.sum("count"), F.count("*")).first()
     n = n or 0
     words, endings = _sample(rows, min(1.0, fit_tokens / n)) if n else ([], [])
-    empty = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-    classes = choose_classes(np.concatenate(words or empty[0]), np.concatenate(endings or empty[1]))
+    classes = choose_classes(counts)
     net = Recurrent(classes.n, seed=seed)
-    net.fit([np.append(classes.of(w, e), 0) for w, e in zip(words, endings, strict=True)], seed=seed)
+    net.fit([np.where(e == -1, 0, classes.of(w, e)) for w, e in zip(words, endings, strict=True)], seed=seed)
+    part = F.pmod(F.xxhash64(F.col("at"), F.lit("language model round")), F.lit(ROUNDS))
+    fitted = sum(_round(rows.filter(part == i), classes, net) for i in range(ROUNDS)) if n else 0
 
     shared = rows.sparkSession.sparkContext.broadcast(classes)
 
@@ -302,7 +379,7 @@ def train(rows: DataFrame, fit_tokens: int = FIT_TOKENS, head: int = HEAD, seed:
     order = np.argsort(word)
     end = counts.filter(F.col("word") == END).select("count").first()
     model = Model(
-        classes, net, word[order], np.log10(count[order] + 1.0), float(np.log10((end[0] if end else 0) + 1.0)), np.log10(np.maximum(mass, 1)), int(n), int(v)
+        classes, net, word[order], np.log10(count[order] + 1.0), float(np.log10((end[0] if end else 0) + 1.0)), np.log10(np.maximum(mass, 1)), int(n), int(v), fitted
     )
     return model, counts
 

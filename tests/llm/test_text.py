@@ -127,6 +127,25 @@ def test_recurrent_lm(spark):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+def test_recurrent_lm_learns_from_all_training_texts(spark):
+    """Classes are those of the complete counts, and the network goes through every token, however small the first sample."""
+    texts = [" ".join(f"word{(i * j) % 150}" for j in range(1, 60)) for i in range(300)] + ["tail " * 30_000]
+    rows = spark.createDataFrame(list(enumerate(texts)), "at long, text string").repartition(3)
+    model, _ = recurrent_lm.train(rows, fit_tokens=2000)
+    count = Counter(int(h) for hashes in word_hashes(texts) for h in hashes)
+    low = sorted(count.values())[-recurrent_lm.WORD_CLASSES]
+    assert len(model.classes.words) == recurrent_lm.WORD_CLASSES
+    assert {h for h, c in count.items() if c > low} <= set(model.classes.words.tolist()) <= {h for h, c in count.items() if c >= low}
+    assert model.fitted == model.train_tokens == sum(count.values()) + len(texts)
+    words, _ = recurrent_lm._sample(rows, 0.2)
+    assert 0 < sum(map(len, words)) < 0.4 * model.train_tokens and max(map(len, words)) <= recurrent_lm.SAMPLE_WINDOW
+    start = recurrent_lm.Recurrent(model.classes.n)
+    hashes, ends = zip(*recurrent_lm.words_and_ends(texts), strict=True)
+    classes = [np.append(model.classes.of(w, e), 0) for w, e in zip(hashes, ends, strict=True)]
+    flat, lengths = np.concatenate(classes), np.array([len(c) for c in classes])
+    assert model.net.score(flat, lengths).sum() > start.score(flat, lengths).sum()
+
+
 def test_recurrent_lm_probabilities_sum_to_one():
     """Over all outcomes of the next token: classes, then counts within a class."""
     rng = np.random.default_rng(0)
