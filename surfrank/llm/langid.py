@@ -11,7 +11,7 @@ The classifier is fitted on a bounded sample: at most about ``per_lang``
 labelled rows of each language, picked by a hash of the id.  Four fifths of
 it train; on the last fifth a temperature is fitted, so that the score is a
 calibrated probability, and the rejection bound is set: the score that all
-but ``reject`` of those rows reach, 0.5 at most.
+but ``reject`` of those rows reach.
 
 Every text is scored whole, where it lies, without a shuffle.  For scoring
 embeddings and weights are multiplied beforehand into one row of numbers
@@ -165,7 +165,7 @@ def fit(features: list[tuple[np.ndarray, np.ndarray]], langs: list[str], steps:
         heat = np.geomspace(0.05, 5, 80)
         loss = [-np.log(softmax(logit / t)[np.arange(len(test)), y[test]] + 1e-12).mean() for t in heat]
         model.temperature = float(heat[int(np.argmin(loss))])
-        model.bound = float(min(0.5, np.quantile(softmax(logit / model.temperature).max(1), reject)))
+        model.bound = float(np.quantile(softmax(logit / model.temperature).max(1), reject))
     return model
 
 

@@ -78,6 +78,29 @@ def test_language_id_held_out_accuracy(spark):
     assert sum(r.rejected for r in rows) <= 0.02 * len(rows)
 
 
+def test_language_id_rejects_a_left_out_language():
+    """The bound is the held-back rows' own quantile, also above 0.5."""
+    rng = random.Random(4)
+    letters = ["abcdefgh", "ijklmnop", "qrstuvwx"]
+
+    def text(of):
+        return " ".join("".join(rng.choice(of) for _ in range(rng.randrange(3, 8))) for _ in range(40))
+
+    features, langs = [], []
+    for i in range(300):
+        count = np.zeros(langid.BUCKETS)
+        for _, bucket, _ in langid.subwords([text(letters[i % 2])]):
+            count += np.bincount(bucket, minlength=langid.BUCKETS)
+        used = np.flatnonzero(count)
+        features.append((used, count[used]))
+        langs.append("xy"[i % 2])
+    model = langid.fit(features, langs, steps=300)
+    assert model.bound > 0.5
+    known, left_out = [text(letters[i % 2]) for i in range(100)], [text(letters[2]) for _ in range(100)]
+    assert model.score(known)[2].mean() <= 0.05
+    assert model.score(left_out)[2].mean() >= 0.9
+
+
 def test_language_id_awkward(spark):
     docs = documents(spark, awkward())
     rows = langid.identify(docs).collect()
