@@ -207,6 +207,11 @@ def link(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id",
 
     ``class_id`` is the smallest doc_id with the same set of shingles.
     """
+    return _linked(docs, k, percent, id_col, text_col).drop("at", "root")
+
+
+def _linked(docs: DataFrame, k: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """``link`` with at, the hash of a row's id and text, and root, its component (null without shingles)."""
     ship(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(id_col, text_col).alias("at"), F.col(text_col).alias("text"))
     facts = cut(_facts(rows, k), batch=TEXTS_AT_ONCE)
@@ -233,7 +238,7 @@ def link(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id",
 
     classes = sets.select("set", "class_id").join(roots.withColumnRenamed("node", "set"), "set", "left").withColumn("root", F.coalesce("root", "set"))
     named = classes.groupBy("root").agg(F.min("class_id").alias("component_id"))
-    classes = classes.join(named, "root").select("set", "class_id", "component_id")
+    classes = classes.join(named, "root").select("set", "class_id", "component_id", "root")
     alone = F.col("n") == 0
     return facts.withColumn("_set", F.when(~alone, F.col("set"))).drop("set").join(
         classes.withColumnRenamed("set", "_set"), "_set", "left"
@@ -242,17 +247,23 @@ def link(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id",
         F.col("n").alias("n_shingles"),
         F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
         F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
+        "at",
+        "root",
     )
 
 
 def keep_one(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows of a component but the one with its smallest id; same columns.
+    """``docs`` without the rows of a component but its first; same columns.
 
-    Rows without shingles and without an id stay.
+    First is the smallest id (null last), of equal ids the smallest hash of
+    id and text; rows equal in both stay or go together.  Rows without
+    shingles stay.
     """
-    linked = link(docs, k, percent, id_col, text_col)
-    gone = linked.filter("doc_id != component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
+    linked = cut(_linked(docs, k, percent, id_col, text_col).filter("root is not null").select("doc_id", "at", "root"))
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "at")
+    firsts = linked.groupBy("root").agg(F.min(place).alias("first"))
+    gone = linked.join(firsts, "root").filter("at != first.at").select(F.col("at").alias("_gone")).distinct()
+    return docs.join(gone, F.xxhash64(id_col, text_col) == F.col("_gone"), "left_anti")
 
 
 def sketch(shingles: np.ndarray) -> bytes:

@@ -180,3 +180,17 @@ def test_jaccard_awkward_and_empty(spark):
     assert left.columns == docs.columns
     assert sorted(r.doc_id for r in left.collect() if r.doc_id is not None) == [1, 1, 2, 3, 4, 5, 6]
     assert jaccard_join.link(docs.limit(0)).count() == 0
+
+
+def test_keep_one_with_repeated_and_null_ids(spark):
+    """A row goes for its own text alone, and of near texts one stays whatever their ids."""
+    near = [" ".join(f"a{i}" for i in range(60)) + f" end{j}" for j in range(2)]
+    tied = [" ".join(f"b{i}" for i in range(60)) + f" end{j}" for j in range(2)]
+    unnamed = [" ".join(f"c{i}" for i in range(60)) + f" end{j}" for j in range(2)]
+    other = " ".join(f"d{i}" for i in range(60))
+    rows = [(1, near[0]), (2, near[1]), (2, other), (3, tied[0]), (3, tied[1]), (None, unnamed[0]), (None, unnamed[1])]
+    got = [(r.doc_id, r.text) for r in jaccard_join.keep_one(documents(spark, rows)).collect()]
+    assert (1, near[0]) in got and (2, near[1]) not in got and (2, other) in got
+    assert [i for i, t in got if t in tied] == [3]
+    assert [i for i, t in got if t in unnamed] == [None]
+    assert len(got) == 4
