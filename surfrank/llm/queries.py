@@ -8,7 +8,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bloom_sketch, bpe, chat, exact_dedup, jaccard_join, langid, line_dedup, mixing, recurrent_lm, sharding
+from . import (
+    bloom_sketch,
+    bpe,
+    chat,
+    divergence,
+    exact_dedup,
+    filter_audit,
+    jaccard_join,
+    langid,
+    line_dedup,
+    mixing,
+    recurrent_lm,
+    sharding,
+)
 from .common import read, scratch_path
 
 #: The rank file and split pattern of op8; any other may be given to ``bpe``.
@@ -74,6 +87,16 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_turns(turns.unionByName(added)))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = read(spark, sf_dir, "labels")
+    losses = {k: filter_audit.label_ids(labels, c) for k, c in (("good_lost", "quality = 1"), ("toxic_lost", "toxic = 1"))}
+    return filter_audit.audit(read(spark, sf_dir, "documents"), filter_audit.text_filters(F.col("text")), losses, repeats="E")
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -85,10 +108,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": op8_bpe,
     "op9_source_mix": op9_source_mix,
     "op10_chat_format": op10_chat_format,
+    "op11_filter_audit": op11_filter_audit,
+    "op13_source_divergence": op13_source_divergence,
 }
 
 ORACLES: dict[str, str] = {
     "op2_ngram_jaccard": jaccard_join.ORACLE_SQL,
     "op7_exact_dedup": exact_dedup.ORACLE_SQL,
     "op10_chat_format": chat.ORACLE_SQL,
+    "op11_filter_audit": filter_audit.ORACLE_SQL,
+    "op13_source_divergence": divergence.ORACLE_SQL,
 }
