@@ -15,6 +15,7 @@ from . import (
     divergence,
     exact_dedup,
     filter_audit,
+    html_text,
     jaccard_join,
     langid,
     line_dedup,
@@ -93,6 +94,10 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(read(spark, sf_dir, "documents"), filter_audit.text_filters(F.col("text")), losses, repeats="E")
 
 
+def op12_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(read(spark, sf_dir, "pages"))
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(read(spark, sf_dir, "documents"))
 
@@ -109,6 +114,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_source_mix": op9_source_mix,
     "op10_chat_format": op10_chat_format,
     "op11_filter_audit": op11_filter_audit,
+    "op12_html_text": op12_html_text,
     "op13_source_divergence": op13_source_divergence,
 }
 
