@@ -2,14 +2,17 @@
 
 Every filter has a relation of the rows that fail it (one written table per
 filter).  What a filter removes after others depends only on the set of those
-others, so for each set of filters the failures of the survivors are the union
-of all relations, left-anti joined with the relations of the set; label losses
-are the same rows left-semi joined with the labelled ids first.  2^n - 1 small
-counts per part (31 for five filters) then give every one of the n! orders.
+others.  So the union of all relations goes through one left-anti join per
+filter, in which each row goes on both without that filter and, if it survives
+it, with it: what arrives are the rows that survive each set of filters and fail
+another one.  Label losses are the same rows, left-semi joined with the labelled
+ids first.  Counts of these by set (2^n - 1 per part and measure, 31 for five
+filters) give every one of the n! orders.
 
 Work: one pass over the texts makes numbers and flags, written once with a row
-number.  Failing-id relations are narrow; each is exchanged by row number once
-and that exchange is read by all joins.  Rows of repeated texts are found by the
+number.  Failing-id relations are narrow, each is exchanged by row number once;
+the copies of a row, 2^(n - 1) at most, stay in their partition and are counted
+there.  Rows of repeated texts are found by the
 SHA-256 of the whole text: smallest id by digest (partial aggregation, so a large
 group of copies costs a row per task), joined back to the rows.  The report has
 parts * n! * n rows; the list of orders (120 for five) is a literal.
@@ -24,7 +27,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from functools import reduce
-from itertools import combinations, permutations
+from itertools import permutations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -72,18 +75,21 @@ def removals(tables: Mapping[str, DataFrame], labels: Mapping[str, DataFrame]) -
 
     ``prefix`` is a set of filters, written in ascending order.
     """
-    names = sorted(tables)
     failed = reduce(DataFrame.unionByName, [t.withColumn("filter", F.lit(k)) for k, t in tables.items()])
     losses = [failed.join(ids.select("id"), "id", "left_semi").withColumn("measure", F.lit(k)) for k, ids in labels.items()]
-    measured = reduce(DataFrame.unionByName, losses, failed.withColumn("measure", F.lit(REMOVED))).select(
-        "row", "part", "filter", "measure"
+    # one written relation: the optimizer would push each anti join below each part of the union
+    measured = cut(
+        reduce(DataFrame.unionByName, losses, failed.withColumn("measure", F.lit(REMOVED))).select("row", "part", "filter", "measure"),
+        "measured",
     )
-    counts = []
-    for size in range(len(names)):
-        for prefix in combinations(names, size):
-            left = reduce(lambda df, k: df.join(tables[k].select("row"), "row", "left_anti"), prefix, measured)
-            counts.append(left.groupBy("part", "filter", "measure").count().withColumn("prefix", F.lit("".join(prefix))))
-    of = cut(reduce(DataFrame.unionByName, counts), "removals")
+    left = measured.withColumn("prefix", F.lit(""))
+    for k in sorted(tables):  # each row goes on without the filter, and with it if it survives
+        tried = left.withColumn("applied", F.explode(F.array(F.lit(False), F.lit(True))))
+        gone = tables[k].select(F.col("row").alias("gone"))
+        left = tried.join(gone, (F.col("row") == F.col("gone")) & F.col("applied"), "left_anti").select(
+            "row", "part", "filter", "measure", F.when(F.col("applied"), F.concat("prefix", F.lit(k))).otherwise(F.col("prefix")).alias("prefix")
+        )
+    of = cut(left.groupBy("prefix", "part", "filter", "measure").count(), "removals")
     sums = [F.coalesce(F.sum(F.when(F.col("measure") == k, F.col("count"))), F.lit(0)).alias(k) for k in (REMOVED, *labels)]
     return of.groupBy("prefix", "part", "filter").agg(*sums)
 
