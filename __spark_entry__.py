@@ -12,18 +12,20 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 import surfrank as sr
+from surfrank.functions.values import local_rows
 from surfrank.session import checkpoint_dir
 from surfrank.sources import tables
 
 try:
     import corpus_pipeline
     from surfrank.llm import queries as corpus
-except ModuleNotFoundError as e:  # the corpus operators are an optional part
-    if e.name not in ("corpus_pipeline", "surfrank.llm"):
+except ModuleNotFoundError as e:  # the corpus operators are an optional part, and so is what they import
+    if (e.name or "").split(".")[0] == "surfrank" and not e.name.startswith("surfrank.llm"):
         raise
     corpus = corpus_pipeline = None
 
@@ -316,6 +318,86 @@ def q_ranks_file_order(spark, sf):
     return numbered.select("id", (F.col("ahead") + F.col("place")).cast("long").alias("position"))
 
 
+def q_ranks_single_file(spark, sf):
+    """Lines of the one ordered rank file, numbered as they stand in it."""
+    path = _scratch(spark, "single")
+    sr.write_ranks(sr.rank(GRAPHS["part_supp"](spark, sf), preset="script").ranks, path, ordered=True, single_file=True)
+    lines = spark.read.text(f"{path}/part-00000").select(
+        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), F.split("value", "\t")[0].alias("id")
+    )
+    sizes = lines.groupBy("block").count()
+    ahead = F.coalesce(F.sum("count").over(Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    place = F.row_number().over(Window.partitionBy("block").orderBy("at"))
+    numbered = lines.withColumn("place", place).join(sizes.select("block", ahead.alias("ahead")), "block")
+    return numbered.select("id", (F.col("ahead") + F.col("place")).cast("long").alias("position"))
+
+
+def q_rank_from_matrix(spark, sf):
+    """Saved layout (buckets, hubs, scalars), loaded and ranked."""
+    path = _scratch(spark, "layout")
+    matrix = sr.LinkMatrix.build(GRAPHS["type_user"](spark, sf), hot_min_rows=1, max_hot=64)
+    matrix.save(path)
+    matrix.unpersist()
+    loaded = sr.LinkMatrix.load(spark, path)
+    res = sr.rank(matrix=loaded, preset="script")
+    loaded.unpersist()
+    return _ranks(res)
+
+
+def q_rank_from_weights(spark, sf):
+    """A saved relation (src, dst, w) ranked without its edges."""
+    path = _scratch(spark, "weights")
+    sr.transition_matrix(GRAPHS["part_supp"](spark, sf)).write.parquet(path)
+    return _ranks(sr.rank(matrix=sr.read_matrix(spark, path), preset="cluster"))
+
+
+def q_rank_reproducible(spark, sf):
+    return _ranks(sr.rank(GRAPHS["part_supp"](spark, sf), preset="script", reproducible=True, num_partitions=5))
+
+
+def q_rank_step_prepared(spark, sf):
+    """Ten single steps over one prepared matrix."""
+    matrix = sr.LinkMatrix.build(GRAPHS["cust_part"](spark, sf))
+    vec = sr.initial_vector(sr.vertices(GRAPHS["cust_part"](spark, sf)), matrix.n)
+    for _ in range(10):
+        vec = sr.rank_step(matrix, vec, TELEPORT)
+    matrix.unpersist()
+    return vec.select("id", _r("rank"))
+
+
+def _stopped_and_resumed(spark, sf):
+    """A run that its cap ends after four steps, and one that goes on from its folder."""
+    edges, path = GRAPHS["part_supp"](spark, sf), _scratch(spark, "progress")
+    sr.rank(edges, preset="script", max_iter=4, progress=path)
+    return sr.rank(edges, preset="script", progress=path, resume=True)
+
+
+def q_rank_progress_ranks(spark, sf):
+    return _ranks(_stopped_and_resumed(spark, sf))
+
+
+def q_rank_progress_history(spark, sf):
+    return _stopped_and_resumed(spark, sf).history.select("iteration", _r("vector_sum"), _r("l1_delta"))
+
+
+def q_edges_read_report(spark, sf):
+    """What one scan of an edge file with comments, blank and malformed lines counts."""
+    key, path = F.col("l_partkey"), _scratch(spark, "report")
+    edge = F.concat(key.cast("string"), F.lit("\t"), F.col("l_suppkey").cast("string"))
+    line = (
+        F.when(key % 5 == 0, key.cast("string"))
+        .when(key % 5 == 1, F.lit(""))
+        .when(key % 5 == 2, F.concat(F.lit("#"), edge))
+        .otherwise(edge)
+    )
+    tables.table(spark, sf, "lineitem").select(line.alias("value")).write.text(path)
+    report = Observation()
+    sr.read_edges(spark, path, on_malformed="drop", report=report).write.format("noop").mode("overwrite").save()
+    counts = report.get
+    schema = T.StructType([T.StructField("kind", T.StringType()), T.StructField("n", T.LongType())])
+    return local_rows(spark, sorted(counts.items()), schema)
+
+
 _QUERIES = {
     "vertices": q_vertices,
     "vertex_count": q_vertex_count,
@@ -357,6 +439,14 @@ _QUERIES = {
     "rank_resumed": q_rank_resumed,
     "saved_matrix": q_saved_matrix,
     "ranks_file_order": q_ranks_file_order,
+    "ranks_single_file": q_ranks_single_file,
+    "rank_from_matrix": q_rank_from_matrix,
+    "rank_from_weights": q_rank_from_weights,
+    "rank_reproducible": q_rank_reproducible,
+    "rank_step_prepared": q_rank_step_prepared,
+    "rank_progress_ranks": q_rank_progress_ranks,
+    "rank_progress_history": q_rank_progress_history,
+    "edges_read_report": q_edges_read_report,
 }
 
 
@@ -408,6 +498,16 @@ def _preset_walk(graph: str, preset: str) -> str:
     return _walk(graph, p["teleport"], p["epsilon"], p["max_iter"] or NO_CAP, p["compare_first"], _LAST)
 
 
+_HISTORY = _walk(
+    "part_supp",
+    0.2,
+    1e-4,
+    300,
+    False,
+    "select distinct k::integer as iteration, round(ys, 10) as vector_sum, "
+    "round(delta, 10) as l1_delta from walk where k >= 1",
+)
+
 _INDEX = "ix as (select id, row_number() over (order by id) - 1 as idx from (select src as id from e union select dst from e))"
 
 _BLOCK_PARAMS = f"bp as (select count(*) as n, count(*) // {BLOCKS} as q, count(*) % {BLOCKS} as r from ix)"
@@ -504,14 +604,21 @@ def _oracles() -> dict[str, str]:
         "rank_broadcast": _preset_walk("raw_part_supp", "cluster"),
         "rank_hubs": _preset_walk("type_user", "script"),
         "rank_encoded": _preset_walk("cust_part", "script"),
-        "rank_history": _walk(
-            "part_supp",
-            0.2,
-            1e-4,
-            300,
-            False,
-            "select distinct k::integer as iteration, round(ys, 10) as vector_sum, "
-            "round(delta, 10) as l1_delta from walk where k >= 1",
+        "rank_history": _HISTORY,
+        "rank_progress_history": _HISTORY,
+        "rank_progress_ranks": _preset_walk("part_supp", "script"),
+        "rank_from_matrix": _preset_walk("type_user", "script"),
+        "rank_from_weights": _preset_walk("part_supp", "cluster"),
+        "rank_reproducible": _preset_walk("part_supp", "script"),
+        "rank_step_prepared": _walk("cust_part", TELEPORT, 0.0, 10, False, _LAST),
+        "ranks_single_file": (
+            f"with e as ({GRAPH_SQL['part_supp']}) select id, row_number() over (order by id) as position "
+            "from (select src as id from e union select dst from e)"
+        ),
+        "edges_read_report": (
+            "with l as (select case l_partkey % 5 when 0 then 'malformed' when 1 then 'blanks' when 2 then 'comments' "
+            "else 'edges' end as kind from lineitem) "
+            "select kind, count(*) as n from l group by kind union all select 'lines', count(*) from l"
         ),
         "event_flow_edges": GRAPH_SQL["event_flow"],
         "read_write_roundtrip": GRAPH_SQL["page_links"],

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.blocks import block_of, index_of, offset_in_block
-from ..functions.skew import split_join
+from ..functions.skew import salted_join
 from .graph import degree_hot_keys
 
 
@@ -27,13 +27,13 @@ def index_matrix(matrix: DataFrame, index: DataFrame) -> DataFrame:
     """Matrix with dense ids: ``(src_idx, dst_idx, w)``; keys of ``index`` are unique."""
     src_counts = matrix.groupBy("src").agg(F.count(F.lit(1)).alias("_n"))
     dst_counts = matrix.groupBy("dst").agg(F.count(F.lit(1)).alias("_n"))
-    by_src = split_join(
-        matrix,
+    by_src = salted_join(
+        matrix.select("src", "dst", "w"),
         index.select(F.col("id").alias("src"), F.col("idx").alias("src_idx")),
         "src",
         degree_hot_keys(src_counts, "src", "_n"),
     )
-    both = split_join(
+    both = salted_join(
         by_src,
         index.select(F.col("id").alias("dst"), F.col("idx").alias("dst_idx")),
         "dst",

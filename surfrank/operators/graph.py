@@ -11,8 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.skew import DEFAULT_MAX_HOT, hot_keys, hot_threshold, split_join
-from ..functions.values import local_rows
+from ..functions.skew import DEFAULT_MAX_HOT, hot_pieces, salted_join
 from ..session import checkpoint_dir, shuffle_partitions, tracked
 
 
@@ -92,28 +91,15 @@ def out_degree(edges: DataFrame) -> DataFrame:
     return edges.groupBy("src").agg(F.count(F.lit(1)).cast("long").alias("out_degree"))
 
 
-def degree_hot_keys(
-    counts: DataFrame, key: str, count_col: str, max_hot: int | None = None, min_rows: int = 1
-) -> DataFrame | None:
-    """Hot keys of a count table, or ``None`` when there is none.
+def degree_hot_keys(counts: DataFrame, key: str, count_col: str, max_hot: int | None = None) -> DataFrame:
+    """Hot keys of a count table and their pieces, as a relation of the caller's plan (``hot_pieces``).
 
     ``max_hot`` defaults to twice the session's shuffle partitions (1024 at
     least), so a key below the bar holds at most half an average partition.
-
-    One scalar action reads the total and the largest count; only if some
-    key reaches the threshold are the keys collected, and at most
-    ``max_hot`` keys can reach it, so the collect and the small DataFrame
-    built from it are bounded.
     """
     if max_hot is None:
         max_hot = max(DEFAULT_MAX_HOT, 2 * shuffle_partitions(counts.sparkSession))
-    row = counts.agg(F.sum(count_col).alias("total"), F.max(count_col).alias("top")).collect()[0]
-    threshold = hot_threshold(int(row["total"] or 0), max_hot, min_rows)
-    if (row["top"] or 0) < threshold:
-        return None
-    hot = hot_keys(counts, key, count_col, threshold)
-    keys = [(r[0],) for r in hot.collect()]
-    return local_rows(counts.sparkSession, keys, hot.schema)
+    return hot_pieces(counts, key, count_col, max_hot)
 
 
 def with_out_degree(edges: DataFrame, max_hot: int | None = None) -> DataFrame:
@@ -121,11 +107,11 @@ def with_out_degree(edges: DataFrame, max_hot: int | None = None) -> DataFrame:
 
     The value of a whole-partition ``count(*) over (partition by src)``,
     computed as A1 plus a join so that a hub's rows are not one window
-    group; hub sources join a broadcast copy of their degree.
+    group; the rows of a hub source are joined in pieces.
     """
     deg = out_degree(edges)
     hot = degree_hot_keys(deg, "src", "out_degree", max_hot)
-    return split_join(edges, deg, "src", hot).select("src", "dst", "out_degree")
+    return salted_join(edges.select("src", "dst"), deg, "src", hot).select("src", "dst", "out_degree")
 
 
 def index_edges(edges: DataFrame, index: DataFrame, max_hot: int | None = None) -> DataFrame:
@@ -133,10 +119,10 @@ def index_edges(edges: DataFrame, index: DataFrame, max_hot: int | None = None)
     src_hot = degree_hot_keys(out_degree(edges), "src", "out_degree", max_hot)
     in_deg = edges.groupBy("dst").agg(F.count(F.lit(1)).alias("in_degree"))
     dst_hot = degree_hot_keys(in_deg, "dst", "in_degree", max_hot)
-    by_src = split_join(
-        edges, index.select(F.col("id").alias("src"), F.col("idx").alias("src_idx")), "src", src_hot
+    by_src = salted_join(
+        edges.select("src", "dst"), index.select(F.col("id").alias("src"), F.col("idx").alias("src_idx")), "src", src_hot
     )
-    both = split_join(
+    both = salted_join(
         by_src, index.select(F.col("id").alias("dst"), F.col("idx").alias("dst_idx")), "dst", dst_hot
     )
     return both.select("src_idx", "dst_idx")

@@ -14,10 +14,12 @@ over all vertices, so every ``v'`` sums to 1.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..functions.skew import split_join
+from ..functions.exact import exact_sum
+from ..functions.skew import salted_join, split_join
+from ..plans.layout import LinkMatrix
 from ..session import checkpoint_dir, tracked
 from ..sources.edges import complete_edges
 from .graph import degree_hot_keys, with_out_degree
@@ -29,7 +31,7 @@ def transition_matrix(edges: DataFrame, collapse: bool = True, max_hot: int | No
     ``collapse=False`` gives one entry per edge row, ``w = 1/out_degree``.
     ``collapse=True`` merges equal coordinates: ``w = copies/out_degree``,
     the same matrix with fewer rows.  Partial aggregation does most of the
-    merging before any shuffle; hub sources join their degree by broadcast.
+    merging before any shuffle; hub sources join their degree in pieces.
     """
     edges = complete_edges(edges)
     if not collapse:
@@ -39,7 +41,7 @@ def transition_matrix(edges: DataFrame, collapse: bool = True, max_hot: int | No
     pairs = edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("copies"))
     deg = pairs.groupBy("src").agg(F.sum("copies").alias("out_degree"))
     hot = degree_hot_keys(deg, "src", "out_degree", max_hot)
-    return split_join(pairs, deg, "src", hot).select(
+    return salted_join(pairs, deg, "src", hot).select(
         "src", "dst", (F.col("copies") / F.col("out_degree")).cast("double").alias("w")
     )
 
@@ -53,24 +55,32 @@ def initial_vector(verts: DataFrame, n: int | None = None) -> DataFrame:
     return verts.select("id", F.lit(1.0 / n).alias("rank"))
 
 
-def multiply(matrix: DataFrame, vec: DataFrame, value: str = "rank", hot: DataFrame | str | None = "auto") -> DataFrame:
+def multiply(
+    matrix: DataFrame | LinkMatrix, vec: DataFrame, value: str = "rank", hot: DataFrame | str | None = "auto"
+) -> DataFrame:
     """``y = M v`` as ``(id, y)``, one row per id of ``vec``.
 
     Each matrix entry meets its source's vector entry (equi-join on the
     source), the products are summed per target (partial sums before the
     shuffle), and the vector's own ids are added with 0 so that a vertex
-    without in-links still gets its row.  ``hot``: bounded set of hub
-    sources whose entries join a broadcast copy of their vector entries;
-    ``"auto"`` finds them from the matrix (one scalar action), ``None``
-    turns the split off.
+    without in-links still gets its row.
+
+    A ``LinkMatrix`` is the prepared form for repeated products: counts, hubs and
+    layout were made once.  For a relation, ``hot`` says how hub sources are
+    spread: ``"auto"`` finds them in the same plan from the matrix (``salted_join``),
+    a DataFrame gives them (their entries join a broadcast copy of their vector
+    entries), ``None`` turns the split off.
     """
-    if isinstance(hot, str):
-        entries = matrix.groupBy("src").agg(F.count(F.lit(1)).alias("_entries"))
-        hot = degree_hot_keys(entries, "src", "_entries", min_rows=10_000)
+    if isinstance(matrix, LinkMatrix):
+        return matrix.multiply(vec, value)
+    entries = matrix.select("src", "dst", "w")
     src_vals = vec.select(F.col("id").alias("src"), F.col(value).alias("_x"))
-    contrib = split_join(matrix.select("src", "dst", "w"), src_vals, "src", hot).select(
-        F.col("dst").alias("id"), (F.col("w") * F.col("_x")).alias("_c")
-    )
+    if isinstance(hot, str):
+        counts = entries.groupBy("src").agg(F.count(F.lit(1)).alias("_entries"))
+        met = salted_join(entries, src_vals, "src", degree_hot_keys(counts, "src", "_entries"))
+    else:
+        met = split_join(entries, src_vals, "src", hot)
+    contrib = met.select(F.col("dst").alias("id"), (F.col("w") * F.col("_x")).alias("_c"))
     base = vec.select("id", F.lit(0.0).alias("_c"))
     return contrib.unionByName(base).groupBy("id").agg(F.sum("_c").alias("y"))
 
@@ -81,8 +91,8 @@ def damp(vec: DataFrame, teleport: float, value: str = "y") -> DataFrame:
 
 
 def vector_sum(vec: DataFrame, value: str = "y") -> DataFrame:
-    """Sum of a vector as a one-row DataFrame ``(vector_sum)`` (A5)."""
-    return vec.agg(F.sum(value).alias("vector_sum"))
+    """Sum of a vector as a one-row DataFrame ``(vector_sum)`` (A5), the same bits for any partitioning."""
+    return vec.agg(exact_sum(F.col(value)).alias("vector_sum"))
 
 
 def redistribute(vec: DataFrame, n: int, total: float, value: str = "y", out: str = "rank") -> DataFrame:
@@ -108,23 +118,32 @@ def abs_difference(a: DataFrame, b: DataFrame, value: str = "rank") -> DataFrame
 
 
 def l1_distance(a: DataFrame, b: DataFrame, value: str = "rank") -> DataFrame:
-    """Sum of absolute differences as a one-row DataFrame ``(l1)``."""
-    return abs_difference(a, b, value).agg(F.sum("abs_diff").alias("l1"))
+    """Sum of absolute differences as a one-row DataFrame ``(l1)`` (A6), the same bits for any partitioning."""
+    return abs_difference(a, b, value).agg(exact_sum(F.col("abs_diff")).alias("l1"))
 
 
 def rank_step(
-    matrix: DataFrame, vec: DataFrame, teleport: float, n: int, hot: DataFrame | str | None = "auto"
+    matrix: DataFrame | LinkMatrix,
+    vec: DataFrame,
+    teleport: float,
+    n: int | None = None,
+    hot: DataFrame | str | None = "auto",
 ) -> DataFrame:
     """One full step: multiply, damp, redistribute (V7).  Returns ``(id, rank)``.
 
-    Runs one scalar action (the sum of the damped vector).  The damped vector
-    is a lazy reliable checkpoint, so that action computes the multiply once
-    and the returned vector reads the written result instead of redoing it.
+    ``n`` is the number of vertices; a ``LinkMatrix`` knows it.  Runs one job:
+    it writes the damped vector as a reliable checkpoint and observes its sum, and
+    the returned vector reads the written result.
     """
-    checkpoint_dir(matrix.sparkSession)
-    y = tracked(damp(multiply(matrix, vec, "rank", hot), teleport, "y").checkpoint(eager=False))
-    total = y.agg(F.sum("y")).collect()[0][0] or 0.0
-    return redistribute(y, n, float(total), "y", "rank")
+    if n is None:
+        if not isinstance(matrix, LinkMatrix):
+            raise ValueError("a step over a plain matrix needs the number of vertices")
+        n = matrix.n
+    checkpoint_dir(vec.sparkSession)
+    told = Observation()
+    damped = damp(multiply(matrix, vec, "rank", hot), teleport, "y")
+    y = tracked(damped.observe(told, exact_sum(F.col("y")).alias("total")).checkpoint(eager=True))
+    return redistribute(y, n, float(told.get["total"] or 0.0), "y", "rank")
 
 
 __all__ = [

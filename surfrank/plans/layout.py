@@ -13,6 +13,16 @@
   vector with the hub table), so no task receives a hub's whole row set;
 * scalars: vertex and sink counts, edge rows, matrix entries.
 
+All of it lives in a session of its own (``session``), whose settings fit the
+loop; the caller's session keeps its settings.  The layout is also the handle of
+repeated products: ``multiply`` and ``rank_step`` take it in place of a matrix and
+then neither count nor lay out anything again.
+
+``save`` writes the layout: entries bucketed and sorted by ``src``, vertices
+bucketed by ``id``, hub tables, and last a manifest with the scalars.  ``load``
+reads it back; bucketed scans report the partitioning the steps need, so nothing
+is shuffled.  ``from_matrix`` lays out a plain relation ``(src, dst, w)``.
+
 Strategy ``broadcast`` ships the whole vector to every task instead.  It
 is used only when asked for, and only while the estimated vector size is
 within the session's broadcast threshold
@@ -21,24 +31,62 @@ within the session's broadcast threshold
 
 from __future__ import annotations
 
+import json
 import math
 import uuid
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.skew import hot_threshold, split_join
-from ..session import broadcast_budget, drop_checkpoint, scoped_conf
+from ..session import broadcast_budget, checkpoint_dir, child_session, drop_checkpoint, handed, scoped_conf
+from ..sources import files
 from ..sources.edges import complete_edges
 
 STRATEGIES = ("partitioned", "broadcast")
 # estimated bytes per broadcast vector row besides the id: rank double + row overhead
 _ROW_OVERHEAD = 8 + 24
-# matrix entries per partition of the loop, where no number of partitions is given
-ROWS_PER_PARTITION = 131_072
+# matrix entries per partition of the loop, where no number of partitions is given:
+# at most so many (about 50 MB), and as few as this while there are idle cores
+ROWS_PER_PARTITION = 2_097_152
+FEW_ROWS = 32_768
+# how far the weights of a source may be from 1 by rounding
+WEIGHT_TOLERANCE = 1e-9
+MANIFEST = "matrix.json"
+
+
+def _partitions(entries: int, rows_per_partition: int, cores: int) -> int:
+    """Partitions for ``entries``: one per ``rows_per_partition``, or one per core while each gets ``FEW_ROWS``."""
+    return max(1, math.ceil(entries / rows_per_partition), min(cores, math.ceil(entries / FEW_ROWS)))
+
+
+# the parts of a saved layout that are bucketed, and by what
+BUCKETED = {"cold": "src", "vertices": "id"}
+
+
+def _name(part: str) -> str:
+    return f"surfrank_{part}_{uuid.uuid4().hex}"
+
+
+def _fitted(session: SparkSession, parts: int) -> SparkSession:
+    """The layout's own session with the settings of the loop.
+
+    AQE would merge the partitions of a step's shuffle and so bring a second
+    shuffle; buckets must be read as partitions, in the order they were sorted in.
+    """
+    settings = {
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.sources.bucketing.enabled": "true",
+        "spark.sql.sources.bucketing.autoBucketedScan.enabled": "false",
+        "spark.sql.legacy.bucketedTableScan.outputOrdering": "true",
+    }
+    for key, value in settings.items():
+        session.conf.set(key, value)
+    return session
 
 
 def _encode(pairs: DataFrame, verts: DataFrame, threshold: int):
@@ -72,7 +120,6 @@ def _encode(pairs: DataFrame, verts: DataFrame, threshold: int):
         StorageLevel.MEMORY_AND_DISK
     )
     encoded.count()  # fill the cache before the text-keyed pairs are dropped
-    pairs.unpersist()
     verts.unpersist()
     return encoded, new_verts, numbered, fixed
 
@@ -91,12 +138,15 @@ class LinkMatrix:
     n_hubs: int
     n: int
     n_sinks: int
-    edge_rows: int
+    edge_rows: int | None  # None where the matrix was given
     entries: int
     num_partitions: int
     strategy: str
     id_type: T.DataType
+    session: SparkSession
+    owner: SparkSession | None = None  # the session it was made from; results go there
     dictionary: DataFrame | None = None
+    _tables: list = field(default_factory=list, repr=False)
     _cached: list = field(default_factory=list, repr=False)
     _views: dict = field(default_factory=dict, repr=False)
 
@@ -117,9 +167,44 @@ class LinkMatrix:
         fails the build."""
         if strategy not in STRATEGIES:
             raise ValueError(f"strategy must be one of {STRATEGIES}")
+        # duplicates merged before anything else; partial aggregation per task
+        pairs = complete_edges(edges.select("src", "dst")).groupBy("src", "dst").agg(F.count(F.lit(1)).alias("copies"))
+        return cls._laid_out(
+            edges.sparkSession, pairs, False, num_partitions, strategy, max_hot, hot_min_rows, rows_per_partition, encode_ids
+        )
+
+    @classmethod
+    def from_matrix(
+        cls,
+        matrix: DataFrame,
+        num_partitions: int | None = None,
+        strategy: str = "partitioned",
+        max_hot: int | None = None,
+        hot_min_rows: int = 10_000,
+        rows_per_partition: int = ROWS_PER_PARTITION,
+        encode_ids: bool = False,
+    ) -> "LinkMatrix":
+        """Lay out a transition matrix ``(src, dst, w)``, for example of ``read_matrix``.
+
+        The vertices are the ids at either end.  Entries of equal coordinates are
+        added up; weights must not be negative or null, and those of a source must sum to 1.
+        """
+        if strategy not in STRATEGIES:
+            raise ValueError(f"strategy must be one of {STRATEGIES}")
+        weight = F.when((F.col("w") >= 0) & ~F.isnan("w"), F.col("w")).otherwise(F.raise_error(F.lit("a weight is negative or missing")))
+        rows = complete_edges(matrix.select("src", "dst", F.col("w").cast("double").alias("w")))
+        pairs = rows.withColumn("w", weight.cast("double")).groupBy("src", "dst").agg(F.sum("w").alias("copies"))
+        return cls._laid_out(
+            matrix.sparkSession, pairs, True, num_partitions, strategy, max_hot, hot_min_rows, rows_per_partition, encode_ids
+        )
+
+    @classmethod
+    def _laid_out(cls, owner: SparkSession, pairs: DataFrame, *options) -> "LinkMatrix":
         held: list[DataFrame] = []
         try:
-            return cls._build(edges, num_partitions, strategy, max_hot, hot_min_rows, rows_per_partition, encode_ids, held)
+            lm = cls._build(pairs, *options, held)
+            lm.owner = owner
+            return lm
         except BaseException:
             for df in held:
                 df.unpersist()
@@ -127,20 +212,19 @@ class LinkMatrix:
 
     @classmethod
     def _build(
-        cls, edges, num_partitions, strategy, max_hot, hot_min_rows, rows_per_partition, encode_ids, held
+        cls, pairs, weighted, num_partitions, strategy, max_hot, hot_min_rows, rows_per_partition, encode_ids, held
     ) -> "LinkMatrix":
-        spark = edges.sparkSession
-        edges = complete_edges(edges.select("src", "dst"))
-        id_type = edges.schema["src"].dataType
-
-        # duplicates merged before anything else; partial aggregation per task
-        pairs = edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("copies"))
-        pairs = pairs.persist(StorageLevel.MEMORY_AND_DISK)
-        held.append(pairs)
+        id_type = pairs.schema["src"].dataType
+        source = pairs.persist(StorageLevel.MEMORY_AND_DISK)
+        held.append(source)
+        source.count()  # the edges are read here, once, under the caller's settings and observations
+        spark = child_session(pairs.sparkSession)
+        pairs = handed(source, spark)
         one, zero = F.lit(1).cast("long"), F.lit(0).cast("long")
+        none = F.lit(0).cast(pairs.schema["copies"].dataType)
         tagged = pairs.select(
             F.col("src").alias("id"), F.col("copies").alias("o"), one.alias("e"), zero.alias("i")
-        ).union(pairs.select(F.col("dst").alias("id"), zero, zero, one))
+        ).union(pairs.select(F.col("dst").alias("id"), none, zero, one))
         verts = (
             tagged.groupBy("id")
             .agg(F.sum("o").alias("out_degree"), F.sum("e").alias("entries"), F.sum("i").alias("in_entries"))
@@ -154,7 +238,8 @@ class LinkMatrix:
         )
         row = verts.agg(
             F.count(F.lit(1)).alias("n"),
-            F.sum(F.when(F.col("out_degree") == 0, 1).otherwise(0)).alias("sinks"),
+            F.sum(F.when(F.col("entries") == 0, 1).otherwise(0)).alias("sinks"),
+            F.max(F.when(F.col("entries") > 0, F.abs(F.col("out_degree") - 1))).alias("off"),
             F.sum("out_degree").alias("edge_rows"),
             F.sum("entries").alias("entries"),
             F.max("entries").alias("max_entries"),
@@ -163,7 +248,9 @@ class LinkMatrix:
         ).collect()[0]
         n = int(row["n"])
         entries = int(row["entries"] or 0)
-        parts = int(num_partitions or max(1, math.ceil(entries / rows_per_partition)))
+        if weighted and float(row["off"] or 0.0) > WEIGHT_TOLERANCE:
+            raise ValueError(f"the weights of a source differ from a sum of 1 by {row['off']!r}")
+        parts = int(num_partitions or _partitions(entries, rows_per_partition, spark.sparkContext.defaultParallelism))
         if max_hot is None:
             max_hot = max(1024, 2 * parts)
         threshold = hot_threshold(entries, max_hot, hot_min_rows)
@@ -179,6 +266,8 @@ class LinkMatrix:
         cached_extra = []
         if encode_ids and n:
             pairs, verts, dictionary, fixed = _encode(pairs, verts, threshold)
+            source.unpersist()
+            source = pairs
             held += [pairs, verts, dictionary]
             cached_extra = [dictionary, fixed]
 
@@ -221,7 +310,7 @@ class LinkMatrix:
         with scoped_conf(spark, {"spark.sql.adaptive.enabled": "false"}):
             cold = _written(cold)
             hot = _written(hot) if hot is not None else None
-        pairs.unpersist()
+        source.unpersist()
         cached = [verts, cold] + ([hot, hubs] if hot is not None else []) + cached_extra
         return cls(
             vertices=verts,
@@ -231,15 +320,87 @@ class LinkMatrix:
             n_hubs=n_hubs,
             n=n,
             n_sinks=int(row["sinks"] or 0),
-            edge_rows=int(row["edge_rows"] or 0),
+            edge_rows=None if weighted else int(row["edge_rows"] or 0),
             entries=entries,
             num_partitions=parts,
             strategy=strategy,
             id_type=id_type,
+            session=_fitted(spark, parts),
             dictionary=dictionary,
             _cached=cached,
         )
 
+    def save(self, path: str) -> None:
+        """Write the layout below ``path``, which ``load`` reads; a layout there is replaced.
+
+        The manifest goes first and comes last, so a folder with one is whole.
+        """
+        spark, parts = self.session, self.num_partitions
+        files.remove(spark, f"{path}/{MANIFEST}")
+        kept = {"cold": self.cold, "vertices": self.vertices.select("id", "out_degree", "entries")}
+        for name, key in BUCKETED.items():
+            # entries lie by source already; vertices take one exchange
+            df = kept[name] if name == "cold" else kept[name].repartition(parts, key)
+            table = _name(name)
+            files.remove(spark, f"{path}/{name}")
+            writer = df.write.format("parquet").bucketBy(parts, key).sortBy(key)
+            writer.option("path", f"{path}/{name}").saveAsTable(table)
+            spark.sql(f"drop table {table}")
+        plain = {"hot": self.hot, "hubs": self.hubs, "dictionary": self.dictionary}
+        for name, df in plain.items():
+            if df is not None:
+                df.write.mode("overwrite").parquet(f"{path}/{name}")
+        facts = {k: getattr(self, k) for k in ("n", "n_sinks", "n_hubs", "edge_rows", "entries", "num_partitions", "strategy")}
+        facts["id_type"] = self.id_type.simpleString()
+        facts["columns"] = {k: [[f.name, f.dataType.simpleString()] for f in kept[k].schema.fields] for k in BUCKETED}
+        facts["tables"] = [k for k, df in plain.items() if df is not None]
+        files.write_text(spark, f"{path}/{MANIFEST}", json.dumps(facts))
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str, strategy: str | None = None) -> "LinkMatrix":
+        """A layout that ``save`` wrote.  Nothing is shuffled or computed: buckets are the loop's partitions."""
+        if not files.exists(spark, f"{path}/{MANIFEST}"):
+            raise ValueError(f"{path} holds no whole matrix: {MANIFEST} is missing")
+        checkpoint_dir(spark)
+        facts = json.loads(files.read_text(spark, f"{path}/{MANIFEST}"))
+        work = _fitted(child_session(spark), facts["num_partitions"])
+        tables, bucketed = [], {}
+        for name, key in BUCKETED.items():
+            tables.append(_name(name))
+            columns = ", ".join(f"`{c}` {t}" for c, t in facts["columns"][name])
+            place = f"{path}/{name}".replace("\\", "\\\\").replace("'", "\\'")
+            work.sql(
+                f"create table {tables[-1]} ({columns}) using parquet clustered by (`{key}`) sorted by (`{key}`) "
+                f"into {facts['num_partitions']} buckets location '{place}'"
+            )
+            bucketed[name] = work.table(tables[-1]).persist(StorageLevel.MEMORY_AND_DISK)
+        plain = {k: work.read.parquet(f"{path}/{k}").persist(StorageLevel.MEMORY_AND_DISK) for k in facts["tables"]}
+        id_type = T._parse_datatype_string(facts["id_type"])
+        scalars = ("n", "n_sinks", "n_hubs", "edge_rows", "entries", "num_partitions")
+        return cls(
+            vertices=bucketed["vertices"],
+            cold=bucketed["cold"],
+            hot=plain.get("hot"),
+            hubs=plain.get("hubs"),
+            strategy=strategy or facts["strategy"],
+            id_type=id_type,
+            session=work,
+            owner=spark,
+            dictionary=plain.get("dictionary"),
+            _tables=tables,
+            _cached=[*bucketed.values(), *plain.values()],
+            **{k: facts[k] for k in scalars},
+        )
+
+    def multiply(self, vec: DataFrame, value: str = "rank") -> DataFrame:
+        """``M v`` as ``(id, y)``, one row per id of ``vec``, in the session of ``vec``."""
+        if self.dictionary is not None:
+            raise ValueError("a matrix with encoded ids multiplies no vector of the original ids")
+        given = handed(vec.select("id", F.col(value).alias("rank")), self.session)
+        base = given.select("id", F.lit(0.0).alias("c"))
+        sums = self.contributions(given).unionByName(base).groupBy("id").agg(F.sum("c").alias("y"))
+        return handed(sums, vec.sparkSession)
+
     def matrix(self) -> DataFrame:
         """All entries ``(src, dst, w)``."""
         return self.cold if self.hot is None else self.cold.unionByName(self.hot)
@@ -268,20 +429,23 @@ class LinkMatrix:
         Broadcast: every entry meets a broadcast copy of the whole vector.
         """
         v = self.register()
+        # renamed, so that the step's second use of the vector is no self join: the analyzer
+        # would give that use new columns, whose partitioning it does not always carry over
+        vec = f"(select id as source, rank as x from {prev})"
         if self.strategy == "broadcast":
             parts = [
-                f"select /*+ BROADCAST(p) */ m.dst as id, m.w * p.rank as c "
-                f"from {v['cold']} m join {prev} p on m.src = p.id"
+                f"select /*+ BROADCAST(p) */ m.dst as id, m.w * p.x as c "
+                f"from {v['cold']} m join {vec} p on m.src = p.source"
             ]
             if self.hot is not None:
                 parts.append(
-                    f"select /*+ BROADCAST(p) */ m.dst as id, m.w * p.rank as c "
-                    f"from {v['hot']} m join {prev} p on m.src = p.id"
+                    f"select /*+ BROADCAST(p) */ m.dst as id, m.w * p.x as c "
+                    f"from {v['hot']} m join {vec} p on m.src = p.source"
                 )
             return " union all ".join(parts)
         parts = [
-            f"select /*+ MERGE(p) */ m.dst as id, m.w * p.rank as c "
-            f"from {v['cold']} m join {prev} p on m.src = p.id"
+            f"select /*+ MERGE(p) */ m.dst as id, m.w * p.x as c "
+            f"from {v['cold']} m join {vec} p on m.src = p.source"
         ]
         if self.hot is not None:
             hubs = f"(select /*+ BROADCAST(u) */ p.id, p.rank from {prev} p left semi join {v['hubs']} u on p.id = u.id)"
@@ -298,7 +462,8 @@ class LinkMatrix:
         return self.cold.sparkSession.sql(self.contribution_sql(v["prev"]))
 
     def unpersist(self) -> None:
-        spark = self.cold.sparkSession
+        """Let go of caches, checkpoints and catalog entries; files that ``save`` wrote stay."""
+        spark = self.session
         for name in self._views.values():
             spark.catalog.dropTempView(name)
         self._views = {}
@@ -306,3 +471,6 @@ class LinkMatrix:
             df.unpersist()
             drop_checkpoint(df)
         self._cached = []
+        for table in self._tables:
+            spark.sql(f"drop table if exists {table}")
+        self._tables = []

@@ -15,34 +15,45 @@ Execution per step is one Spark job:
 * ``sum(y[k])`` is known before the step: column sums of ``M`` are 1 for
   every non-sink source, so ``sum(y[k]) = (1 - t) * (mass of v[k-1] on
   non-sink vertices)``;
-* the step's plan merges the cached matrix with the cached previous vector
+* the step's plan merges the cached matrix with the previous vector
   (partition-local), sums contributions per target with partial aggregation
   (the only shuffle, of target and sum), and joins the sums to the previous
   vector in place, so vertices without in-links keep their row;
-* the new vector is persisted, and one aggregation over it returns
-  ``delta[k]``, the vector's sum and the non-sink mass needed by step
-  ``k + 1``.  A vector that does not sum to 1 fails the run.
-
-Every step's vector is written as a reliable checkpoint
-(``spark.checkpoint.dir``): the previous vector is used twice per step, so
-without a cut the logical plan would double with every step.  The write
-happens right after the step's job and re-reads only that job's shuffle
-output; a lost executor never recomputes more than one step.
+* the job writes the new vector as a reliable checkpoint
+  (``spark.checkpoint.dir``) and observes on the way ``delta[k]``, the vector's sum
+  and the non-sink mass needed by step ``k + 1``.  A vector that does not sum to 1
+  fails the run.
+
+The checkpoint is the next step's input: the previous vector is used twice per
+step, so without a cut the logical plan would double with every step.  A lost
+executor never recomputes more than one step.
+
+The three scalars are exact sums (``functions.exact``): they depend on the vector
+alone, not on its partitions.  With ``reproducible=True`` the contributions are
+summed that way too, as two whole numbers per target instead of a double; then
+ranks, history and the number of steps have the same bits for every number of
+partitions, every order of edges and every retry.
+
+With ``progress`` a run leaves a folder behind that tells where it stands: the
+vector of a step as Parquet, then a manifest (settings, history, non-sink mass)
+renamed into place.  ``resume=True`` goes on from the last manifest.
 """
 
 from __future__ import annotations
 
+import json
 import logging
 import time
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import checkpoint_dir, drop_checkpoint, scoped_conf
+from ..functions.exact import UNIT, exact_sum, joined_sql, limbs_sql, unit_weights
 from ..functions.values import local_rows
+from ..session import checkpoint_dir, drop_checkpoint, handed
+from ..sources import files
 from .layout import LinkMatrix
 
 log = logging.getLogger(__name__)
@@ -95,7 +106,7 @@ class RankResult:
 
 
 def rank(
-    edges: DataFrame,
+    edges: DataFrame | None = None,
     teleport: float | None = None,
     epsilon: float | None = None,
     max_iter: int | None | str = "preset",
@@ -107,6 +118,10 @@ def rank(
     hot_min_rows: int = 10_000,
     preset: str = "script",
     encode_ids: bool = False,
+    matrix: LinkMatrix | DataFrame | None = None,
+    reproducible: bool = False,
+    progress: str | None = None,
+    resume: bool = False,
 ) -> RankResult:
     """Rank the vertices of ``edges(src, dst)``; see the module doc for the semantics.
 
@@ -119,6 +134,12 @@ def rank(
     "partitioned", or "broadcast" (fails if the vector exceeds the session's
     broadcast threshold).  ``encode_ids`` runs the loop on bigint ids and
     decodes the result with one join.
+
+    ``matrix`` takes the place of ``edges``: a ``LinkMatrix`` (built before, or
+    loaded from where ``LinkMatrix.save`` wrote it; it stays usable), or a relation
+    ``(src, dst, w)``.  ``progress`` is a folder that all executors share;
+    ``resume=True`` goes on from what a run with the same matrix, teleport, start and
+    ``compare_first`` left there, or begins anew if there is nothing.
     """
     p = PRESETS[preset]
     teleport = p["teleport"] if teleport is None else float(teleport)
@@ -129,11 +150,22 @@ def rank(
         raise ValueError("teleport must be in [0, 1]")
     if max_iter is not None and max_iter < 1:
         raise ValueError("max_iter must be at least 1")
-    spark = edges.sparkSession
+    if (edges is None) == (matrix is None):
+        raise ValueError("rank takes either edges or a matrix")
+    if resume and progress is None:
+        raise ValueError("resume needs the progress folder of the earlier run")
+    given = edges if edges is not None else matrix.cold if isinstance(matrix, LinkMatrix) else matrix
+    spark = initial.sparkSession if initial is not None else given.sparkSession
+    if isinstance(matrix, LinkMatrix) and initial is None:
+        spark = matrix.owner or spark
     checkpoint_dir(spark)
     if initial is not None and not initial.groupBy("id").count().filter("count > 1").isEmpty():
         raise ValueError("the start vector has an id twice")
-    lm = LinkMatrix.build(edges, num_partitions, strategy, max_hot, hot_min_rows, encode_ids=encode_ids)
+    if isinstance(matrix, LinkMatrix):
+        lm = matrix
+    else:
+        make = LinkMatrix.build if matrix is None else LinkMatrix.from_matrix
+        lm = make(given, num_partitions, strategy, max_hot, hot_min_rows, encode_ids=encode_ids)
     try:
         if lm.n == 0:
             schema = T.StructType(
@@ -141,14 +173,12 @@ def rank(
             )
             empty = spark.createDataFrame([], schema)
             return RankResult(empty, spark.createDataFrame([], HISTORY_SCHEMA), 0, True, [], lm.strategy, 0)
-        loop_conf = {
-            "spark.sql.shuffle.partitions": str(lm.num_partitions),
-            "spark.sql.adaptive.enabled": "false",
-        }
-        if initial is not None and lm.dictionary is not None:
-            initial = initial.join(lm.dictionary, "id").select(F.col("vid").alias("id"), "rank")
-        with scoped_conf(spark, loop_conf):
-            result = _iterate(lm, teleport, epsilon, max_iter, compare_first, initial)
+        kept = _Progress(spark, progress, resume, lm, teleport, compare_first, initial) if progress else None
+        if initial is not None:
+            initial = handed(initial, lm.session)
+            if lm.dictionary is not None:
+                initial = initial.join(lm.dictionary, "id").select(F.col("vid").alias("id"), "rank")
+        result = _iterate(lm, teleport, epsilon, max_iter, compare_first, initial, reproducible, kept)
         if lm.dictionary is not None:
             # back to the original ids: one join on unique keys, written out so
             # the result does not depend on the caches dropped below
@@ -157,14 +187,68 @@ def rank(
             if result._written is not None:
                 drop_checkpoint(result._written)
             result._written = result.ranks
+        result.ranks = handed(result.ranks, spark)
+        result.history = _history(spark, result.steps)
         return result
     finally:
-        lm.unpersist()
+        if lm is not matrix:
+            lm.unpersist()
+
+
+def _history(spark: SparkSession, steps: list[StepStats]) -> DataFrame:
+    return local_rows(spark, [(s.iteration, s.vector_sum, s.l1_delta) for s in steps], HISTORY_SCHEMA)
+
+
+class _Progress:
+    """The folder of a run: ``step-<k>`` (vector as Parquet) and ``manifest-<k>.json``, k with ten digits.
+
+    A manifest is renamed into place after its vector is written, so the last
+    manifest always belongs to a whole vector; older pairs go afterwards.
+    """
+
+    def __init__(self, spark, path, resume, lm, teleport, compare_first, initial) -> None:
+        self.spark, self.path = spark, path.rstrip("/")
+        # what must agree for a later run to go on; matrices are told apart by their counts
+        self.facts = {
+            "teleport": teleport, "compare_first": compare_first, "given_start": initial is not None,
+            "n": lm.n, "n_sinks": lm.n_sinks, "entries": lm.entries, "encoded": lm.dictionary is not None,
+        }
+        self.found: dict | None = None
+        if resume and (told := self._manifests()):
+            self.found = json.loads(files.read_text(spark, f"{self.path}/{told[-1]}"))
+            differs = {k for k, v in self.facts.items() if self.found["facts"][k] != v}
+            if differs:
+                raise ValueError(f"the run in {path} had another {', '.join(sorted(differs))}")
+        elif not resume:
+            files.remove(spark, self.path)
+
+    def _manifests(self) -> list[str]:
+        return [n for n in files.names(self.spark, self.path) if n.startswith("manifest-") and n.endswith(".json")]
+
+    def vector(self, lm: LinkMatrix) -> DataFrame:
+        """``(id, rank, sink)`` of the last step; ids of an encoded run are those of the dictionary."""
+        kept = lm.session.read.parquet(f"{self.path}/{self.found['vector']}")
+        if lm.dictionary is not None:
+            kept = kept.join(lm.dictionary, "id").select(F.col("vid").alias("id"), "rank")
+        return start_vector(lm, kept)
+
+    def step(self, lm: LinkMatrix, vec: DataFrame, steps: list[StepStats], live_mass: float) -> None:
+        k = steps[-1].iteration
+        name = f"step-{k:010d}"
+        out = vec.select("id", "rank")
+        if lm.dictionary is not None:
+            out = out.select(F.col("id").alias("vid"), "rank").join(lm.dictionary, "vid").select("id", "rank")
+        out.write.mode("overwrite").parquet(f"{self.path}/{name}")
+        told = {"vector": name, "live_mass": live_mass, "facts": self.facts, "steps": [[s.iteration, s.vector_sum, s.l1_delta, s.seconds] for s in steps]}
+        files.write_text(self.spark, f"{self.path}/manifest-{k:010d}.json", json.dumps(told))
+        for old in files.names(self.spark, self.path):
+            if old.startswith(("step-", "manifest-")) and not old.startswith((name, f"manifest-{k:010d}")):
+                files.remove(self.spark, f"{self.path}/{old}")
 
 
 def start_vector(lm: LinkMatrix, initial: DataFrame | None) -> DataFrame:
     """``(id, rank, sink)`` over all vertices: uniform, or taken from ``initial``."""
-    base = lm.vertices.select("id", (F.col("out_degree") == 0).alias("sink"))
+    base = lm.vertices.select("id", (F.col("entries") == 0).alias("sink"))
     if initial is None:
         return base.select("id", F.lit(1.0 / lm.n).alias("rank"), "sink")
     given = initial.select("id", F.col("rank").cast("double").alias("_r"))
@@ -173,23 +257,39 @@ def start_vector(lm: LinkMatrix, initial: DataFrame | None) -> DataFrame:
     )
 
 
-def next_vector(lm: LinkMatrix, prev: DataFrame, teleport: float, shift: float) -> DataFrame:
+def next_vector(
+    lm: LinkMatrix, prev: DataFrame, teleport: float, shift: float, weights: tuple[int, ...] | None = None
+) -> DataFrame:
     """``(id, rank, prev, sink)`` of the next step; ``shift`` = ``(1 - sum(y)) / n``.
 
-    ``prev`` is ``(id, rank, sink)``.  Built as one SQL statement so that a
-    step costs one analysis pass on the driver.
+    ``prev`` is ``(id, rank, sink)``.  ``weights``: sum contributions exactly, with
+    these limbs.  The vector's own columns go through without a qualifier: a
+    checkpoint of the result then tells its partitioning by the columns it has.
     """
     views = lm.register()
     prev.createOrReplaceTempView(views["prev"])
-    return lm.cold.sparkSession.sql(step_sql(lm, views["prev"], teleport, shift))
+    sql, total = sums_sql(lm, views["prev"], weights)
+    rank = f"{1.0 - teleport!r}D * coalesce({total}, 0.0D) + {shift!r}D as rank"
+    sums = lm.session.sql(sql).hint("merge")
+    return prev.join(sums, "id", "left").selectExpr("id", rank, "rank as prev", "sink")
 
 
-def step_sql(lm: LinkMatrix, prev: str, teleport: float, shift: float) -> str:
-    return (
-        f"select /*+ MERGE(s) */ v.id, {1.0 - teleport!r} * coalesce(s.c, 0.0D) + {shift!r} as rank, "
-        f"v.rank as prev, v.sink from {prev} v left join "
-        f"(select id, sum(c) as c from ({lm.contribution_sql(prev)}) group by id) s on v.id = s.id"
-    )
+def sums_sql(lm: LinkMatrix, prev: str, weights: tuple[int, ...] | None = None) -> tuple[str, str]:
+    """SQL of the sums per target ``(id, ...)`` and of the double they stand for."""
+    parts = lm.contribution_sql(prev)
+    if weights is None:
+        return f"select id, sum(c) as c from ({parts}) group by id", "c"
+    limbs = ", ".join(f"{x} as c{i}" for i, x in enumerate(limbs_sql("c", weights)))
+    names = [f"c{i}" for i in range(len(weights))]
+    sums = ", ".join(f"sum({c}) as {c}" for c in names)
+    return f"select id, {sums} from (select id, {limbs} from ({parts})) group by id", joined_sql(names, weights)
+
+
+def _scalars(weights: tuple[int, ...]) -> list[Column]:
+    """What a step tells of its ``(id, rank, prev, sink)``: L1 change, mass on vertices with out-links, sum."""
+    live = F.when(F.col("sink"), 0.0).otherwise(F.col("rank"))
+    change = F.abs(F.col("rank") - F.col("prev"))
+    return [exact_sum(x, weights).alias(name) for name, x in (("l1", change), ("live", live), ("total", F.col("rank")))]
 
 
 def _iterate(
@@ -199,41 +299,41 @@ def _iterate(
     max_iter: int | None,
     compare_first: bool,
     initial: DataFrame | None,
+    reproducible: bool,
+    kept: _Progress | None,
 ) -> RankResult:
-    spark = lm.cold.sparkSession
     n = lm.n
-    vec = start_vector(lm, initial)
+    steps: list[StepStats] = []
     written: DataFrame | None = None  # checkpointed DataFrame behind ``vec``
-    if initial is None:
+    weights = UNIT
+    if kept and kept.found:
+        steps = [StepStats(*s) for s in kept.found["steps"]]
+        vec = written = kept.vector(lm).checkpoint(eager=True)
+        live_mass = kept.found["live_mass"]
+    elif initial is None:
+        vec = start_vector(lm, None)
         live_mass = (n - lm.n_sinks) / n
     else:
-        vec = vec.checkpoint(eager=True)
-        written = vec
-        live_mass = float(
-            vec.agg(F.sum(F.when(~F.col("sink"), F.col("rank")).otherwise(0.0))).collect()[0][0] or 0.0
-        )
-    scalars = [
-        F.sum(F.abs(F.col("rank") - F.col("prev"))).alias("l1"),
-        F.sum(F.when(~F.col("sink"), F.col("rank")).otherwise(0.0)).alias("live"),
-        F.sum("rank").alias("total"),
-    ]
-    steps: list[StepStats] = []
-    converged = False
-    k = 0
-    while max_iter is None or k < max_iter:
+        vec = written = start_vector(lm, initial).checkpoint(eager=True)
+        norm = float(vec.agg(F.sum(F.abs("rank"))).collect()[0][0] or 0.0)
+        weights = unit_weights(norm)  # for the first step, from any vector
+        live_mass = float(vec.agg(exact_sum(F.when(~F.col("sink"), F.col("rank")), weights)).collect()[0][0] or 0.0)
+    scalars = _scalars(weights)
+    k = steps[-1].iteration if steps else 0
+    converged = bool(steps) and steps[-1].l1_delta is not None and steps[-1].l1_delta < epsilon
+    while not converged and (max_iter is None or k < max_iter):
         k += 1
         t0 = time.perf_counter()
         y_sum = (1.0 - teleport) * live_mass
         shift = (1.0 - y_sum) / n
-        # lazy reliable checkpoint: the aggregation below computes the step,
-        # then Spark writes the vector to the checkpoint folder; the next step
-        # starts from those files, so plan size and lineage stay constant.
-        # The step is cached first, so Spark's checkpoint write reads it from
-        # memory instead of fetching the step's shuffle output a second time.
-        raw = next_vector(lm, vec, teleport, shift).persist(StorageLevel.MEMORY_AND_DISK)
-        nxt = raw.checkpoint(eager=False)
-        row = nxt.agg(*scalars).collect()[0]
-        raw.unpersist()  # the checkpoint is written when collect returns
+        # one job computes the step, writes it and observes the scalars; the next
+        # step starts from the written files, so plan and lineage stay as they are
+        told = Observation()
+        raw = next_vector(lm, vec, teleport, shift, weights if reproducible else None)
+        nxt = raw.observe(told, *scalars).select("id", "rank", "sink").checkpoint(eager=True)
+        row = told.get
+        if weights != UNIT:  # every vector after a step sums to 1
+            weights, scalars = UNIT, _scalars(UNIT)
         compared = compare_first or k > 1
         delta = float(row["l1"]) if compared else None
         live_mass = float(row["live"] or 0.0)
@@ -244,16 +344,16 @@ def _iterate(
         # the new vector is written now; the previous one is read by nothing
         if written is not None:
             drop_checkpoint(written)
-        written = nxt
-        vec = nxt.select("id", "rank", "sink")
+        written = vec = nxt
         steps.append(StepStats(k, y_sum, delta, time.perf_counter() - t0))
+        if kept:
+            kept.step(lm, vec, steps, live_mass)
         log.info("step %d: vector sum %.17g, l1 change %s", k, y_sum, delta)
         if delta is not None and delta < epsilon:
             converged = True
             break
     if not converged:
         log.warning("stopped at the cap of %s steps before convergence", max_iter)
-    history = local_rows(spark, [(s.iteration, s.vector_sum, s.l1_delta) for s in steps], HISTORY_SCHEMA)
-    result = RankResult(vec.select("id", "rank"), history, k, converged, steps, lm.strategy, n, lm.n_hubs)
+    result = RankResult(vec.select("id", "rank"), None, k, converged, steps, lm.strategy, n, lm.n_hubs)
     result._written = written
     return result

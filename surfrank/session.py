@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import contextlib
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 from py4j.protocol import Py4JError
@@ -40,6 +41,30 @@ def scoped_conf(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]
                 spark.conf.set(key, old)
 
 
+def child_session(spark: SparkSession) -> SparkSession:
+    """A new session of the application with the present settings of ``spark``.
+
+    Settings of the child do not reach ``spark`` or queries that run in it meanwhile.
+    """
+    child = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if child.conf.isModifiable(key):
+            child.conf.set(key, value)
+    return child
+
+
+def handed(df: DataFrame, to: SparkSession) -> DataFrame:
+    """``df`` as a DataFrame of another session of the application, planned with that session's settings."""
+    if df.sparkSession is to:
+        return df
+    name = f"surfrank_{uuid.uuid4().hex}"
+    df.createOrReplaceGlobalTempView(name)
+    try:
+        return to.table(f"{to.conf.get('spark.sql.globalTempDatabase')}.{name}")
+    finally:
+        to.catalog.dropGlobalTempView(name)
+
+
 def is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 

@@ -3,15 +3,19 @@
 Text output is ``id<TAB>rank``, one line per page, the format of the
 original tool's result file.  ``ordered=True`` sorts by id with a range
 partitioned sort, so the part files are in key order and no task holds
-more than its range.  ``single_file=True`` funnels everything through one
-task and is meant for small results only.
+more than its range.  ``single_file=True`` writes the same part files in
+parallel and lets the file system join them to the one file ``part-00000`` (HDFS
+moves block references; no task gets the whole result).  Where the file system
+cannot join files the call fails.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import files
+
 FORMATS = ("text", "parquet")
 
 
@@ -25,15 +29,27 @@ def write_ranks(
 ) -> None:
     if fmt not in FORMATS:
         raise ValueError(f"fmt must be one of {FORMATS}")
+    if single_file and (fmt != "text" or mode != "overwrite"):
+        raise ValueError("a single file is text and replaces what was there")
     out = ranks.select("id", "rank")
     if ordered:
         out = out.orderBy("id")
-    if single_file:
-        out = out.coalesce(1)
     if fmt == "parquet":
         out.write.mode(mode).parquet(path)
     else:
         _lines(out, "id", "rank").write.mode(mode).text(path)
+    if single_file:
+        _join(ranks.sparkSession, path)
+
+
+def _join(spark: SparkSession, path: str) -> None:
+    """One file ``part-00000`` of the part files in ``path``, in the order of their numbers."""
+    parts = [n for n in files.names(spark, path) if n.startswith("part-")]
+    files.concat(spark, path, parts, "joined")
+    for name in files.names(spark, path):
+        if name.startswith(("part-", ".part-")):
+            files.remove(spark, f"{path}/{name}")
+    files.rename(spark, f"{path}/joined", f"{path}/part-00000")
 
 
 def write_edges(edges: DataFrame, path: str, mode: str = "overwrite") -> None:
