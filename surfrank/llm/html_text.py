@@ -366,7 +366,10 @@ def seen(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_c
 
 
 def importance(found: DataFrame) -> DataFrame:
-    """The merged style trees: (site, node, pages, layouts, presentation, content, importance)."""
+    """The merged style trees: (site, node, pages, layouts, texts, presentation, content, importance).
+
+    ``texts``: whether any page has text directly in the node.
+    """
     of = F.when(F.col("kind") == 0, 0).otherwise(F.col("feature"))
     each = found.groupBy("site", "node", "kind", of.alias("feature")).agg(F.countDistinct("mark").alias("n"))
     n, kind = F.col("n"), F.col("kind")
@@ -384,7 +387,8 @@ def importance(found: DataFrame) -> DataFrame:
     weight = F.pow(F.lit(DECAY), F.col("layouts"))
     known = sums.withColumns({"presentation": presentation, "content": content})
     both = (1 - weight) * F.col("presentation") + weight * F.col("content")
-    return known.select("site", "node", "pages", "layouts", "presentation", "content", F.round(both, 9).alias("importance"))
+    texts = F.col("common").isNotNull().alias("texts")
+    return known.select("site", "node", "pages", "layouts", texts, "presentation", "content", F.round(both, 9).alias("importance"))
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -417,10 +421,15 @@ def extract(
 ) -> DataFrame:
     """One row per row of ``pages``: page_id, url, text, n_chars."""
     found = seen(pages, id_col, url_col, html_col)
-    unimportant = importance(found).filter((F.col("pages") >= min_pages) & (F.col("importance") < low)).select("site", "node")
+    unimportant = importance(found).filter((F.col("pages") >= min_pages) & (F.col("importance") < low)).select("site", "node", "texts")
     of_page = found.filter("kind = 0 and not declared").select("site", "node", F.col("feature").alias("first"), F.col("page").alias("second"))
-    lost = cut(
-        of_page.join(unimportant, ["site", "node"], "left_semi").groupBy("first", "second").agg(F.collect_set("node").alias("low")), "lost"
+    lost = cut(  # only pages that have text in such a node lose anything
+        of_page.join(unimportant, ["site", "node"])
+        .groupBy("first", "second")
+        .agg(F.collect_set("node").alias("low"), F.bool_or("texts").alias("texts"))
+        .filter("texts")
+        .drop("texts"),
+        "lost",
     )
     given = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
     kind = given.schema["page_id"].dataType.simpleString()
