@@ -232,14 +232,17 @@ class _Progress:
             kept = kept.join(lm.dictionary, "id").select(F.col("vid").alias("id"), "rank")
         return start_vector(lm, kept)
 
-    def step(self, lm: LinkMatrix, vec: DataFrame, steps: list[StepStats], live_mass: float) -> None:
+    def step(
+        self, lm: LinkMatrix, vec: DataFrame, steps: list[StepStats], live_mass: float, weights: tuple[int, ...]
+    ) -> None:
         k = steps[-1].iteration
         name = f"step-{k:010d}"
         out = vec.select("id", "rank")
         if lm.dictionary is not None:
             out = out.select(F.col("id").alias("vid"), "rank").join(lm.dictionary, "vid").select("id", "rank")
         out.write.mode("overwrite").parquet(f"{self.path}/{name}")
-        told = {"vector": name, "live_mass": live_mass, "facts": self.facts, "steps": [[s.iteration, s.vector_sum, s.l1_delta, s.seconds] for s in steps]}
+        done = [[s.iteration, s.vector_sum, s.l1_delta, s.seconds] for s in steps]
+        told = {"vector": name, "live_mass": live_mass, "weights": weights, "facts": self.facts, "steps": done}
         files.write_text(self.spark, f"{self.path}/manifest-{k:010d}.json", json.dumps(told))
         for old in files.names(self.spark, self.path):
             if old.startswith(("step-", "manifest-")) and not old.startswith((name, f"manifest-{k:010d}")):
@@ -309,14 +312,15 @@ def _iterate(
     if kept and kept.found:
         steps = [StepStats(*s) for s in kept.found["steps"]]
         vec = written = kept.vector(lm).checkpoint(eager=True)
-        live_mass = kept.found["live_mass"]
+        live_mass, weights = kept.found["live_mass"], tuple(kept.found["weights"])
     elif initial is None:
         vec = start_vector(lm, None)
         live_mass = (n - lm.n_sinks) / n
     else:
         vec = written = start_vector(lm, initial).checkpoint(eager=True)
         norm = float(vec.agg(F.sum(F.abs("rank"))).collect()[0][0] or 0.0)
-        weights = unit_weights(norm)  # for the first step, from any vector
+        # steps bring any vector nearer to the ranks: entries sum to at most norm + 2, changes to twice that
+        weights = unit_weights(norm + 2.0)
         live_mass = float(vec.agg(exact_sum(F.when(~F.col("sink"), F.col("rank")), weights)).collect()[0][0] or 0.0)
     scalars = _scalars(weights)
     k = steps[-1].iteration if steps else 0
@@ -332,8 +336,6 @@ def _iterate(
         raw = next_vector(lm, vec, teleport, shift, weights if reproducible else None)
         nxt = raw.observe(told, *scalars).select("id", "rank", "sink").checkpoint(eager=True)
         row = told.get
-        if weights != UNIT:  # every vector after a step sums to 1
-            weights, scalars = UNIT, _scalars(UNIT)
         compared = compare_first or k > 1
         delta = float(row["l1"]) if compared else None
         live_mass = float(row["live"] or 0.0)
@@ -347,7 +349,7 @@ def _iterate(
         written = vec = nxt
         steps.append(StepStats(k, y_sum, delta, time.perf_counter() - t0))
         if kept:
-            kept.step(lm, vec, steps, live_mass)
+            kept.step(lm, vec, steps, live_mass, weights)
         log.info("step %d: vector sum %.17g, l1 change %s", k, y_sum, delta)
         if delta is not None and delta < epsilon:
             converged = True

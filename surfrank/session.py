@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _UNSET = object()
 
@@ -58,9 +59,10 @@ def handed(df: DataFrame, to: SparkSession) -> DataFrame:
     if df.sparkSession is to:
         return df
     name = f"surfrank_{uuid.uuid4().hex}"
-    df.createOrReplaceGlobalTempView(name)
+    # a column more, for a while: dropping a view drops the cache of its very plan, which must stay
+    df.withColumn(name, F.lit(0)).createOrReplaceGlobalTempView(name)
     try:
-        return to.table(f"{to.conf.get('spark.sql.globalTempDatabase')}.{name}")
+        return to.table(f"{to.conf.get('spark.sql.globalTempDatabase')}.{name}").drop(name)
     finally:
         to.catalog.dropGlobalTempView(name)
 
