@@ -63,6 +63,15 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, upper, upper.lower())
 
 
+def plain_names(df: DataFrame, *names: str) -> tuple[DataFrame, list[Column]]:
+    """``df`` with columns c0, c1, ..., which no name used inside an operator equals, and those that were ``names``.
+
+    ``toDF(*df.columns)`` gives the names back, also if some are equal but for case.
+    """
+    plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    return plain, [F.col(f"c{df.columns.index(n)}") for n in names]
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, with underscores in front until ``df`` has no such column."""
     taken = {c.lower() for c in df.columns}

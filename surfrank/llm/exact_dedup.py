@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, without_spaces
+from .common import cut, plain_names, without_spaces
 
 PREFIX = 64
 
@@ -77,8 +77,8 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Rows that agree in id, code points and normalised text are one until the
     last step, which keeps one of them.
     """
-    cols = docs.columns
-    marked = docs.withColumns(_facts(F.col(text_col), prefix)).withColumn("_id", F.col(id_col))
+    plain, (given, text) = plain_names(docs, id_col, text_col)
+    marked = plain.withColumns(_facts(text, prefix)).withColumn("_id", given)
     facts = cut(marked.select("_id", "_chars", "_len", "_prefix", "_sha"))
     groups = _groups(facts, F.struct((-F.col("_chars")).alias("c"), F.col("_id").isNull().alias("n"), F.col("_id").alias("id")))
     gone = (
@@ -92,7 +92,7 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.col("_id").eqNullSafe(F.col("_gid")) & (F.col("_chars") == F.col("_gchars")) & (F.col("_sha") == F.col("_gsha")),
         "left_anti",
     )
-    return rest.dropDuplicates(["_id", "_chars", "_sha"]).select(*[F.col(f"`{c}`") for c in cols])
+    return rest.dropDuplicates(["_id", "_chars", "_sha"]).select(*plain.columns).toDF(*docs.columns)
 
 
 ORACLE_SQL = r"""

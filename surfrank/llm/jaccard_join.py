@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, ship
+from .common import cut, plain_names, ship
 from .components import components
 from .shingles import digest, mix, shingle_set, word_hashes
 
@@ -263,7 +263,8 @@ def keep_one(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "at")
     firsts = linked.groupBy("root").agg(F.min(place).alias("first"))
     gone = linked.join(firsts, "root").filter("at != first.at").select(F.col("at").alias("_gone")).distinct()
-    return docs.join(gone, F.xxhash64(id_col, text_col) == F.col("_gone"), "left_anti")
+    plain, ends = plain_names(docs, id_col, text_col)
+    return plain.join(gone, F.xxhash64(*ends) == F.col("_gone"), "left_anti").toDF(*docs.columns)
 
 
 def sketch(shingles: np.ndarray) -> bytes:

@@ -3,10 +3,12 @@
 1. Targets.  Sources share the total size by weight; a target stops at
    ``most`` times its source's size and the excess is shared again by
    weight until none is above.
-2. Blocks.  The documents of a source stand in seeded random order as one
+2. Blocks.  The documents of a source stand in seeded random order (by id, text and,
+   for rows equal in these, their number; not by where they were read) as one
    stream of words, which is cut into blocks of equal length (about
    ``block`` words, the same for all blocks of a source but for one word).
-3. Schedule.  Slot t draws the golden-ratio point frac(t * phi) and maps it
+3. Schedule.  Slot t draws the golden-ratio point frac((t + 1/2) * phi), in whole
+   numbers, so exact for every t, and maps it
    through the cumulative weights (target / block length) to a source.
    The rank of a slot among those of its source says which block it takes,
    round and round; a source's last slot is trimmed to the words that are
@@ -29,10 +31,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, cut
+from .common import WORD, cut, plain_names
 
 BLOCK = 64
-PHI = 0.6180339887498949  # golden ratio less one
+#: Points of the schedule are whole numbers below 2^59: odd multiples of the golden ratio less one, in units of 2^-58.
+POINTS = 1 << 59
+STEP = 178136169051924977  # floor(2^58 * 0.6180339887...), odd
+
+
+POINT = f"cast(pmod(cast(2 * id + 1 as decimal(20, 0)) * cast({STEP} as decimal(18, 0)), cast({POINTS} as decimal(18, 0))) as bigint)"
 
 
 def targets(sizes: list[int], weights: list[int], most: int = 3) -> list[float]:
@@ -62,6 +69,17 @@ def _before(df: DataFrame, keys: list[str], chunk: str, order: list[str], value:
     return local.join(sums, [*keys, chunk]).withColumn(out, F.col("_base") + F.col("_in")).drop("_in", "_base")
 
 
+def _copies(rows: DataFrame) -> DataFrame:
+    """Adds ``_copy``, which numbers rows of one source, id and text from 0; few rows have more than one."""
+    rows = rows.withColumn("_same", F.xxhash64("_source", "doc_id", "text_hash"))
+    often = rows.groupBy("_same").count().filter("count > 1").select("_same")
+    part = F.shiftright("_row", 33).alias("_part")  # the partition that the row was read in: a third of all rows is many of them
+    repeats = rows.join(often, "_same", "left_semi").select("*", part)
+    numbered = _before(repeats, ["_same"], "_part", ["_row"], F.lit(1), "_copy").drop("_part")
+    once = rows.join(often, "_same", "left_anti").withColumn("_copy", F.lit(0).cast("long"))
+    return once.unionByName(numbered).drop("_same")
+
+
 def mix(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -75,7 +93,7 @@ def mix(
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, size, source_size, target, taken, text_hash."""
     spark = docs.sparkSession
-    rows = cut(
+    rows = (
         docs.select(
             F.col(id_col).alias("doc_id"),
             F.col(source_col).alias("_source"),
@@ -84,6 +102,8 @@ def mix(
             F.monotonically_increasing_id().alias("_row"),
         )
     )
+    rows = cut(rows)
+    rows = cut(_copies(rows))
     by_source = rows.groupBy("_source").agg(F.sum("size").alias("size"), F.count("*").alias("n")).collect()
     by_source.sort(key=lambda r: (r["_source"] is None, (r["_source"] or "").encode()))
     sizes = [r["size"] for r in by_source]
@@ -110,11 +130,11 @@ def mix(
     placed = rows.withColumnRenamed("size", "_size").join(
         sources.select("sid", "name", "size", "chunks", "blocks", "target"), F.col("_source").eqNullSafe(F.col("name"))
     )
-    placed = placed.withColumn("_order", F.xxhash64(F.lit(seed), "doc_id", "text_hash", "_row")).withColumn(
+    placed = placed.withColumn("_order", F.xxhash64(F.lit(seed), "doc_id", "text_hash", "_copy")).withColumn(
         "_chunk", F.shiftrightunsigned("_order", 33) % F.col("chunks")
     )
-    placed = placed.select("sid", "_chunk", "_order", "_row", "doc_id", "text_hash", "_size", "size", "blocks", "target")
-    placed = _before(placed, ["sid"], "_chunk", ["_order", "_row"], F.col("_size"), "_start")
+    placed = placed.select("sid", "_chunk", "_order", "_copy", "_row", "doc_id", "text_hash", "_size", "size", "blocks", "target")
+    placed = _before(placed, ["sid"], "_chunk", ["_order", "doc_id", "text_hash", "_copy", "_row"], F.col("_size"), "_start")
     taken = _taken(placed, schedule(sources, facts))
     return placed.join(taken, "_row", "left").select(
         "doc_id",
@@ -155,17 +175,17 @@ def schedule(sources: DataFrame, facts: list[dict]) -> DataFrame:
     edges, at = [], 0
     for sid in wanted:
         at += wanted[sid]
-        edges.append((at / total, sid))
+        edges.append((at * POINTS // total, sid))
     points = total + 16
     pick = F.lit(edges[-1][1]) if edges else F.lit(0)
     pick = F.element_at(
         F.array(*[F.lit(s) for _, s in edges] or [F.lit(0)]),
-        F.least(F.size(F.filter(F.array(*[F.lit(e) for e, _ in edges] or [F.lit(1.0)]), lambda e: e <= F.col("u"))) + 1, F.lit(max(1, len(edges)))),
+        F.least(F.size(F.filter(F.array(*[F.lit(e) for e, _ in edges] or [F.lit(POINTS)]), lambda e: e <= F.col("u"))) + 1, F.lit(max(1, len(edges)))),
     )
     while True:
         drawn = (
             spark.range(points if total else 0)
-            .select(F.col("id").alias("slot"), F.pmod((F.col("id") + 0.5) * F.lit(PHI), F.lit(1.0)).alias("u"))
+            .select(F.col("id").alias("slot"), F.expr(POINT).alias("u"))
             .select("slot", pick.alias("sid"), F.floor(F.col("slot") / 4096).alias("_part"))
         )
         got = {r["sid"]: r["count"] for r in drawn.groupBy("sid").count().collect()}
@@ -216,7 +236,6 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
 
     Documents without words take no share of the mix and stay once.
     """
-    cols = docs.columns
     took = (
         mix(docs, id_col, text_col, source_col, **options)
         .groupBy("doc_id", "text_hash")
@@ -225,6 +244,6 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
         .filter("_times > 0")
         .select(F.col("doc_id").alias("_tid"), F.col("text_hash").alias("_thash"), "_times")
     )
-    marked = docs.withColumns({"_mid": F.col(id_col), "_mhash": F.xxhash64(F.col(text_col))})
-    out = marked.join(took, F.col("_mid").eqNullSafe(F.col("_tid")) & (F.col("_mhash") == F.col("_thash")))
-    return out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*[F.col(f"`{c}`") for c in cols])
+    plain, (given, text) = plain_names(docs, id_col, text_col)
+    out = plain.join(took, given.eqNullSafe(F.col("_tid")) & (F.xxhash64(text) == F.col("_thash")))
+    return out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*plain.columns).toDF(*docs.columns)

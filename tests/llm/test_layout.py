@@ -168,3 +168,91 @@ def test_release(spark):
     jvm = spark.sparkContext._jvm
     at = jvm.org.apache.hadoop.fs.Path(path)
     assert not at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+
+
+def mix_brute(spark, rows, chunk_rows=20, block=64, seed=0):
+    """``taken`` of every row, slot by slot; only the hashes come from Spark."""
+    same, numbered = Counter(), []
+    for doc_id, text, _, source in rows:
+        numbered.append((doc_id, text, source, same[doc_id, text, source]))
+        same[doc_id, text, source] += 1
+    table = spark.createDataFrame(numbered, "id long, text string, source string, copy long").withColumn("h", F.xxhash64("text"))
+    rows = table.withColumn("o", F.xxhash64(F.lit(seed), "id", "h", "copy")).collect()
+    words = lambda r: len(WORD.findall(r.text or ""))
+    names = sorted({r.source for r in rows}, key=lambda s: (s is None, (s or "").encode()))
+    size = {s: sum(words(r) for r in rows if r.source == s) for s in names}
+    goal = mixing.targets([size[s] for s in names], [(1, 2, 3)[i % 3] for i in range(len(names))])
+    cuts, slots, stream = {}, {}, {}
+    for s, want in zip(names, goal, strict=True):
+        blocks = max(1, -(-size[s] // block))
+        base, extra = divmod(size[s], blocks)
+        cuts[s] = [b * base + min(b, extra) for b in range(blocks + 1)]
+        n = left = 0
+        while left < round(want):
+            left += cuts[s][n % blocks + 1] - cuts[s][n % blocks]
+            n += 1
+        slots[s] = (n, round(want))
+        chunks = max(1, -(-sum(r.source == s for r in rows) // chunk_rows))
+        mine = [r for r in rows if r.source == s]
+        mine.sort(key=lambda r: (((r.o % 2**64) >> 33) % chunks, r.o, r.id is not None, r.id or 0, r.h, r.copy))
+        stream[s] = mine
+    total, at, edges = sum(n for n, _ in slots.values()), 0, []
+    for s in names:
+        if slots[s][0]:
+            at += slots[s][0]
+            edges.append((at * mixing.POINTS // total, s))
+    drawn, t, times = Counter(), 0, Counter()
+    while any(drawn[s] < slots[s][0] for s in names):
+        u = (2 * t + 1) * mixing.STEP % mixing.POINTS
+        s = next((s for e, s in edges if u < e), edges[-1][1])
+        if drawn[s] < slots[s][0]:
+            b = drawn[s] % (len(cuts[s]) - 1)
+            drawn[s] += 1
+            times[s, b] += 1
+        t += 1
+    out = Counter()
+    for s in names:
+        n, want = slots[s]
+        spare = sum((cuts[s][i % (len(cuts[s]) - 1) + 1] - cuts[s][i % (len(cuts[s]) - 1)]) for i in range(n)) - want
+        last = (n - 1) % (len(cuts[s]) - 1)
+        begin = 0
+        for r in stream[s]:
+            end, took = begin + words(r), 0
+            for b in range(len(cuts[s]) - 1):
+                lo, hi = max(begin, cuts[s][b]), min(end, cuts[s][b + 1])
+                whole = times[s, b] - (b == last and spare > 0)
+                took += max(0, hi - lo) * whole
+                if b == last and spare > 0:
+                    took += max(0, min(hi, cuts[s][b + 1] - spare) - lo)
+            out[r.id, words(r), took] += 1
+            begin = end
+    return out
+
+
+def test_mix_is_the_schedule_by_hand_however_the_table_is_split(spark):
+    rng = random.Random(16)
+    docs = [(i, " ".join(["w"] * rng.choice([0, 1, 5, 60, 700])), "en", rng.choice(["a", "b", None, "é"])) for i in range(150)]
+    docs += [docs[3]] * 60 + [docs[5]] * 2 + [(None, "no id", "en", "a")] * 3 + [(7, "other text", "en", "b"), (8, None, "en", "b")]
+    want = mix_brute(spark, docs)
+    for parts in (2, 5, 64):
+        rng.shuffle(docs)
+        rows = mixing.mix(documents(spark, docs, parts), chunk_rows=20).collect()
+        assert Counter((r.doc_id, r["size"], r.taken) for r in rows) == want
+
+
+INSIDE = (
+    "_id _chars _len _prefix _sha _gid _gchars _gsha _first _size _mid _mhash _copy _times _tid _thash _gone _text _same _row "
+    "c0 c1 at root set first sid taken score lang_pred first_word"
+).split()
+
+
+@pytest.mark.parametrize("stage", ["language", "exact", "near", "mix"])
+def test_stages_hand_every_column_on_as_it_is(spark, stage):
+    """Extra columns with names that operators use inside keep their values."""
+    rows = [(*r, "en", "s0") for r in awkward()] + [(20 + i, f"text number {i} of some english words that stand here", "en", "s1") for i in range(30)]
+    wide = [(i, *r, *(f"{n}-{i}" for n in INSIDE)) for i, r in enumerate(rows)]
+    docs = spark.createDataFrame(wide, ["n", "doc_id", "text", "lang", "source", *(n for n in INSIDE)]).repartition(3)
+    out = getattr(corpus_pipeline, stage)(spark, docs, SF)
+    assert out.columns == docs.columns
+    got = [tuple(r) for r in out.collect()]
+    assert got and set(got) <= set(wide)
