@@ -10,7 +10,8 @@ the tokens not yet emitted on the way to it.  What all open starts have in
 common cannot change any more and is emitted, so the lookahead is bounded
 by the longest token and a piece of any length takes linear time and little
 memory.  States and transitions are made when first met and kept; the
-tables are bounded and start anew when full, which changes no result.
+tables are bounded and start anew when full, which changes no result; a worker
+without such a task for ``IDLE_SECONDS`` frees them.
 
 Decoding joins token bytes in chunks; an incremental UTF-8 state machine
 holds back the bytes of an unfinished character at a chunk's end.
@@ -28,6 +29,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import threading
 from collections.abc import Iterable, Iterator
 from itertools import chain, islice
 
@@ -38,10 +40,11 @@ from pyspark.sql import functions as F
 from .common import ship
 
 MAX_STATES = 200_000
-MAX_PIECES = 350_000
+MAX_PIECES = 600_000
 CHUNK = 8192
 GROUP_CHARS = 1 << 21
 LONG_PIECE = 64
+IDLE_SECONDS = 1.0
 
 
 def load_ranks(path: str) -> bytes:
@@ -315,10 +318,13 @@ class Codec:
 
 
 _CODECS: dict[tuple[int, str], Codec] = {}
+_LETTING_GO: list[threading.Timer] = []
 
 
 def _codec(shared, pattern: str) -> Codec:
-    """One codec for each rank file in a Python worker; its tables are kept between tasks."""
+    """One codec for each rank file in a Python worker; its tables are kept between tasks that follow each other."""
+    while _LETTING_GO:
+        _LETTING_GO.pop().cancel()
     raw = shared.value
     key = (hash(raw), pattern)
     if key not in _CODECS:
@@ -326,14 +332,25 @@ def _codec(shared, pattern: str) -> Codec:
     return _CODECS[key]
 
 
+def _let_go() -> None:
+    """Free the tables soon, unless another task comes: a reused worker may go on with a stage that has no use for them."""
+    timer = threading.Timer(IDLE_SECONDS, _CODECS.clear)
+    timer.daemon = True
+    _LETTING_GO.append(timer)
+    timer.start()
+
+
 def _map(df: DataFrame, ranks: str, pattern: str, columns: list, schema: str, of) -> DataFrame:
     ship(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(load_ranks(ranks))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(shared, pattern)
-        for batch in batches:
-            yield of(codec, batch)
+        try:
+            for batch in batches:
+                yield of(codec, batch)
+        finally:
+            _let_go()
 
     return df.select(*columns).mapInArrow(run, schema)
 
