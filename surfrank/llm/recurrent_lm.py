@@ -94,10 +94,6 @@ def choose_classes(counts: DataFrame) -> Classes:
     return Classes(own, 1 + np.arange(len(own)), ends, 1 + len(own) + np.arange(len(ends)))
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
-
-
 class Recurrent:
     """Gated recurrent unit over classes; the input n_classes begins a text."""
 
@@ -114,22 +110,31 @@ class Recurrent:
 
     def step(self, x: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
         k = self.hidden
-        g, a = self.p["input"][x], h @ self.p["state"]
-        gate = _sigmoid(g[:, : 2 * k] + a[:, : 2 * k])
-        z, r = gate[:, :k], gate[:, k:]
-        n = np.tanh(g[:, 2 * k :] + r * a[:, 2 * k :])
-        return n + z * (h - n), z, r, n, a[:, 2 * k :]
+        a, new = h @ self.p["state"], self.p["input"][x]
+        gate = new[:, : 2 * k] + a[:, : 2 * k]
+        np.negative(gate, out=gate)
+        np.exp(gate, out=gate)
+        gate += 1
+        np.reciprocal(gate, out=gate)  # the logistic function
+        z, r, a = gate[:, :k], gate[:, k:], a[:, 2 * k :]
+        n = r * a
+        n += new[:, 2 * k :]
+        np.tanh(n, out=n)
+        new = h - n
+        new *= z
+        new += n
+        return new, z, r, n, a
 
     def log_class(self, h: np.ndarray, y: np.ndarray) -> np.ndarray:
         """Natural logarithm of the probability of class y in state h."""
         out = np.empty(len(y))
-        for i in range(0, len(y), 4096):
-            logit = h[i : i + 4096] @ self.p["out"]
+        for i in range(0, len(y), 1024):
+            logit = h[i : i + 1024] @ self.p["out"]
             logit += self.p["bias"]
-            own = logit[np.arange(len(logit)), y[i : i + 4096]]
-            np.clip(logit, -80, 80, out=logit)
+            own = logit[np.arange(len(logit)), y[i : i + 1024]]
+            np.minimum(logit, 80, out=logit)
             np.exp(logit, out=logit)
-            out[i : i + 4096] = own - np.log(logit.sum(1))
+            out[i : i + 1024] = own - np.log(logit.sum(1))
         return out
 
     def score(self, classes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -209,40 +214,50 @@ class Recurrent:
 
     def _window(self, x: np.ndarray, y: np.ndarray, h: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray]:
         """Gradients of the mean loss over one window, and the state at its end."""
-        kept, states = [], []
-        for t in range(x.shape[1]):
-            begun = (x[:, t] != self.n)[:, None].astype(np.float32)
-            h = h * begun
-            new, z, r, n, a = self.step(x[:, t], h)
-            kept.append((h, z, r, n, a, begun))
-            states.append(new)
-            h = new
-        flat = np.concatenate(states)
+        k, steps = self.hidden, x.shape[1]
+        begun = (x.T != self.n)[:, :, None].astype(np.float32)
+        before, z, r, n, a, states = (np.empty((steps, *h.shape), np.float32) for _ in range(6))
+        for t in range(steps):
+            np.multiply(h, begun[t], out=before[t])
+            h, z[t], r[t], n[t], a[t] = self.step(x[:, t], before[t])
+            states[t] = h
+        flat = states.reshape(-1, k)
         target = y.T.reshape(-1)
-        logit = flat @ self.p["out"] + self.p["bias"]
-        p = np.exp(logit - logit.max(1, keepdims=True))
-        p /= p.sum(1, keepdims=True)
-        p[np.arange(len(target)), target] -= 1
-        p /= len(target)
-        grad = {"out": flat.T @ p, "bias": p.sum(0), "state": np.zeros_like(self.p["state"])}
-        from_out = (p @ self.p["out"].T).reshape(len(states), *h.shape)
-        back, inputs = np.zeros_like(h), []
-        for t in range(len(states) - 1, -1, -1):
-            before, z, r, n, a, begun = kept[t]
-            dh = from_out[t] + back
-            dz = dh * (before - n) * z * (1 - z)
-            dn = dh * (1 - z) * (1 - n * n)
-            dr = dn * a * r * (1 - r)
-            gates = np.concatenate([dz, dr, dn * r], 1)
-            grad["state"] += before.T @ gates
-            inputs.append(np.concatenate([dz, dr, dn], 1))
-            back = (dh * z + gates @ self.p["state"].T) * begun
+        p = flat @ self.p["out"]
+        p += self.p["bias"]
+        p -= p.max(1, keepdims=True)
+        np.exp(p, out=p)
+        p /= p.sum(1, keepdims=True) * len(target)
+        p[np.arange(len(target)), target] -= 1 / len(target)
+        grad = {"out": flat.T @ p, "bias": p.sum(0)}
+        from_out = (p @ self.p["out"].T).reshape(states.shape)
+        # what does not depend on later steps, for the whole window at once
+        keep = 1 - z
+        to_z = (before - n) * z * keep
+        to_n = keep * (1 - n * n)
+        to_r = a * r * (1 - r)
+        gates = np.empty((steps, len(h), 3 * k), np.float32)
+        inner, down = np.empty_like(states), np.ascontiguousarray(self.p["state"].T)
+        back = np.zeros_like(h)
+        for t in range(steps - 1, -1, -1):
+            dh, own = from_out[t], gates[t]
+            dh += back
+            np.multiply(dh, to_z[t], out=own[:, :k])
+            dn = np.multiply(dh, to_n[t], out=inner[t])
+            np.multiply(dn, to_r[t], out=own[:, k : 2 * k])
+            np.multiply(dn, r[t], out=own[:, 2 * k :])
+            back = own @ down
+            dh *= z[t]
+            back += dh
+            back *= begun[t]
+        grad["state"] = before.reshape(-1, k).T @ gates.reshape(-1, 3 * k)
+        gates[:, :, 2 * k :] = inner
         grad["input"] = np.zeros_like(self.p["input"])
-        used, order = x.T[::-1].reshape(-1), np.concatenate(inputs)
+        used, order = x.T.reshape(-1), gates.reshape(-1, 3 * k)
         by = np.argsort(used, kind="stable")
         starts = np.flatnonzero(np.diff(used[by], prepend=-1))
         grad["input"][used[by][starts]] = np.add.reduceat(order[by], starts)
-        return grad, states[-1]
+        return grad, h
 
 
 @dataclass
