@@ -44,6 +44,8 @@ FAST = [
     "rank_history",
     "event_flow_edges",
     "read_write_roundtrip",
+    "edges_read_report",
+    "rank_step_prepared",
 ]
 
 
