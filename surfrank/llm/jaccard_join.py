@@ -18,9 +18,11 @@ others:
 3. Candidates.  Keys are sorted over the cluster and scanned as a stream;
    each run of equal keys is a star, its first set linked to every other
    one, never all pairs.
-4. Verification, on the whole texts, of each set with the star that it
-   shares most cells with; connected components.  Then, in rounds, of one
-   link of a star between each two components, which merges most of them.
+4. Verification of each set with the star that it shares most cells with;
+   connected components.  Then, in rounds, of one link of a star between each
+   two components, which merges most of them.  Verification is on the whole
+   texts; only pairs that sizes and bit sketches (5) leave possible are brought
+   together with them.
 5. Two sets that are similar have a star (a run's first set) in common.
    In stars that still hold more than one component the sets (and the star) of different
    components are compared in bounded blocks by bit sketches: a shingle
@@ -136,10 +138,11 @@ def _keyed(rows: DataFrame, k: int, percent: int) -> DataFrame:
 def _sketched(texts: DataFrame, k: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            got = [sketch(shingle_set(w, k)) for w in word_hashes(batch.column(1).to_pylist())]
-            yield pa.record_batch([*batch.columns, pa.array(got, pa.binary())], names=["set", "text", "sketch"])
+            sets = [shingle_set(w, k) for w in word_hashes(batch.column(1).to_pylist())]
+            n, got = pa.array([len(s) for s in sets], pa.int64()), pa.array([sketch(s) for s in sets], pa.binary())
+            yield pa.record_batch([*batch.columns, n, got], names=["set", "text", "n", "sketch"])
 
-    return texts.mapInArrow(run, "set long, text string, sketch binary")
+    return texts.mapInArrow(run, "set long, text string, n long, sketch binary")
 
 
 def _pairs(key: np.ndarray, one: np.ndarray) -> pa.RecordBatch:
@@ -181,6 +184,28 @@ def _runs(keyed: DataFrame) -> DataFrame:
     return keyed.repartition("key").sortWithinPartitions("key", "set").mapInArrow(run, "key long, first long, set long")
 
 
+def _possible(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """``pairs`` (a, b) without those that sizes or sketches tell apart; ``texts``: set, n, sketch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n_a, n_b, one, two = (batch.column(i).to_pylist() for i in range(2, 6))
+            good = [i for i in range(batch.num_rows) if _within(n_a[i], n_b[i], one[i], two[i], percent)]
+            yield batch.select(["a", "b"]).take(pa.array(good, pa.int64()))
+
+    for side in ("b", "a"):
+        of = texts.select(F.col("set").alias(side), F.col("n").alias(f"n_{side}"), F.col("sketch").alias(f"sketch_{side}"))
+        pairs = pairs.join(of, side)
+    sized = pairs.filter(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
+    return sized.select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b").mapInArrow(run, "a long, b long")
+
+
+def _within(n_a: int, n_b: int, one: bytes, two: bytes, percent: int) -> bool:
+    """Whether two sets can be similar by the Hamming distance of their sketches."""
+    x, y = folded([one, two])
+    return int(np.bitwise_count(x ^ y).sum()) * (100 + percent) <= (n_a + n_b) * (100 - percent)
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
     """Those of ``pairs`` (a, b) whose whole texts are similar; ``texts``: set, text."""
 
@@ -223,15 +248,15 @@ def _linked(docs: DataFrame, k: int, percent: int, id_col: str, text_col: str) -
 
     stars = cut(runs.filter("first != set").groupBy(F.col("first").alias("a"), F.col("set").alias("b")).agg(F.count("*").alias("cells")))
     best = stars.groupBy("b").agg(F.max(F.struct("cells", "a")).alias("best")).select(F.col("best.a").alias("a"), "b")
-    links = cut(_verified(best, texts, k, percent), batch=TEXTS_AT_ONCE)
+    links = cut(_verified(_possible(best, texts, percent), texts, k, percent), batch=TEXTS_AT_ONCE)
     roots = components(links)
     for _ in range(MERGES):
-        new = cut(_verified(_between(stars, roots), texts, k, percent), batch=TEXTS_AT_ONCE)
+        new = cut(_verified(_possible(_between(stars, roots), texts, percent), texts, k, percent), batch=TEXTS_AT_ONCE)
         if new.isEmpty():
             break
         links = links.unionByName(new)
         roots = components(links)
-    across = _across(stars, roots, texts.join(sets.select("set", "n"), "set").drop("text"), percent)
+    across = _across(stars, roots, texts.drop("text"), percent)
     more = cut(_verified(across, texts, k, percent), batch=TEXTS_AT_ONCE)
     if not more.isEmpty():
         roots = components(links.unionByName(more))

@@ -170,6 +170,23 @@ def test_jaccard_links_across_stars(spark, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == components(list(range(25)), texts, 4, 85)
 
 
+def test_jaccard_brings_no_text_to_pairs_that_sketches_tell_apart(spark, monkeypatch):
+    """Texts that share a passage, so a cell, but are not near; two are near copies."""
+    passage = " ".join(f"p{i}" for i in range(30))
+    texts = [f"{passage} " + " ".join(f"d{j}w{i}" for i in range(30)) for j in range(40)]
+    texts.append(texts[0] + " end")
+    compared, verified = [], jaccard_join._verified
+
+    def counted(pairs, *more):
+        compared.append(pairs.count())
+        return verified(pairs, *more)
+
+    monkeypatch.setattr(jaccard_join, "_verified", counted)
+    got = {r.doc_id: r.component_id for r in jaccard_join.link(documents(spark, list(enumerate(texts))), 5, 80).collect()}
+    assert got == {**{i: i for i in range(40)}, 40: 0}
+    assert sum(compared) == 1
+
+
 def test_jaccard_awkward_and_empty(spark):
     docs = documents(spark, awkward())
     rows = jaccard_join.link(docs).collect()
