@@ -100,7 +100,7 @@ def q_initial_vector(spark, sf):
 
 def _first_step_parts(spark, sf, graph="part_supp"):
     e = GRAPHS[graph](spark, sf)
-    verts = sr.vertices(e)
+    verts = sr.vertices(e).persist()  # the count and the start vector read it
     n = verts.count()
     m = sr.transition_matrix(e)
     v0 = sr.initial_vector(verts, n)
@@ -124,7 +124,7 @@ def q_vector_sum(spark, sf):
 
 def q_redistributed_vector(spark, sf):
     m, v0, n = _first_step_parts(spark, sf)
-    y = sr.damp(sr.multiply(m, v0), TELEPORT)
+    y = sr.damp(sr.multiply(m, v0), TELEPORT).persist()  # the sum and the result read it
     total = y.agg(F.sum("y")).collect()[0][0]
     return sr.redistribute(y, n, total).select("id", _r("rank"))
 

@@ -53,3 +53,11 @@ def test_queries_match_oracle(spark):
     report = compare(spark, SF, FAST)
     bad = {k: v for k, v in report.items() if not v.get("values_match")}
     assert not bad, bad
+
+
+def test_redistributed_vector_is_computed_once(spark):
+    """The sum and the result read one product; nothing below it is computed again."""
+    result = entry.q_redistributed_vector(spark, SF)
+    read = result._jdf.queryExecution().optimizedPlan().children().head()
+    assert read.getClass().getSimpleName() == "InMemoryRelation" and result.count() == 210
+    spark.catalog.clearCache()
