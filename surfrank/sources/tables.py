@@ -19,6 +19,8 @@ needed columns are read, so the parquet scans are pruned.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +28,8 @@ from ..functions.sequence import with_next
 
 HREF_PATTERN = 'href="([^"]*)"'
 HOST_PATTERN = "^([a-z]+://[^/]*)"
+# ordered lines that one task joins at most, on average, whatever the session's number of shuffle partitions
+LINES_PER_TASK = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,6 +52,10 @@ def raw_part_supp(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cust_part(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
+    tasks = math.ceil(li.count() / LINES_PER_TASK)  # the count reads file footers alone
+    if tasks > 1:  # dealt by the number of lines, so that a task's memory does not grow with the table
+        tasks = max(tasks, spark.sparkContext.defaultParallelism)
+        li, orders = li.repartition(tasks, "l_orderkey"), orders.repartition(tasks, "o_orderkey")
     both = li.join(orders, li.l_orderkey == orders.o_orderkey).select(
         F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("c"),
         F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("p"),

@@ -61,3 +61,12 @@ def test_redistributed_vector_is_computed_once(spark):
     read = result._jdf.queryExecution().optimizedPlan().children().head()
     assert read.getClass().getSimpleName() == "InMemoryRelation" and result.count() == 210
     spark.catalog.clearCache()
+
+
+def test_vertex_count_deals_lines_by_their_number(spark, monkeypatch):
+    """6,000 lines, at most 1,000 a task, go to six tasks under any number of shuffle partitions."""
+    assert entry.q_vertex_count(spark, SF).collect()[0]["n"] == (expected := entry.GRAPHS["cust_part"](spark, SF).select("src").distinct().count())
+    monkeypatch.setattr(entry.tables, "LINES_PER_TASK", 1000, raising=False)
+    dealt = entry.q_vertex_count(spark, SF)
+    assert dealt.collect()[0]["n"] == expected
+    assert "RepartitionByExpression [l_orderkey" in dealt._jdf.queryExecution().analyzed().toString()
