@@ -16,6 +16,8 @@ P(class | all tokens before it) * P(token | class).
   every training text, in ``ROUNDS`` disjoint parts.  In a round each task
   goes on from the shared weights over its texts, and the weights are
   averaged by tokens in a distributed aggregation.
+* Words become classes once, in a pass that also sums the counts; training
+  rounds and scoring read the written classes (16 bits a token).
 * A text is scored whole: many texts step together through windows of
   ``WINDOW`` tokens, and each one's state is carried from window to window.
 
@@ -55,6 +57,8 @@ HEAD = 1 << 18
 WORDS_AT_ONCE = 1 << 19
 #: Texts that a Python worker holds at once; they step through the network together.
 TEXTS_AT_ONCE = 4000
+#: States whose logits are held at once; so many stay in a core's cache.
+ROWS_AT_ONCE = 512
 
 
 @dataclass
@@ -125,17 +129,26 @@ class Recurrent:
         new += n
         return new, z, r, n, a
 
+    def _plain(self) -> bool:
+        """Whether no logit can exceed 80, as a state lies between -1 and 1; then exp needs no guard."""
+        return float((np.abs(self.p["out"]).sum(0) + self.p["bias"]).max()) < 80
+
+    def _out(self) -> np.ndarray:
+        """The weights of the logits, with the bias as those of one more state, which is 1."""
+        return np.vstack([self.p["out"], self.p["bias"]])
+
     def log_class(self, h: np.ndarray, y: np.ndarray) -> np.ndarray:
         """Natural logarithm of the probability of class y in state h."""
-        out = np.empty(len(y))
-        for i in range(0, len(y), 1024):
-            logit = h[i : i + 1024] @ self.p["out"]
-            logit += self.p["bias"]
-            own = logit[np.arange(len(logit)), y[i : i + 1024]]
-            np.minimum(logit, 80, out=logit)
+        h = np.hstack([h, np.ones((len(h), 1), h.dtype)])
+        got, out, ones, plain = np.empty(len(y)), self._out(), np.ones(self.n, np.float32), self._plain()
+        for i in range(0, len(y), ROWS_AT_ONCE):
+            logit = h[i : i + ROWS_AT_ONCE] @ out
+            own = logit[np.arange(len(logit)), y[i : i + ROWS_AT_ONCE]]
+            if not plain:
+                np.minimum(logit, 80, out=logit)
             np.exp(logit, out=logit)
-            out[i : i + 1024] = own - np.log(logit.sum(1))
-        return out
+            got[i : i + ROWS_AT_ONCE] = own - np.log(logit @ ones)
+        return got
 
     def score(self, classes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Log probability of each text's classes; texts lie one after the other in ``classes``."""
@@ -151,7 +164,7 @@ class Recurrent:
             for t in range(t0, min(t0 + WINDOW, longest)):
                 m = int(np.searchsorted(-size, -t, side="left"))  # texts longer than t
                 h = self.step(x[:m], h[:m])[0]
-                x = classes[start[:m] + t]
+                x = classes.take(start[:m] + t)
                 states.append(h)
                 targets.append(x)
                 rows.append(np.arange(m))
@@ -214,50 +227,81 @@ class Recurrent:
 
     def _window(self, x: np.ndarray, y: np.ndarray, h: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray]:
         """Gradients of the mean loss over one window, and the state at its end."""
-        k, steps = self.hidden, x.shape[1]
-        begun = (x.T != self.n)[:, :, None].astype(np.float32)
-        before, z, r, n, a, states = (np.empty((steps, *h.shape), np.float32) for _ in range(6))
+        k, steps, width = self.hidden, x.shape[1], len(h)
+        begun = (x.T != self.n)[:, None, :].astype(np.float32)
+        # by step, gate and stream: what is worked on together is contiguous
+        new = np.ascontiguousarray(self.p["input"].take(x.T, 0).transpose(0, 2, 1))
+        into, down = np.ascontiguousarray(self.p["state"].T), np.ascontiguousarray(self.p["state"])
+        new[:, : 2 * k] *= -1
+        into[: 2 * k] *= -1
+        before, n, states = (np.empty((steps, k, width), np.float32) for _ in range(3))
+        gates = np.empty((steps, 3 * k, width), np.float32)
+        h = np.ascontiguousarray(h.T)
         for t in range(steps):
-            np.multiply(h, begun[t], out=before[t])
-            h, z[t], r[t], n[t], a[t] = self.step(x[:, t], before[t])
-            states[t] = h
-        flat = states.reshape(-1, k)
-        target = y.T.reshape(-1)
-        p = flat @ self.p["out"]
-        p += self.p["bias"]
-        p -= p.max(1, keepdims=True)
-        np.exp(p, out=p)
-        p /= p.sum(1, keepdims=True) * len(target)
-        p[np.arange(len(target)), target] -= 1 / len(target)
-        grad = {"out": flat.T @ p, "bias": p.sum(0)}
-        from_out = (p @ self.p["out"].T).reshape(states.shape)
+            at, own, out = before[t], gates[t], n[t]
+            np.multiply(h, begun[t], out=at)
+            np.matmul(into, at, out=own)
+            both = own[: 2 * k]
+            both += new[t, : 2 * k]
+            np.exp(both, out=both)
+            both += 1
+            np.reciprocal(both, out=both)  # the logistic function
+            np.multiply(own[k : 2 * k], own[2 * k :], out=out)
+            out += new[t, 2 * k :]
+            np.tanh(out, out=out)
+            h = np.subtract(at, out, out=states[t])
+            h *= own[:k]
+            h += out
+        z, r, a = gates[:, :k].copy(), gates[:, k : 2 * k].copy(), gates[:, 2 * k :]
+        flat = np.ones((steps * width, k + 1), np.float32)  # the last column is for the bias
+        flat[:, :k] = states.transpose(0, 2, 1).reshape(-1, k)
+        target, out = y.T.reshape(-1), self._out()
+        to_state, ones = np.ascontiguousarray(self.p["out"].T), np.ones((self.n, 1), np.float32)
+        from_out, to_out, plain = np.empty((len(flat), k), np.float32), np.zeros_like(out), self._plain()
+        for i in range(0, len(flat), ROWS_AT_ONCE):
+            some, aims = flat[i : i + ROWS_AT_ONCE], target[i : i + ROWS_AT_ONCE]
+            p = some @ out
+            if not plain:
+                p -= p.max(1, keepdims=True)
+            np.exp(p, out=p)
+            total = p @ ones
+            p[np.arange(len(aims)), aims] -= total[:, 0]  # times scale, these are the gradients of the logits
+            scale = 1 / (total * np.float32(len(target)))
+            to_out += (some * scale).T @ p
+            np.multiply(p @ to_state, scale, out=from_out[i : i + ROWS_AT_ONCE])
+        grad = {"out": to_out[:k], "bias": to_out[k]}
+        from_out = np.ascontiguousarray(from_out.reshape(steps, width, k).transpose(0, 2, 1))
         # what does not depend on later steps, for the whole window at once
         keep = 1 - z
-        to_z = (before - n) * z * keep
-        to_n = keep * (1 - n * n)
-        to_r = a * r * (1 - r)
-        gates = np.empty((steps, len(h), 3 * k), np.float32)
-        inner, down = np.empty_like(states), np.ascontiguousarray(self.p["state"].T)
-        back = np.zeros_like(h)
+        to_z = before - n
+        to_z *= z
+        to_z *= keep
+        to_n = n * n
+        np.subtract(1, to_n, out=to_n)
+        to_n *= keep
+        to_r = 1 - r
+        to_r *= r
+        to_r *= a
+        inner, back = np.empty_like(states), np.zeros_like(h)
         for t in range(steps - 1, -1, -1):
             dh, own = from_out[t], gates[t]
             dh += back
-            np.multiply(dh, to_z[t], out=own[:, :k])
+            np.multiply(dh, to_z[t], out=own[:k])
             dn = np.multiply(dh, to_n[t], out=inner[t])
-            np.multiply(dn, to_r[t], out=own[:, k : 2 * k])
-            np.multiply(dn, r[t], out=own[:, 2 * k :])
-            back = own @ down
+            np.multiply(dn, to_r[t], out=own[k : 2 * k])
+            np.multiply(dn, r[t], out=own[2 * k :])
+            np.matmul(down, own, out=back)
             dh *= z[t]
             back += dh
             back *= begun[t]
-        grad["state"] = before.reshape(-1, k).T @ gates.reshape(-1, 3 * k)
-        gates[:, :, 2 * k :] = inner
+        grad["state"] = before.transpose(1, 0, 2).reshape(k, -1) @ gates.transpose(1, 0, 2).reshape(3 * k, -1).T
+        gates[:, 2 * k :] = inner
         grad["input"] = np.zeros_like(self.p["input"])
-        used, order = x.T.reshape(-1), gates.reshape(-1, 3 * k)
+        used, order = x.T.reshape(-1), gates.transpose(0, 2, 1).reshape(-1, 3 * k)
         by = np.argsort(used, kind="stable")
         starts = np.flatnonzero(np.diff(used[by], prepend=-1))
-        grad["input"][used[by][starts]] = np.add.reduceat(order[by], starts)
-        return grad, h
+        grad["input"][used[by][starts]] = np.add.reduceat(order.take(by, 0), starts)
+        return grad, h.T
 
 
 @dataclass
@@ -310,13 +354,18 @@ def _sample(texts: DataFrame, share: float) -> tuple[list[np.ndarray], list[np.n
     """Words and endings of windows of texts, each drawn with the probability ``share``; a text's last one has its end, -1."""
     bar = np.uint64(min(int(share * (1 << 32)), (1 << 32) - 1))
 
+    def drawn(at: int, n_words: int) -> np.ndarray:
+        starts = np.arange(0, n_words + 1, SAMPLE_WINDOW)
+        return starts[mix(np.uint64(at % (1 << 64)) ^ mix(starts.astype(np.uint64) + np.uint64(1))) >> np.uint64(32) <= bar]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_pylist()
-            for at, (words, endings) in zip(ids, words_and_ends(batch.column(1).to_pylist()), strict=True):
-                starts = np.arange(0, len(words) + 1, SAMPLE_WINDOW)
-                drawn = mix(np.uint64(at % (1 << 64)) ^ mix(starts.astype(np.uint64) + np.uint64(1))) >> np.uint64(32)
-                for i in starts[drawn <= bar]:
+            texts = batch.column(1).to_pylist()
+            # a text of so many characters has at most one word for two of them, so one without such a window has none drawn
+            some = [i for i, t in enumerate(texts) if drawn(ids[i], (len(t or "") + 1) // 2).size]
+            for at, (words, endings) in zip([ids[i] for i in some], words_and_ends([texts[i] for i in some]), strict=True):
+                for i in drawn(at, len(words)):
                     w, e = words[i : i + SAMPLE_WINDOW].view(np.int64), endings[i : i + SAMPLE_WINDOW]
                     if i + SAMPLE_WINDOW > len(words):
                         w, e = np.append(w, np.int64(END)), np.append(e, -1)
@@ -330,26 +379,39 @@ def _sample(texts: DataFrame, share: float) -> tuple[list[np.ndarray], list[np.n
     return [np.array(r["words"], np.int64).view(np.uint64) for r in rows], [np.array(r["endings"], np.int64) for r in rows]
 
 
-def _round(texts: DataFrame, classes: Classes, net: Recurrent) -> int:
-    """``net`` goes on over ``texts`` in every task; the weights are averaged by tokens. Returns the tokens."""
+def _read(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Classes of all texts of a column, one after the other, and the texts' lengths."""
+    column = column.cast(pa.large_binary())
+    if not len(column):
+        return np.zeros(0, np.int16), np.zeros(0, np.int64)
+    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1] // 2
+    return np.frombuffer(column.buffers()[2], np.int16, int(offsets[-1]))[offsets[0] :], np.diff(offsets)
+
+
+def _round(coded: DataFrame, net: Recurrent) -> int:
+    """``net`` goes on over the texts ``coded`` in every task; the weights are averaged by tokens. Returns the tokens."""
     names = sorted(net.p)
-    shared = texts.sparkSession.sparkContext.broadcast((classes, net))
+    shared = coded.sparkSession.sparkContext.broadcast(net)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes, start = shared.value
+        start = shared.value
         own, tokens = copy.deepcopy(start), 0
         own._restart()
         for batch in batches:
-            for both in _some(words_and_ends(batch.column(0).to_pylist())):
-                flat = np.concatenate([np.append(classes.of(w, e), 0) for w, e in both])
-                own.go_on(flat)
-                tokens += len(flat)
+            classes, lengths = _read(batch.column(0))
+            ends = np.cumsum(lengths)
+            at = 0
+            while at < len(classes):  # whole texts, about WORDS_AT_ONCE tokens
+                upto = int(ends[min(np.searchsorted(ends, at + WORDS_AT_ONCE), len(ends) - 1)])
+                own.go_on(classes[at:upto].astype(np.int64))
+                tokens += upto - at
+                at = upto
         if tokens:
             flat = np.concatenate([own.p[k].reshape(-1) for k in names]).astype(np.float64) * tokens
             flat = np.append(flat, tokens)
             yield pa.record_batch([pa.array(np.arange(len(flat))), pa.array(flat)], names=["place", "value"])
 
-    rows = texts.select("text").mapInArrow(run, "place long, value double").groupBy("place").agg(F.sum("value").alias("value")).toArrow()
+    rows = coded.select("classes").mapInArrow(run, "place long, value double").groupBy("place").agg(F.sum("value").alias("value")).toArrow()
     shared.unpersist()
     if not rows.num_rows:
         return 0
@@ -362,19 +424,11 @@ def _round(texts: DataFrame, classes: Classes, net: Recurrent) -> int:
     return int(value[-1])
 
 
-def train(rows: DataFrame, fit_tokens: int = FIT_TOKENS, head: int = HEAD, seed: int = 0) -> tuple[Model, DataFrame]:
-    """The model and all counts; ``rows``: at, text of the training texts."""
-    ship(rows.sparkSession)
+def _tally(rows: DataFrame, head: int, seed: int) -> tuple[Model, DataFrame]:
+    """The model before it is trained, and all counts; ``rows``: the training texts."""
     counts = cut(_counts(rows.select("text")), "counts", TEXTS_AT_ONCE)
     n, v = counts.agg(F.sum("count"), F.count("*")).first()
-    n = n or 0
-    words, endings = _sample(rows, min(1.0, fit_tokens / n)) if n else ([], [])
     classes = choose_classes(counts)
-    net = Recurrent(classes.n, seed=seed)
-    net.fit([np.where(e == -1, 0, classes.of(w, e)) for w, e in zip(words, endings, strict=True)], seed=seed)
-    part = F.pmod(F.xxhash64(F.col("at"), F.lit("language model round")), F.lit(ROUNDS))
-    fitted = sum(_round(rows.filter(part == i), classes, net) for i in range(ROUNDS)) if n else 0
-
     shared = rows.sparkSession.sparkContext.broadcast(classes)
 
     def by_class(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -393,9 +447,25 @@ def train(rows: DataFrame, fit_tokens: int = FIT_TOKENS, head: int = HEAD, seed:
     word, count = top["word"].to_numpy().view(np.uint64), top["count"].to_numpy()
     order = np.argsort(word)
     end = counts.filter(F.col("word") == END).select("count").first()
-    model = Model(
-        classes, net, word[order], np.log10(count[order] + 1.0), float(np.log10((end[0] if end else 0) + 1.0)), np.log10(np.maximum(mass, 1)), int(n), int(v), fitted
-    )
+    end_log = float(np.log10((end[0] if end else 0) + 1.0))
+    net = Recurrent(classes.n, seed=seed)
+    return Model(classes, net, word[order], np.log10(count[order] + 1.0), end_log, np.log10(np.maximum(mass, 1)), int(n or 0), int(v), 0), counts
+
+
+def _fit(model: Model, rows: DataFrame, coded: DataFrame, fit_tokens: int, seed: int) -> None:
+    """Trains the network of ``model``; ``rows``: at, text of the training texts, ``coded``: at, classes of these."""
+    n, of = model.train_tokens, model.classes.of
+    words, endings = _sample(rows, min(1.0, fit_tokens / n)) if n else ([], [])
+    model.net.fit([np.where(e == -1, 0, of(w, e)) for w, e in zip(words, endings, strict=True)], seed=seed)
+    part = F.pmod(F.xxhash64(F.col("at"), F.lit("language model round")), F.lit(ROUNDS))
+    model.fitted = sum(_round(coded.filter(part == i), model.net) for i in range(ROUNDS)) if n else 0
+
+
+def train(rows: DataFrame, fit_tokens: int = FIT_TOKENS, head: int = HEAD, seed: int = 0) -> tuple[Model, DataFrame]:
+    """The model and all counts; ``rows``: at, text of the training texts."""
+    ship(rows.sparkSession)
+    model, counts = _tally(rows, head, seed)
+    _fit(model, rows, cut(_coded(rows.select("at", "text"), model), "coded", TEXTS_AT_ONCE), fit_tokens, seed)
     return model, counts
 
 
@@ -415,49 +485,70 @@ def _sums(m: Model, both: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarr
     return sizes + 1, known, logs, mass, classes, np.bincount(owner[~hit], minlength=len(both)), words[~hit].view(np.int64)
 
 
-def _scored(rows: DataFrame, model: Model) -> DataFrame:
-    """The ids and n_tokens, known, logs, own: sums over the tokens; tail: words beyond the head."""
-    kind = rows.schema["doc_id"].dataType.simpleString()
+def _coded(rows: DataFrame, model: Model) -> DataFrame:
+    """``rows`` with, for the text, n_tokens, known, logs, mass: sums over the tokens; tail: words beyond the head; classes (16 bits each)."""
     shared = rows.sparkSession.sparkContext.broadcast(model)
+    kept = [c for c in rows.columns if c != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in batches:
-            parts = [_sums(m, both) for both in _some(words_and_ends(batch.column(3).to_pylist()))]
+            parts = [_sums(m, both) for both in _some(words_and_ends(batch.column(len(kept)).to_pylist()))]
             if not parts:
                 continue
             sizes, known, logs, mass, classes, tails, tail = (np.concatenate(x) for x in zip(*parts, strict=True))
-            own = m.net.score(classes, sizes) / np.log(10) - mass
             offsets = np.concatenate([[0], np.cumsum(tails)]).astype(np.int32)
+            places = np.concatenate([[0], np.cumsum(2 * sizes)]).astype(np.int32)
+            coded = pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(places), pa.py_buffer(classes)])
             yield pa.record_batch(
-                [*batch.columns[:3], *map(pa.array, (sizes, known, logs, own)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(tail))],
-                names=["doc_id", "held_out", "at", "n_tokens", "known", "logs", "own", "tail"],
+                [*batch.columns[: len(kept)], *map(pa.array, (sizes, known, logs, mass)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(tail)), coded],
+                names=[*kept, "n_tokens", "known", "logs", "mass", "tail", "classes"],
             )
 
-    schema = f"doc_id {kind}, held_out boolean, at long, n_tokens long, known long, logs double, own double, tail array<long>"
-    return rows.select("doc_id", "held_out", "at", "text").mapInArrow(run, schema)
+    own = "".join(f"{c} {rows.schema[c].dataType.simpleString()}, " for c in kept)
+    schema = f"{own}n_tokens long, known long, logs double, mass double, tail array<long>, classes binary"
+    return rows.select(*kept, "text").mapInArrow(run, schema)
+
+
+def _scored(coded: DataFrame, net: Recurrent) -> DataFrame:
+    """at, own: log10 probability of a text's classes; one row for repeated rows, whose sums differ by rounding."""
+    shared = coded.sparkSession.sparkContext.broadcast(net)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = shared.value.score(*_read(batch.column(1))) / np.log(10)
+            yield pa.record_batch([batch.column(0), pa.array(own)], names=["at", "own"])
 
+    rows = coded.select("at", "classes").mapInArrow(run, "at long, own double")
+    return rows.groupBy("at").agg(F.min("own").alias("own"))
 
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+
+def score(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fit_tokens: int = FIT_TOKENS, head: int = HEAD, seed: int = 0
+) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score; learns from the rows not held out."""
     rows = docs.select(F.col(id_col).alias("doc_id"), held_out(id_col).alias("held_out"), F.xxhash64(id_col, text_col).alias("at"), F.col(text_col).alias("text"))
-    model, counts = train(rows.filter(~F.col("held_out")).select("at", "text"), **options)
-    scored = cut(_scored(rows, model), "scored", TEXTS_AT_ONCE)
+    ship(rows.sparkSession)
+    learnt = rows.filter(~F.col("held_out")).select("at", "text")
+    model, counts = _tally(learnt, head, seed)
+    coded = cut(_coded(rows, model), "coded", TEXTS_AT_ONCE)
+    _fit(model, learnt, coded.filter(~F.col("held_out")).select("at", "classes"), fit_tokens, seed)
+    scored = cut(_scored(coded, model.net), "scored", TEXTS_AT_ONCE)
     known = counts.select("word", F.log10(F.col("count") + 1).alias("log"))
     tails = (
-        scored.dropDuplicates(["at"])
+        coded.dropDuplicates(["at"])
         .select("at", F.explode("tail").alias("word"))
         .join(known, "word")
         .groupBy("at")
         .agg(F.count("*").alias("tail_known"), F.sum("log").alias("tail_log"))
     )
     logs = F.col("logs") + F.coalesce("tail_log", F.lit(0.0))
-    return scored.join(tails, "at", "left").select(
+    return coded.drop("tail", "classes").join(scored, "at").join(tails, "at", "left").select(
         "doc_id",
         "held_out",
         "n_tokens",
         (F.col("known") + F.coalesce("tail_known", F.lit(0))).alias("n_known"),
         F.lit(model.train_tokens).cast("long").alias("train_tokens"),
         (logs - F.col("n_tokens") * F.lit(float(np.log10(model.train_tokens + model.vocabulary + 1)))).alias("base_score"),
-        (logs + F.col("own")).alias("score"),
+        (logs + F.col("own") - F.col("mass")).alias("score"),
     )

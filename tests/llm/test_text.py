@@ -227,6 +227,19 @@ def test_recurrent_lm_awkward_and_empty(spark):
     assert recurrent_lm.score(docs.limit(0)).count() == 0
 
 
+def test_recurrent_lm_repeated_rows_in_batches_of_all_sizes(spark, monkeypatch):
+    """A row has the score of its repetitions, which stand in batches of other sizes; texts become classes once."""
+    monkeypatch.setattr(recurrent_lm, "TEXTS_AT_ONCE", 7)
+    made = []
+    coded = recurrent_lm._coded
+    monkeypatch.setattr(recurrent_lm, "_coded", lambda *a: made.append(1) or coded(*a))
+    rng = random.Random(8)
+    once = [(i, " ".join(rng.choice(["of", "the", "net", "word", "state"]) for _ in range(rng.randrange(1, 80)))) for i in range(40)]
+    rows = recurrent_lm.score(documents(spark, once * 3 + once[:25]).repartition(5), fit_tokens=3000).collect()
+    assert len(rows) == 145 and len(made) == 1
+    assert len({(r.doc_id, r.n_tokens, r.base_score, r.score) for r in rows}) == 40
+
+
 def sketch_brute(docs):
     docs = sorted(((i, t or "") for i, t in docs), key=lambda x: (x[0] is None, x[0] or 0, x[1]))
     keys = lambda t: {p for p in t.split("\n") if p}
