@@ -58,8 +58,10 @@ def _words(text: bytes) -> Iterator[list[bytes]]:
     at = 0
     while at < len(text):
         end = min(len(text), at + PIECE)
-        while end < len(text) and text[end] != 32:
-            gap = text.find(b" ", end)
+        if end < len(text):
+            gap = text.rfind(b" ", at + 1, end + 1)
+            if gap < 0:  # a word longer than a piece stays whole
+                gap = text.find(b" ", end)
             end = gap if gap >= 0 else len(text)
         yield text[at:end].split()
         at = end
