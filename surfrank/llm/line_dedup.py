@@ -26,14 +26,19 @@ Within a key the rows stream by in order of their places and each sees only
 the earliest one before it; pairs of a group are never listed and no group
 is held in memory.  Only DataFrame functions.
 
-Where two or more edits are allowed (k = words // ``words_per_edit``), an edit
-takes at most two of a line's word pairs (neighbouring words).  In any one
-order of all word pairs, two alike lines therefore share one of the first
-2 k + 1 of each.  These are a line's keys, the longest words first as they are
-seldom shared; their number is in proportion to the length.  Lines that share
-a key are first verified with the earliest one of the key; those that this
-does not settle with all earlier ones of their keys (only for these are the
-pairs of a key listed).
+Where two or more edits are allowed (k = words // ``words_per_edit``), a line
+is cut into parts at words that their hash picks, about three in eight. An edit
+takes at most two parts, so in any one order of all parts two alike lines share
+one of the first 2 k + 1 of each, and one more for each further one. Lines that
+share enough of their longest parts go on. Of these the rarest parts are the
+keys: a part that no other line of like length has is not shared, and a line
+with more than 2 k of them has no alike line. A line of too few parts gives its
+word pairs (neighbouring words) too, of which an edit also takes two at most.
+Within a key, sketches (for each of 256 bits, whether an odd number of words has
+it; an edit changes two) leave the pairs that are verified by edit distance: each
+line first with the earliest one of the key, those that this does not settle
+with all earlier ones. Pairs that the sketches rule out are compared within the
+join and not written; their number still grows with the square of a key's group.
 
 Cases: null text stays null and has no lines; repeated rows (same id and
 text) are one document; an empty table gives an empty result; other
@@ -45,27 +50,39 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACES, WORD, cut
+from .common import SPACES, cut
 
 MIN_WORDS = 8
 KEYS = "array<struct<key:bigint,kind:int>>"
+WIDE = 1 << 20
+#: Numbers of 64 bits in a line's sketch.
+SKETCH = 4
+#: Keys of a line of which alike lines share one more each.
+MORE = 2
 
 
-def _words(line: Column) -> Column:
-    """Words of a line; an empty array for a blank one."""
-    for c in SPACES[1:]:
-        line = F.replace(line, F.lit(c), F.lit(" "))
-    return F.filter(F.split(line, " "), lambda w: w != "")
+def _plain(text: Column) -> Column:
+    """The text with one space between the words of a line and none at its ends; most texts are so already."""
+    odd = text.startswith(" ") | text.endswith(" ")
+    for c in ("  ", " \n", "\n ", *SPACES.replace("\n", "")[1:]):
+        odd |= text.contains(c)
+    single = F.regexp_replace(text, r"[\x20\x09\x0B-\x0D]+", " ")
+    return F.when(odd, F.trim(F.regexp_replace(single, " ?\n ?", "\n"))).otherwise(text)
 
 
-def _lines(rows: DataFrame, *more: str) -> DataFrame:
-    """at, rank, place, words, line (hash), n of every line that is not blank."""
-    lines = rows.select("at", "rank", *more, F.posexplode(F.split("text", "\n")).alias("place", "line"))
-    return (
-        lines.select("at", "rank", *more, "place", _words(F.col("line")).alias("words"))
-        .filter(F.size("words") > 0)
-        .withColumns({"line": F.xxhash64("words"), "n": F.size("words")})
-    )
+def _has_word(line: Column) -> Column:
+    return F.ltrim(line, F.lit(SPACES)) != ""
+
+
+def _words(plain: Column) -> Column:
+    return F.split(plain, " ")
+
+
+def _lines(rows: DataFrame) -> DataFrame:
+    """at, rank, place, plain, line (hash), n of every line that is not blank."""
+    lines = rows.select("at", "rank", F.posexplode(F.split(_plain(F.col("text")), "\n")).alias("place", "plain")).filter("plain != ''")
+    spaces = F.octet_length("plain") - F.octet_length(F.replace("plain", F.lit(" "), F.lit("")))
+    return lines.withColumns({"line": F.xxhash64("plain"), "n": spaces + 1})
 
 
 def _halves(words: Column, n: Column) -> Column:
@@ -122,20 +139,45 @@ def _one_edit(a: Column, b: Column) -> Column:
     return (F.abs(na - nb) <= 1) & (rest(a, na, more_a) == rest(b, nb, more_b))
 
 
-def _pair_keys(words: Column, n: Column, per: int) -> Column:
-    """The first 2 (n // per) + 1 pairs of neighbouring words, most letters first, then by hash; a number each."""
+def _number(letters: Column, *of: Column) -> Column:
+    """A number that rises as the letters get fewer, then by hash."""
+    fewer = F.lit(1023).cast("long") - F.least(letters, F.lit(1023)).cast("long")
+    return F.shiftleft(fewer, 53).bitwiseOR(F.shiftrightunsigned(F.xxhash64(*of), 11))
+
+
+def _pair_numbers(words: Column, n: Column) -> Column:
+    """A number for each pair of neighbouring words."""
+
+    def pairs(w: Column) -> Column:  # the words as a variable, or they would be split for each pair
+        return F.zip_with(F.slice(w, 1, n - 1), F.slice(w, 2, n - 1), lambda a, b: _number(F.octet_length(a) + F.octet_length(b), a, b))
+
+    return F.transform(F.array(words), pairs)[0]
+
+
+def _part_numbers(words: Column) -> Column:
+    """A number for each part; about three words in eight, told by their hash, begin a part, and so does the first."""
+    begins = F.transform(words, lambda w: F.when(F.xxhash64(w).bitwiseAND(F.lit(7)) < 3, F.concat(F.lit("\n"), w)).otherwise(w))
+    # a space ends each part, the last one too; what stands before a first word that begins a part is no part
+    parts = F.split(F.ltrim(F.concat(F.array_join(begins, " "), F.lit(" ")), F.lit("\n")), "\n")
+    return F.transform(parts, lambda x: _number(F.octet_length(x), x))
+
 
-    def pair(w: Column, i: Column) -> Column:
-        ahead = F.get(words, i)
-        letters = F.least(F.length(ahead) + F.length(w), F.lit(1023)).cast("long")
-        return F.shiftleft(F.lit(1023).cast("long") - letters, 53).bitwiseOR(F.shiftrightunsigned(F.xxhash64(ahead, w), 11))
+def _first_keys(numbers: Column, most: Column) -> Column:
+    return F.array_distinct(F.slice(F.sort_array(numbers), 1, most))
 
-    pairs = F.sort_array(F.transform(F.slice(words, 2, n - 1), pair))
-    return F.array_distinct(F.slice(pairs, 1, 2 * F.floor(n / per).cast("int") + 1))
+
+def _pair_keys(words: Column, n: Column, most: Column) -> Column:
+    """Negative, so that they are told from the numbers of parts."""
+    return F.transform(_first_keys(_pair_numbers(words, n), most), F.bitwise_not)
+
+
+def _most(n: Column, per: int) -> Column:
+    """Parts or pairs of which two alike lines share one: an edit takes at most two."""
+    return 2 * F.floor(n / per).cast("int") + 1
 
 
 def _as_text(numbers: Column) -> Column:
-    """A string with one character for each number from 0 to 2^20 - 1."""
+    """A string with one character for each number below ``WIDE``."""
     return F.decode(F.unhex(F.array_join(F.transform(numbers, lambda x: F.lpad(F.hex(x + 0x10000), 8, "0")), "")), "UTF-32")
 
 
@@ -144,14 +186,13 @@ def _near(a: str, b: str, na: str, nb: str, per: int) -> Column:
     return F.expr(f"levenshtein({a}, {b}, cast(least({na}, {nb}) div {per} as int)) >= 0")
 
 
-def _few_edits(pairs: DataFrame, lines: DataFrame, chosen: DataFrame, per: int) -> DataFrame:
-    """ord of those ``pairs`` (ord, earlier) that are alike; ``lines``: ord, n, code, a character per word; ``chosen``: ord, words."""
-    codes, words = lines.select("ord", "n", "code"), chosen.select("ord", "words")
-    other_codes = codes.select(F.col("ord").alias("earlier"), F.col("n").alias("n_b"), F.col("code").alias("code_b"))
-    other_words = words.select(F.col("ord").alias("earlier"), F.col("words").alias("words_b"))
-    # equal words have equal characters, so no alike pair fails here
-    maybe = pairs.join(codes, "ord").join(other_codes, "earlier").filter(_near("code", "code_b", "n", "n_b", per))
-    both = cut(maybe.select("ord", "earlier", "n", "n_b")).join(words, "ord").join(other_words, "earlier")
+def _few_edits(pairs: DataFrame, chosen: DataFrame, per: int) -> DataFrame:
+    """ord of those ``pairs`` (ord, earlier) that are alike; ``chosen``: ord, n, plain."""
+    pairs = cut(pairs)
+    needed = pairs.select("ord").union(pairs.select("earlier")).distinct()
+    words = cut(chosen.join(needed, "ord", "left_semi").select("ord", "n", _words(F.col("plain")).alias("words")))
+    other = words.select(F.col("ord").alias("earlier"), F.col("n").alias("n_b"), F.col("words").alias("words_b"))
+    both = pairs.join(words, "ord").join(other, "earlier")
 
     def numbered(own: str, alone: int) -> Column:
         """Common words by their place in the list of these, others as ``alone``."""
@@ -159,24 +200,66 @@ def _few_edits(pairs: DataFrame, lines: DataFrame, chosen: DataFrame, per: int)
         at = F.transform(common, lambda known: F.transform(F.col(own), lambda w: F.array_position(known, w)))[0]
         return _as_text(F.transform(at, lambda x: F.when(x == 0, alone).otherwise(x + 1)))
 
-    told = both.select("ord", "n", "n_b", numbered("words", 0).alias("a"), numbered("words_b", 1).alias("b"))
+    def hashed(own: str) -> Column:
+        return F.transform(own, lambda w: F.xxhash64(w).bitwiseAND(F.lit(WIDE - 1)))
+
+    told = both.withColumns({"h": hashed("words"), "h_b": hashed("words_b")})
+    # mostly no two words of the lines have the same hash; else their places tell them
+    apart = F.size(F.array_distinct(F.concat("words", "words_b"))) == F.size(F.array_distinct(F.concat("h", "h_b")))
+    told = told.withColumn("apart", apart).select(
+        "ord",
+        "n",
+        "n_b",
+        F.when(F.col("apart"), _as_text(F.col("h"))).otherwise(numbered("words", 0)).alias("a"),
+        F.when(F.col("apart"), _as_text(F.col("h_b"))).otherwise(numbered("words_b", 1)).alias("b"),
+    )
     return told.filter(_near("a", "b", "n", "n_b", per)).select("ord").distinct()
 
 
-def _many_edits(keys: DataFrame, chosen: DataFrame, per: int) -> DataFrame:
-    """line of the lines that an alike line precedes; ``keys``: line, key, for keys of several lines."""
-    code = F.decode(F.unhex(F.array_join(F.transform("words", lambda w: F.lpad(F.hex(F.pmod(F.xxhash64(w), F.lit(127)) + 1), 2, "0")), "")), "US-ASCII")
-    lines = chosen.filter(F.size("words") >= 2 * per).select("ord", "line", F.size("words").alias("n"), code.alias("code"))
-    lines = cut(lines.join(keys.select("line").distinct(), "line", "left_semi"))
-    held = cut(keys.join(lines.select("line", "ord", "n"), "line").select("key", "ord", "n"))
+def _within(per: int) -> str:
+    """Whether the next shorter or longer line of a key is within the edits; if not these, none is."""
+    return f"n - less <= less div {per} or more - n <= n div {per}"
+
+
+def _rare_keys(chosen: DataFrame, per: int) -> DataFrame:
+    """key, ord, n: of each line's parts the rarest ones of which two alike lines share one.
+
+    Parts that no line of like length shares come first and give no row; a line
+    with too many of them has no alike one.
+    """
+    n, words, most = F.col("n"), _words(F.col("plain")), _most(F.col("n"), per)
+    parts = chosen.select("ord", "n", "plain", _part_numbers(words).alias("parts"))
+    pairs = F.when(F.size("parts") < most, _pair_keys(words, n, most)).otherwise(F.array())
+    parts = parts.select("ord", "n", pairs.alias("pairs"), F.array_distinct("parts").alias("parts"))
+    rows = parts.select("ord", "n", F.size("parts").alias("m"), F.explode(F.concat("parts", "pairs")).alias("key"))
+    by_key = Window.partitionBy("key").orderBy("n", "ord")
+    rows = rows.withColumns({"less": F.lag("n").over(by_key), "more": F.lead("n").over(by_key)})
+    rows = rows.withColumn("lines", F.count("*").over(by_key.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+    by_line = Window.partitionBy("ord").orderBy(F.col("key") < 0, "lines", "key")
+    rows = rows.filter(_within(per)).withColumn("at", F.row_number().over(by_line))
+    shared = F.count(F.when(F.col("key") >= 0, 1)).over(by_line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    return rows.withColumn("shared", shared).filter((F.col("key") < 0) | (F.col("m") - F.col("shared") + F.col("at") <= most)).select("key", "ord", "n")
+
+
+def _many_edits(chosen: DataFrame, per: int) -> DataFrame:
+    """line of the lines that an alike line precedes."""
+    sketches = [f"s{i}" for i in range(SKETCH)]
+    bits = F.transform(_words(F.col("plain")), lambda w: F.xxhash64(w).bitwiseAND(F.lit(64 * SKETCH - 1)))
+    # bit by bit whether an odd number of words has it; an edit changes at most two
+    odd = [F.expr(f"aggregate(bits, 0L, (s, b) -> if(shiftright(b, 6) = {i}, s ^ shiftleft(1L, int(b)), s))").alias(x) for i, x in enumerate(sketches)]
+    held = cut(_rare_keys(chosen, per).join(chosen.select("ord", bits.alias("bits")).select("ord", *odd), "ord"))
+    differ = " + ".join(f"bit_count({x} ^ {x}_b)" for x in sketches)
+    maybe = f"abs(n - n_b) <= least(n, n_b) div {per} and {differ} <= 2 * (least(n, n_b) div {per})"
     ahead = Window.partitionBy("key").orderBy("ord").rowsBetween(Window.unboundedPreceding, -1)
-    firsts = cut(held.select("ord", F.min("ord").over(ahead).alias("earlier")).filter("earlier is not null").distinct())
-    settled = cut(_few_edits(firsts, lines, chosen, per))
+    firsts = held.withColumn("first", F.first(F.struct("ord", "n", *sketches)).over(ahead))
+    firsts = firsts.select("ord", "n", *sketches, F.col("first.ord").alias("earlier"), *[F.col(f"first.{x}").alias(f"{x}_b") for x in ("n", *sketches)])
+    firsts = cut(firsts.filter(maybe).select("ord", "earlier").distinct())
+    settled = cut(_few_edits(firsts, chosen, per))
     later = held.join(settled, "ord", "left_anti")
-    before = held.select("key", F.col("ord").alias("earlier"), F.col("n").alias("n_b"))
-    pairs = later.join(before, "key").filter(f"earlier < ord and abs(n - n_b) <= least(n, n_b) div {per}").select("ord", "earlier").distinct()
-    more = _few_edits(pairs.join(firsts, ["ord", "earlier"], "left_anti"), lines, chosen, per)
-    return settled.unionByName(more).join(lines, "ord").select("line")
+    before = held.select("key", F.col("ord").alias("earlier"), *[F.col(x).alias(f"{x}_b") for x in ("n", *sketches)])
+    pairs = later.join(before, "key").filter(f"earlier < ord and {maybe}").select("ord", "earlier").distinct()
+    more = _few_edits(pairs.join(firsts, ["ord", "earlier"], "left_anti"), chosen, per)
+    return settled.unionByName(more).join(chosen, "ord").select("line")
 
 
 def dedup(
@@ -198,46 +281,55 @@ def dedup(
 
     if words_per_edit is not None and words_per_edit < 3:
         raise ValueError("words_per_edit must be 3 or more")
-    by_half = F.col("n") >= min_words
+    n, words = F.col("n"), _words(F.col("plain"))
+    by_half = n >= min_words
     if words_per_edit:
         least = max(2 * words_per_edit, min_words)  # words of a line that may differ by two
-        by_half &= F.col("n") <= least
-    keyed = lines.withColumn("halves", F.when(by_half, _halves(F.col("words"), F.col("n"))))
+        by_half &= n <= least
+    keyed = lines.withColumn("halves", F.when(by_half, _halves(words, n)))
     if words_per_edit:
-        keyed = keyed.withColumn("pairs", F.when(F.col("n") >= least, _pair_keys(F.col("words"), F.col("n"), words_per_edit)))
-    arrays = ["halves", "n", "pairs"] if words_per_edit else ["halves"]
+        keyed = keyed.withColumn("parts", F.when(n >= least, F.array_distinct(_part_numbers(words))))
+        most = _most(n, words_per_edit)
+        keys = _first_keys(F.col("parts"), most + MORE)
+        few = F.size("parts") < most
+        keyed = keyed.withColumn("keys", F.when(few, F.concat(keys, _pair_keys(words, n, most))).otherwise(keys))
+        keyed = keyed.withColumn("need", F.when(few, 1).otherwise(F.size("keys") - most + 1))
+    arrays = ["halves", "n", "keys", "need"] if words_per_edit else ["halves", "n"]
     firsts = cut(keyed.groupBy("line").agg(F.min(place).alias("first"), *[F.first(c).alias(c) for c in arrays]))
     halves = firsts.select("line", F.explode(F.array_distinct("halves")).alias("half"))
     shared = halves.groupBy("half").agg(F.min("line").alias("x"), F.max("line").alias("y")).filter("x != y").select("half")
     go_on = halves.join(shared, "half").select("line")
     if words_per_edit:
-        keys = firsts.select("line", "n", F.explode("pairs").alias("key"))
+        keys = firsts.select("line", "n", "need", F.explode("keys").alias("key"))
         # of a key only lines that have the next shorter or longer one within the edits; if not these, none is
         by_key = Window.partitionBy("key").orderBy("n", "line")
         keys = keys.withColumns({"less": F.lag("n").over(by_key), "more": F.lead("n").over(by_key)})
-        keys = cut(keys.filter(f"n - less <= less div {words_per_edit} or more - n <= n div {words_per_edit}").select("key", "line"))
-        go_on = go_on.unionByName(keys.select("line"))
-    maybe = go_on.distinct().join(firsts, "line").select("line", "first").repartitionByRange("first").sortWithinPartitions("first")
-    maybe = cut(maybe.select(F.monotonically_increasing_id().alias("ord"), "line", "first"))  # ord rises with first
+        shared = keys.filter(_within(words_per_edit)).groupBy("line", "need").count()
+        go_on = go_on.unionByName(shared.filter("count >= need").select("line"))
+    maybe = go_on.distinct().join(firsts, "line").select("line", "n", "first").repartitionByRange("first").sortWithinPartitions("first")
+    maybe = cut(maybe.select(F.monotonically_increasing_id().alias("ord"), "line", "n", "first"))  # ord rises with first
 
     # the words of the lines that go on, read where they stand first
     wanted = maybe.groupBy(F.col("first.at").alias("at")).agg(F.collect_set("first.place").alias("places"))
-    chosen = _lines(rows.join(wanted, "at"), "places").filter(F.array_contains("places", F.col("place"))).select("line", "words")
-    chosen = cut(chosen.dropDuplicates(["line"]).join(maybe, "line").select("ord", "line", "words"))
+    texts = F.transform(F.array(F.split(_plain(F.col("text")), "\n")), lambda x: F.transform("places", lambda i: F.get(x, i)))[0]
+    chosen = rows.join(wanted, "at").select(F.explode(texts).alias("plain")).select("plain", F.xxhash64("plain").alias("line")).dropDuplicates(["line"])
+    chosen = cut(chosen.join(maybe.drop("first"), "line").select("ord", "line", "n", "plain"))
+    short = chosen.filter(n <= least) if words_per_edit else chosen
+    short = short.select("ord", "line", words.alias("words"))
 
     ahead = Window.partitionBy("key").orderBy("ord").rowsBetween(Window.unboundedPreceding, -1)
     whole, less, swapped = (F.min(F.when(F.col("kind") == k, F.col("ord"))).over(ahead) for k in (0, 1, 2))
     partners = (
-        _variants(chosen.filter(F.size("words") <= least) if words_per_edit else chosen)
+        _variants(short)
         .withColumn("earlier", F.when(F.col("kind") == 0, less).when(F.col("kind") == 1, whole).otherwise(swapped))
         .filter("earlier < ord")
         .groupBy("ord")
         .agg(F.min("earlier").alias("earlier"))
     )
-    texts = chosen.select(F.col("ord").alias("earlier"), F.col("words").alias("words_b"))
-    alike = cut(partners).join(chosen, "ord").join(texts, "earlier").filter(_one_edit(F.col("words"), F.col("words_b"))).select("line")
+    texts = short.select(F.col("ord").alias("earlier"), F.col("words").alias("words_b"))
+    alike = cut(partners).join(short, "ord").join(texts, "earlier").filter(_one_edit(F.col("words"), F.col("words_b"))).select("line")
     if words_per_edit:
-        alike = alike.unionByName(_many_edits(keys, chosen, words_per_edit)).distinct()
+        alike = alike.unionByName(_many_edits(chosen.filter(n >= least), words_per_edit)).distinct()
     alike = cut(alike.withColumn("alike", F.lit(True)))
     kept = (
         firsts.join(alike, "line", "left")
@@ -250,15 +342,16 @@ def dedup(
     split = F.split("text", "\n")
     stays = F.filter(
         F.transform(split, lambda line, i: F.struct(line.alias("line"), i.alias("i"))),
-        lambda x: ~x["line"].rlike(WORD) | F.coalesce(F.array_contains("kept", x["i"]), F.lit(False)),
+        lambda x: ~_has_word(x["line"]) | F.coalesce(F.array_contains("kept", x["i"]), F.lit(False)),
     )
-    n_lines = F.size(F.filter(split, lambda line: line.rlike(WORD)))
-    n_first = F.coalesce("n_first", F.lit(0))
+    n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(F.filter(split, _has_word)))
     n_kept = F.when(F.col("kept").isNull(), 0).otherwise(F.size("kept"))
-    return rows.join(told, "at", "left").select(
+    told = rows.join(told, "at", "left").select("doc_id", "text", "kept", n_lines.alias("n_lines"), F.coalesce("n_first", F.lit(0)).alias("n_first"), n_kept.alias("n_kept"))
+    text = F.when(F.col("n_kept") == F.col("n_lines"), F.col("text")).otherwise(F.array_join(F.transform(stays, lambda x: x["line"]), "\n"))
+    return told.select(
         "doc_id",
-        F.when(F.col("text").isNull(), 0).otherwise(n_lines).cast("long").alias("n_lines"),
-        F.when(F.col("text").isNull(), 0).otherwise(n_lines - n_first).cast("long").alias("n_equal"),
-        (n_first - n_kept).cast("long").alias("n_alike"),
-        F.array_join(F.transform(stays, lambda x: x["line"]), "\n").alias("text"),
+        F.col("n_lines").cast("long").alias("n_lines"),
+        (F.col("n_lines") - F.col("n_first")).cast("long").alias("n_equal"),
+        (F.col("n_first") - F.col("n_kept")).cast("long").alias("n_alike"),
+        text.alias("text"),
     )

@@ -118,6 +118,31 @@ def test_line_dedup_bound_grows_with_the_length(spark):
     assert sum(r.n_alike for r in one_word) < sum(alike for _, alike, _ in want.values())
 
 
+def test_line_dedup_lines_of_one_passage_are_not_paired(spark):
+    """Of lines that share a passage of ten words in forty few have a key; two lines two words apart share one."""
+    rng = random.Random(3)
+
+    def fresh(n):
+        return [f"w{rng.randrange(10**9)}" for _ in range(n)]
+
+    passage = fresh(10)
+    lines = [fresh(15) + passage + fresh(15) for _ in range(60)]
+    near = fresh(40)
+    lines += [near, [*near[:7], "other", *near[8:30], *near[31:]]]
+    chosen = spark.createDataFrame([(i, len(w), " ".join(w)) for i, w in enumerate(lines)], "ord long, n int, plain string")
+    keys = line_dedup._rare_keys(chosen, 10).collect()
+    ords = {r.ord for r in keys}
+    assert {60, 61} <= ords and len(ords) < 12  # by chance some lines are cut into few parts
+    assert {r.key for r in keys if r.ord == 60} & {r.key for r in keys if r.ord == 61}
+
+
+def test_line_dedup_tells_words_by_any_spaces(spark):
+    base = " ".join(f"word{i}" for i in range(24))
+    docs = [(1, base), (2, " " + base.replace(" ", "\t \x0b") + "\r"), (3, "\x0c\n \n" + base.replace("word3 ", "").replace("word9", "x") + " ")]
+    got = {r.doc_id: (r.n_lines, r.n_equal, r.n_alike, r.text) for r in line_dedup.dedup(documents(spark, docs), words_per_edit=10).collect()}
+    assert got == {1: (1, 0, 0, base), 2: (1, 1, 0, ""), 3: (1, 0, 1, "\x0c\n ")}
+
+
 def test_line_dedup_awkward_and_empty(spark):
     rows = line_dedup.dedup(documents(spark, awkward())).collect()
     assert len(rows) == len(awkward())
