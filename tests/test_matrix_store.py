@@ -270,3 +270,41 @@ def test_single_file_is_joined_or_refused(spark, tmp_dir):
     assert os.path.getsize(f"{path}/part-00000") == 0
     with pytest.raises(ValueError, match="single file"):
         sr.write_ranks(ranks, path, fmt="parquet", single_file=True)
+
+
+def test_callers_shuffle_number_does_not_shuffle_the_matrix(spark):
+    """The start vector lies as the matrix does, whatever the caller's number of shuffle partitions."""
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
+    for encode_ids in (False, True):
+        lm = LinkMatrix.build(_edges(spark), 3, encode_ids=encode_ids)
+        try:
+            vec = start_vector(lm, None)
+            for _ in range(2):
+                plan = next_vector(lm, vec, 0.2, 0.0)
+                nodes = _nodes(plan)
+                assert nodes.count("Exchange") == 1, nodes  # the sums per target alone
+                vec = plan.select("id", "rank", "sink").checkpoint()
+                assert vec.rdd.getNumPartitions() == lm.num_partitions
+        finally:
+            lm.unpersist()
+
+
+def test_shuffle_files_go_with_their_step(spark, monkeypatch):
+    """What a run's shuffles leave on disk does not grow with the number of steps."""
+    import glob
+
+    jvm = spark.sparkContext._jvm
+    folders = [f.getPath() for f in jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+
+    def files():
+        return sum(len(glob.glob(f"{d}/*/shuffle_*")) for d in folders)
+
+    original, seen = loop.next_vector, []
+
+    def counted(*args, **kwargs):
+        seen.append(files())
+        return original(*args, **kwargs)
+
+    monkeypatch.setattr(loop, "next_vector", counted)
+    sr.rank(_edges(spark), epsilon=0.0, max_iter=8, num_partitions=3)
+    assert max(seen[4:]) <= seen[2]
