@@ -308,3 +308,30 @@ def test_shuffle_files_go_with_their_step(spark, monkeypatch):
     monkeypatch.setattr(loop, "next_vector", counted)
     sr.rank(_edges(spark), epsilon=0.0, max_iter=8, num_partitions=3)
     assert max(seen[4:]) <= seen[2]
+
+
+@pytest.mark.parametrize("collide", [False, True])
+def test_long_runs_encode_text_ids_without_a_join(spark, monkeypatch, collide):
+    """Where entries are many the loop runs on 64-bit hashes; where two ids share one it numbers them."""
+    from surfrank.plans import layout
+
+    want = _dict(sr.rank(_edges(spark), preset="notebook").ranks)
+    monkeypatch.setattr(layout, "ENCODED_FROM", 1)
+    numbered = []
+    monkeypatch.setattr(layout, "_encode", lambda *a, f=layout._encode: numbered.append(1) or f(*a))
+    if collide:
+        monkeypatch.setattr(layout, "_hashed", lambda *a: None)
+    lm = LinkMatrix.build(_edges(spark), encode_ids=None)
+    assert lm.dictionary is not None and lm.cold.schema["src"].dataType.simpleString() == "bigint"
+    assert len(numbered) == collide
+    lm.unpersist()
+    assert _dict(sr.rank(_edges(spark), preset="notebook").ranks) == pytest.approx(want, abs=1e-12)
+
+
+def test_equal_hashes_are_seen(spark, monkeypatch):
+    from surfrank.plans import layout
+
+    monkeypatch.setattr(layout.F, "xxhash64", lambda c: F.length(c).cast("long"))
+    pairs = spark.createDataFrame([("a", "b", 1)], "src string, dst string, copies long")
+    verts = spark.createDataFrame([("a", 1, 1, 0), ("b", 0, 0, 1)], "id string, out_degree long, entries long, in_entries long")
+    assert layout._hashed(pairs, verts, 2) is None
