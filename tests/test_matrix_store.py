@@ -335,3 +335,16 @@ def test_equal_hashes_are_seen(spark, monkeypatch):
     pairs = spark.createDataFrame([("a", "b", 1)], "src string, dst string, copies long")
     verts = spark.createDataFrame([("a", 1, 1, 0), ("b", 0, 0, 1)], "id string, out_degree long, entries long, in_entries long")
     assert layout._hashed(pairs, verts, 2) is None
+
+
+def test_given_partitions_are_multiplied_for_many_entries(spark):
+    """Three partitions of a large matrix would be three tasks with no bound on their rows."""
+    lm = LinkMatrix.build(_edges(spark), 3, rows_per_partition=40)
+    try:
+        assert lm.num_partitions % 3 == 0 and lm.entries / lm.num_partitions <= 40
+        assert lm.cold.rdd.getNumPartitions() == lm.num_partitions
+    finally:
+        lm.unpersist()
+    small = LinkMatrix.build(_edges(spark), 3)
+    assert small.num_partitions == 3
+    small.unpersist()
