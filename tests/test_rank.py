@@ -286,3 +286,27 @@ def test_release_leaves_no_checkpoint(spark, edges_of):
     sr.rank_step(sr.transition_matrix(edges), sr.initial_vector(sr.vertices(edges)), 0.2, 3).count()
     sr.release_checkpoints()
     assert count() == before
+
+
+@pytest.mark.parametrize("hot_min_rows", [10_000, 1])
+def test_broadcast_of_a_vector_above_the_threshold_goes_in_slices(spark, random_graph, tmp_dir, hot_min_rows):
+    from surfrank.plans.layout import MAX_SLICES, LinkMatrix, _slices
+    from surfrank.session import scoped_conf
+
+    edges = spark.createDataFrame(random_graph, "src string, dst string")
+    want = _as_dict(sr.rank(edges, preset="notebook").ranks)
+    with scoped_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "500"}):  # 62 rows of about 35 bytes
+        got = sr.rank(edges, preset="notebook", strategy="broadcast", hot_min_rows=hot_min_rows, max_hot=4)
+        assert _as_dict(got.ranks) == pytest.approx(want, abs=1e-12) and got.strategy == "broadcast"
+        lm = LinkMatrix.build(edges, 3, "broadcast", hot_min_rows=hot_min_rows, max_hot=4)
+        assert lm.slices == 5 and lm.matrix().columns == ["src", "dst", "w"]
+        sql = lm.contribution_sql("v")
+        assert sql.count("BROADCAST(p)") == (5 if lm.hot is None else 10)
+        lm.save(f"{tmp_dir}/sliced")
+        lm.unpersist()
+    loaded = LinkMatrix.load(spark, f"{tmp_dir}/sliced")
+    assert loaded.slices == 5 and _as_dict(sr.rank(matrix=loaded, preset="notebook").ranks) == pytest.approx(want, abs=1e-12)
+    loaded.unpersist()
+    assert _slices(100, 40.0, 4000) == 1 and _slices(1_200_000, 40.0, 10 << 20) == 6
+    with pytest.raises(ValueError, match="partitioned"):
+        _slices(10**9, 40.0, MAX_SLICES * 100_000)
